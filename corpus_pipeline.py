@@ -13,18 +13,21 @@ REJECT = 0.5
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on all labelled rows of its input, rejects go."""
+    common.tune(spark)
     scored = toxicity.toxicity(docs, common.read(spark, sf_dir, "labels"), keep=docs.columns, held_out=None)
     return scored.where(F.col("score") < REJECT).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id stays."""
+    common.tune(spark)
     groups = jaccard.similar(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(groups, F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id"])
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; documents of which no word is left go."""
+    common.tune(spark)
     clean = substrings.dedupe(docs, keep=docs.columns)
     rest = clean.where((F.col("removed_chars") == 0) | F.col("text").rlike(r"\S"))
     return rest.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
@@ -38,6 +41,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, as pieces of sequences."""
+    common.tune(spark)
     return pack.pack(docs)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,6 +18,7 @@ _written: list[tuple[object, str]] = []
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    tune(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -52,6 +55,20 @@ def _clean() -> None:
 atexit.register(_clean)
 
 
+def tune(spark: SparkSession) -> None:
+    """Arrow batches of fewer rows than by default: texts are long, and a batch lies in memory several times."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def trim() -> None:
+    """Gives freed memory back to the system: an idle Python worker stays for a minute beside the JVM's own needs."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 def size_hint(df: DataFrame) -> int:
     """Bytes of df by Spark's own statistics; runs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -65,7 +82,7 @@ def shards(df: DataFrame, target_bytes: int, least: int = 64) -> int:
 class WordHashes(dict):
     """word (bytes) -> 64-bit digest as int; forgets everything at `most` words, so memory is bounded."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 

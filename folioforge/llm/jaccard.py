@@ -33,7 +33,7 @@ FREQUENT = 64
 #: Shingles are 56-bit hashes: seven bytes of each travel.
 _BITS = 56
 #: Words that a worker gathers before it sends what they make.
-_FLUSH = 1_200_000
+_FLUSH = 600_000
 
 
 def shingles(text: str, words: common.WordHashes, width: int = WORDS) -> np.ndarray:
@@ -121,6 +121,8 @@ def _send(ranges: int):
                     ids, sets, size, turn = [], [], 0, turn + 1
         if ids:
             yield flush(ids, sets, turn + int(sets[0][0] % 997 if len(sets[0]) else 0))
+        del words, ids, sets
+        common.trim()
 
     return run
 

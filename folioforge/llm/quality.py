@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import common, toxicity
 
 #: Labelled documents that the model is fitted on, at most, of each label.
-SAMPLE = {0: 3000, 1: 5000}
+SAMPLE = {0: 2000, 1: 3000}
 BITS = 20
 THRESHOLD = 0.3
 _TOKEN = re.compile(r"\w+|[^\w\s]+")

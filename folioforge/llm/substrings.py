@@ -26,7 +26,7 @@ from . import common
 LEAST = 30
 #: Low bits of the gear hash that must be zero at a cut: one word in 4 is one.
 GEAR_BITS = 2
-_FLUSH = 1_500_000
+_FLUSH = 800_000
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -142,6 +142,8 @@ def _send(ranges: int, least: int):
                     ids, found, size, turn = [], [], 0, turn + 1
         if ids:
             yield flush(ids, found, turn + ids[0] % 997)
+        del words, ids, found
+        common.trim()
 
     return run
 
