@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioforge.llm import common, jaccard, pack, secrets, substrings, toxicity
 
 #: Documents that score so much are rejected.
-REJECT = 0.5
+REJECT = toxicity.THRESHOLD
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
