@@ -6,9 +6,9 @@ class of the frequent ones. Frequent shingles are dealt to as many classes as th
 asks for, so that pairs stay as few as single shingles would be. Candidates are verified exactly.
 
 Frequencies come from one exchange of shingles by range; equal sets meet there only as classes, and
-what many sets of a batch share is counted before it is sent. Within the list of a signature, sets
-are compared with the list's first set, then only across components not yet joined, so a group of
-near copies costs links in proportion to its size and no link between components is lost.
+what many sets of a batch share is counted before it is sent. Sets are compared with the centres of
+their lists, then only across components not yet joined, so a group of near copies costs pairs in
+proportion to its size and no link between components is lost.
 
 Texts: null, empty or blank texts have no shingles and link with nothing; fewer words than a shingle
 make one. Repeated rows and equal texts are one class. Rows with a null doc_id link as any other
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .neardup import forest
 
 WORDS, PERCENT = 5, 75
 #: A shingle that so many different sets hold is frequent.
@@ -229,7 +230,7 @@ def _sign(g: pd.DataFrame) -> pd.DataFrame:
     signs = signatures(n, tokens, df)
     if not len(signs):
         return pd.DataFrame()
-    return pd.DataFrame({"digest": [int(g["digest"].iloc[0])], "n": [n], "tokens": [tokens.view(np.int64)], "signs": [signs]})
+    return pd.DataFrame({"digest": [int(g["digest"].iloc[0])], "n": [n], "alone": [n - len(tokens)], "tokens": [tokens.view(np.int64)], "signs": [signs]})
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -249,6 +250,73 @@ def _across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def _cell(g: pd.DataFrame) -> pd.DataFrame:
+    """Two blocks of one family: links between sets of different components, as a forest."""
+    lo, hi = int(g["lo"].iloc[0]), int(g["hi"].iloc[0])
+    block = g["block"].to_numpy()
+    left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    tokens = [np.asarray(t) for t in g["tokens"]]
+    size, comp, ids = g["n"].to_numpy(), g["component"].to_numpy(), g["digest"].to_numpy()
+    common_tokens = np.intersect1d(np.concatenate([tokens[i] for i in left]), np.concatenate([tokens[i] for i in right]))
+
+    def held(rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), len(common_tokens)), np.float32)
+        for k, i in enumerate(rows):
+            at = np.searchsorted(common_tokens, tokens[i])
+            ok = at < len(common_tokens)
+            at = at[ok]
+            out[k, at[common_tokens[at] == tokens[i][ok]]] = 1
+        return out
+
+    both = held(left) @ held(right).T
+    near = (100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)) & (comp[left][:, None] != comp[right][None, :])
+    i, j = np.nonzero(near)
+    if not len(i):
+        return pd.DataFrame()
+    low = forest(left[i], right[j], len(g))
+    own = np.flatnonzero(low != np.arange(len(g)))
+    return pd.DataFrame({"a": ids[own], "b": ids[low[own]]})
+
+
+def _joined(sets: DataFrame) -> DataFrame:
+    """Components (node, component) of the sets by similarity, from the lists of their signatures.
+
+    First every set is compared with the centre of each of its lists: the one with the fewest
+    shingles of its own, which is likest to all others. That joins groups of near copies by as many
+    pairs as they have members. Lists that still hold several components stay open: in short ones all
+    pairs across components are verified; the sets of long ones are put together to families, and a
+    family's pairs are verified in cells of bounded size, which return links alone."""
+    lists = sets.select("digest", "alone", F.explode("signs").alias("sign"))
+    centre = lists.groupBy("sign").agg(F.min(F.struct("alone", "digest")).alias("c"), F.count(F.lit(1)).alias("size")).where("size > 1").select("sign", F.col("c.digest").alias("centre"), "size")
+    lists = common.materialise(lists.join(centre, "sign").select("sign", "digest", "centre", "size"), "lists")
+    star = lists.where("digest <> centre").groupBy(F.col("digest").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("k"))
+    star = common.materialise(star, "star")
+    best = common.materialise(star.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b")), "best")
+    links = common.materialise(_verified(best, sets), "links")
+    comp = common.components(links)
+    more = common.materialise(_verified(_across(star.select("a", "b").join(best, ["a", "b"], "left_anti"), comp), sets), "links")
+    if not more.isEmpty():
+        links = common.materialise(links.unionByName(more), "links")
+        comp = common.components(links)
+    # centres have met all others of their lists
+    rest = lists.where("digest <> centre").join(comp.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    mixed = rest.groupBy("sign").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    rest = common.materialise(rest.join(mixed.select("sign"), "sign", "left_semi"), "rest")
+    short = rest.where(F.col("size") <= FREQUENT)
+    other = short.select("sign", F.col("digest").alias("b"), F.col("component").alias("cb"))
+    pairs = short.select("sign", F.col("digest").alias("a"), F.col("component").alias("ca")).join(other, "sign").where("ca < cb").select("a", "b").distinct()
+    found = _verified(pairs, sets)
+    long = rest.where(F.col("size") > FREQUENT)
+    family = common.components(long.select(F.col("digest").alias("a"), F.col("centre").alias("b")).distinct()).withColumnRenamed("node", "digest").withColumnRenamed("component", "family")
+    members = long.select("digest", "component").distinct().join(family, "digest")
+    parts = (members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(256.0)).cast("int").alias("parts")))
+    members = members.join(parts, "family").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+    members = members.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o"))
+    cells = members.join(sets.select("digest", "n", "tokens"), "digest").select("family", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi"), "block", "digest", "component", "n", "tokens")
+    found = common.materialise(found.unionByName(common.by_group(cells, ["family", "lo", "hi"], _cell, "a long, b long")), "links")
+    return comp if found.isEmpty() else common.components(links.unionByName(found))
+
+
 def similar(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs."""
     ranges = common.shards(docs, 4 << 20)
@@ -257,27 +325,9 @@ def similar(docs: DataFrame) -> DataFrame:
     told = common.materialise(sent.groupBy("rng").applyInPandas(_reply, "doc_id long, digest long, n int, token long, df int"), "told")
     owner = told.where("token is null").select("doc_id", "digest", "n")
     shared = told.where("token is not null").select("digest", "n", "token", "df")
-    sets = common.materialise(common.by_group(shared, ["digest"], _sign, "digest long, n int, tokens array<long>, signs array<long>"), "sets")
-
-    signs = sets.select("digest", F.explode("signs").alias("sign"))
-    lists = signs.groupBy("sign").agg(F.min("digest").alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    star = common.materialise(signs.join(lists, "sign").where("digest <> first").groupBy(F.col("digest").alias("a"), F.col("first").alias("b")).agg(F.count(F.lit(1)).alias("k")), "star")
-    best = star.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
-    links = common.materialise(_verified(best, sets), "links")
-    comp = common.components(links)
-    rest = _across(star.select("a", "b").join(best, ["a", "b"], "left_anti"), comp)
-    links = common.materialise(_verified(rest, sets).unionByName(links), "links")
-    comp = common.components(links)
-    # what is left: lists that still hold more than one component, without their first sets, which have met all others
-    placed = signs.join(comp.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    mixed = placed.groupBy("sign").agg(F.min("digest").alias("first"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sign", "first")
-    open_rows = common.materialise(placed.join(mixed, "sign").where("digest <> first").select("sign", "digest", "component"), "open")
-    other = open_rows.select("sign", F.col("digest").alias("b"), F.col("component").alias("cb"))
-    pairs = open_rows.select("sign", F.col("digest").alias("a"), F.col("component").alias("ca")).join(other, "sign").where("ca < cb").select("a", "b").distinct()
-    more = common.materialise(_verified(pairs, sets), "links")
-    if not more.isEmpty():
-        comp = common.components(links.unionByName(more))
+    sets = common.materialise(common.by_group(shared, ["digest"], _sign, "digest long, n int, alone int, tokens array<long>, signs array<long>"), "sets")
 
+    comp = _joined(sets)
     classes = owner.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("low"))
     classes = classes.join(comp.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     least = classes.groupBy("component").agg(F.min("low").alias("component_id"))
