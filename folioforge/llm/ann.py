@@ -33,7 +33,7 @@ from . import common, vectors
 SAMPLE = 20_000
 #: Centroids at most: 8 MB at 64 components, the size of what is sent to every worker.
 MOST_LISTS = 16_384
-LIST, COPIES, EDGE, RATIO, CELL = 256, 4, 1.12, 1.30, 1024
+LIST, COPIES, EDGE, APART, RATIO, CELL = 1024, 2, 1.04, 0.05, 1.12, 2048
 
 
 @dataclass
@@ -91,7 +91,7 @@ class Index:
             for j in own[1:]:
                 if len(taken) >= COPIES or row[j] > EDGE**2 * max(row[own[0]], 1e-12):
                     break
-                if all(((c[j] - c[t]) ** 2).sum() > row[j] * 0.5 for t in taken):
+                if all(((c[j] - c[t]) ** 2).sum() > APART * row[j] for t in taken):
                     taken.append(j)
             out.append(np.array(taken, np.int64))
         return out
@@ -99,7 +99,7 @@ class Index:
     def probes(self, q: np.ndarray, ratio: float) -> list[np.ndarray]:
         """Lists to read for every query: those whose centroid lies within `ratio` of the nearest one's distance."""
         out = []
-        width = min(len(self.centroids), max(32, 3 * len(self.centroids) // 4))
+        width = min(len(self.centroids), max(64, 3 * len(self.centroids) // 4))
         for y in self.lifted(q, query=True):
             # a query's length has no say in the order of products; bring it to that of the vectors
             y = y * np.sqrt(self.longest / max((y * y).sum(), 1e-300))
@@ -160,29 +160,60 @@ def _placed(vecs: DataFrame, index: Index, query: bool, ratio: float) -> DataFra
     return vecs.select("vec_id", "v").mapInPandas(run, "list long, vec_id long, v array<double>")
 
 
-def _cell(k: int):
-    def work(g: pd.DataFrame) -> pd.DataFrame:
-        """One block of queries against one block of a list: the k nearest of each query, ties to the smaller id."""
-        is_query = g["query"].to_numpy()
-        ids = g["vec_id"].to_numpy()
-        if not is_query.any() or is_query.all():
-            return pd.DataFrame()
-        q, c = vectors.stack(g["v"][is_query]), vectors.stack(g["v"][~is_query])
-        qid, cid = ids[is_query], ids[~is_query]
-        rough = q @ c.T
-        rough[qid[:, None] == cid[None, :]] = -np.inf
-        out = []
-        m = min(k, len(cid))
-        line = np.partition(rough, len(cid) - m, axis=1)[:, len(cid) - m]
-        slack = 1e-9 * (1 + np.abs(line))
-        for i in range(len(qid)):
-            own = np.flatnonzero((rough[i] >= line[i] - slack[i]) & (rough[i] > -np.inf))
-            exact = (q[i] * c[own]).sum(axis=1)
-            order = np.lexsort((cid[own], -exact))[:k]
-            out.append(pd.DataFrame({"query_id": qid[i], "vec_id": cid[own][order], "score": exact[order]}))
-        return pd.concat(out)
+def best(query: np.ndarray, found: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k largest scores of every query, each candidate once, ties to the smaller id."""
+    order = np.lexsort((-score, found, query))
+    query, found, score = query[order], found[order], score[order]
+    fresh = np.concatenate([[True], (query[1:] != query[:-1]) | (found[1:] != found[:-1])])
+    query, found, score = query[fresh], found[fresh], score[fresh]
+    order = np.lexsort((found, -score, query))
+    query, found, score = query[order], found[order], score[order]
+    first = np.concatenate([[True], query[1:] != query[:-1]])
+    nth = np.arange(len(query)) - np.maximum.accumulate(np.where(first, np.arange(len(query)), 0))
+    return query[nth < k], found[nth < k], score[nth < k]
+
+
+def _cell(g: pd.DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One block of queries against one block of a list: the k nearest of each query, ties to the smaller id."""
+    is_query = g["query"].to_numpy()
+    ids = g["vec_id"].to_numpy()
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    if not is_query.any() or is_query.all():
+        return none
+    v = vectors.stack(g["v"])
+    q, c, qid, cid = v[is_query], v[~is_query], ids[is_query], ids[~is_query]
+    rough = q @ c.T
+    rough[qid[:, None] == cid[None, :]] = -np.inf
+    m = min(k, len(cid))
+    line = np.partition(rough, len(cid) - m, axis=1)[:, len(cid) - m]
+    # a matrix product rounds by place; what it puts near the line is scored again, row by row
+    i, j = np.nonzero((rough >= (line - 1e-9 * (1 + np.abs(line)))[:, None]) & (rough > -np.inf))
+    return best(qid[i], cid[j], (q[i] * c[j]).sum(axis=1), k) if len(i) else none
+
+
+def _nearest(k: int, most: int = 200_000):
+    """Cells one after another; what they find is merged by query as it grows, so a task returns k rows a query it saw, not a cell."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        rows = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return best(*(np.concatenate(x) for x in zip(*held, strict=True)), k)
+
+        for g in common.groups(batches, ["list", "cb", "qb"]):
+            held.append(_cell(g, k))
+            rows += len(held[-1][0])
+            if rows > most:
+                held = [merged()]
+                rows = len(held[0][0])
+                if rows > most // 2:
+                    yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), held[0], strict=True)))
+                    held, rows = [], 0
+        if rows:
+            yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), merged(), strict=True)))
 
-    return work
+    return run
 
 
 def search(vecs: DataFrame, queries: DataFrame, k: int = 20, ratio: float = RATIO, cell: int = CELL) -> DataFrame:
@@ -206,7 +237,8 @@ def search(vecs: DataFrame, queries: DataFrame, k: int = 20, ratio: float = RATI
         return rows.select("list", F.col(cb).alias("cb"), F.col(qb).alias("qb"), F.lit(query).alias("query"), "vec_id", "v")
 
     cells = dealt(lists, False).unionByName(dealt(asked, True))
-    found = common.by_group(cells, ["list", "cb", "qb"], _cell(k), out)
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    parts = int(vecs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = cells.repartition(parts, "list", "cb", "qb").sortWithinPartitions("list", "cb", "qb").mapInPandas(_nearest(k), out)
+    top = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return top.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
