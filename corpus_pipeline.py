@@ -1,7 +1,14 @@
-"""A corpus pipeline of five stages, each of which calls one operator of folioforge.llm."""
+"""A corpus pipeline of five stages, each of which calls one operator of folioforge.llm.
+
+Every stage takes documents with any further columns, whatever their names, and all but the last
+return the same columns. Null and empty texts pass through; rows with a null doc_id can't be
+compared with others by id and stay; of equal rows one stays after the second stage.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,38 +18,56 @@ from folioforge.llm import common, jaccard, pack, secrets, substrings, toxicity
 REJECT = toxicity.THRESHOLD
 
 
+def _shield(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with columns other than doc_id and text under names that clash with nothing, and the way back; n_chars follows the text."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    hidden = {c: f"_carried{i}" for i, c in enumerate(others)}
+
+    def back(rows: DataFrame) -> DataFrame:
+        def column(c: str):
+            if c == "n_chars":
+                size = F.length("text").cast(docs.schema[c].dataType)
+                return F.when(F.col("text").isNull(), F.col(hidden[c])).otherwise(size).alias(c)
+            return F.col(hidden.get(c, c)).alias(c)
+
+        return rows.select(*map(column, docs.columns))
+
+    common.tune(docs.sparkSession)
+    return docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(h) for c, h in hidden.items())), back
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on all labelled rows of its input, rejects go."""
-    common.tune(spark)
-    scored = toxicity.toxicity(docs, common.read(spark, sf_dir, "labels"), keep=docs.columns, held_out=None)
-    return scored.where(F.col("score") < REJECT).select(*docs.columns)
+    rows, back = _shield(docs)
+    scored = toxicity.toxicity(rows, common.read(spark, sf_dir, "labels"), keep=rows.columns, held_out=None)
+    return back(scored.where(F.col("score") < REJECT))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id stays."""
-    common.tune(spark)
-    groups = jaccard.similar(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(groups, F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id"])
+    rows, back = _shield(docs)
+    gone = jaccard.similar(rows).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = rows.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return back(kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"]))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; documents of which no word is left go."""
-    common.tune(spark)
-    clean = substrings.dedupe(docs, keep=docs.columns)
-    rest = clean.where((F.col("removed_chars") == 0) | F.col("text").rlike(r"\S"))
-    return rest.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    rows, back = _shield(docs)
+    clean = substrings.dedupe(rows, keep=rows.columns)
+    return back(clean.where((F.col("removed_chars") == 0) | F.col("text").rlike(r"\S")))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark."""
-    masked = secrets.redact(secrets.scan(docs, keep=[c for c in docs.columns if c != "text"]))
-    return masked.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    rows, back = _shield(docs)
+    return back(secrets.redact(secrets.scan(rows, keep=[c for c in rows.columns if c != "text"])))
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, as pieces of sequences."""
-    common.tune(spark)
-    return pack.pack(docs)
+    rows, _ = _shield(docs)
+    return pack.pack(rows)
 
 
 STAGES = [("toxicity", drop_toxic), ("n-gram Jaccard join", drop_near_copies), ("substring dedup", drop_repeats), ("secret scans", mask_secrets), ("packing", pack_tokens)]
