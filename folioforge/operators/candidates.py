@@ -26,7 +26,7 @@ def document_rows(full_text: DataFrame, sections: DataFrame, semantic: DataFrame
 def section_name(x: Column) -> Column:
     """Canonical name of a section, or null for General and unknown ones."""
     key = F.regexp_replace(F.lower(F.regexp_replace(text.strip(text.normalize_lines(x)), r":+\z", "")), r"(?U)\s+", " ")
-    names = F.create_map(*(F.lit(v) for kv in _ALIASES.items() for v in kv))
+    names = F.expr("map(" + ", ".join(f"'{v}'" for kv in _ALIASES.items() for v in kv) + ")")
     return F.when(key == "general", F.lit(None)).otherwise(names[key])
 
 

@@ -16,7 +16,8 @@ _CAPITAL_ALIASES = "|".join(re.escape(a.upper()) for a in _BY_LENGTH)
 
 
 def _map(names: dict[str, str]) -> Column:
-    return F.create_map(*(F.lit(x) for x in chain.from_iterable(names.items())))
+    # one expression text: building it literal by literal takes seconds of driver time in a plan this size
+    return F.expr("map(" + ", ".join(f"'{x}'" for x in chain.from_iterable(names.items())) + ")")
 
 
 def heading_key(x: Column) -> Column:
@@ -113,10 +114,11 @@ def strip_bleed(x: Column) -> Column:
 def _events(blocks: DataFrame) -> DataFrame:
     """Starts of sections and their contents, in order: doc_id, pos, sub, start (heading or null), block columns."""
     b = blocks.withColumn("t", text.normalize_lines("text"))
-    b = b.withColumn("lead", _leading(F.col("t"))).withColumn("inline", F.when(F.col("lead.h").isNull(), _inline(F.col("t"))))
+    # bound, so that Catalyst doesn't evaluate a struct once for each of its fields that is named
+    b = b.withColumn("lead", text.let(F.col("t"), _leading)).withColumn("inline", F.when(F.col("lead.h").isNull(), text.let(F.col("t"), _inline)))
     b = b.withColumn("other", F.col("lead.h").isNull() & F.col("inline.h").isNull())
     bound = (F.col("label") == "section_heading") | ((F.col("label") == "heading") & canonical(F.col("t")).isNotNull())
-    b = b.withColumn("bound", F.col("other") & bound).withColumn("trail", F.when(F.col("other") & ~F.col("bound"), _trailing(F.col("t"))))
+    b = b.withColumn("bound", F.col("other") & bound).withColumn("trail", F.when(F.col("other") & ~F.col("bound"), text.let(F.col("t"), _trailing)))
     # a heading at the end of a block waits for the next block that has none of its own within
     waiting = F.lag("trail.h").over(Window.partitionBy("doc_id", "other").orderBy("pos"))
     b = b.withColumn("waiting", F.when(F.col("other"), waiting))
