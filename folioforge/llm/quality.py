@@ -112,7 +112,10 @@ def fit(rows: list[tuple[str, int]], epochs: int = 4, alpha: float = 0.3, beta:
             n[i] += g * g
             nb += (p - y) ** 2
             b -= 0.1 * (p - y) / np.sqrt(nb)
-    return Model(weights(z, n).astype(np.float32), float(b), scale)
+    out = weights(z, n).astype(np.float32)
+    del examples, tokens, z, n
+    common.trim()
+    return Model(out, float(b), scale)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
