@@ -106,7 +106,8 @@ def score(kind: str, left: dict, right: dict) -> tuple[bool, float]:
             reasons.add(label)
     a, b = date_range(left["date_range"]), date_range(right["date_range"])
     if a and b:
-        total += 2.0 if a == b else 1.0 if share(tokens(a), tokens(b)) > 0 else 0.0
+        near = 1.0 if a == b else share(tokens(a), tokens(b))
+        total += 2.0 if near == 1.0 else 1.0 if near > 0 else 0.0
     if share(tokens(left["raw_text"]), tokens(right["raw_text"])) >= 0.5:
         total += 1.5
         reasons.add("token")
