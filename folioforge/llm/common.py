@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: list[tuple[object, str]] = []
+_written: list[tuple[SparkSession, str]] = []
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,15 +39,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table of materialise() that nothing reads any more."""
+    for own in [x for x in _written if x[1] == getattr(df, "_path", None)]:
+        _delete(*own)
+        _written.remove(own)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _clean() -> None:
-    for spark, path in _written:
+    for own in _written:
         try:
-            jvm = spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(*own)
         except Exception:  # the session has ended; its cluster owns the folder
             return
 

@@ -323,11 +323,13 @@ def similar(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sent = rows.mapInPandas(_send(ranges), _SENT)
     told = common.materialise(sent.groupBy("rng").applyInPandas(_reply, "doc_id long, digest long, n int, token long, df int"), "told")
-    owner = told.where("token is null").select("doc_id", "digest", "n")
+    owner = common.materialise(told.where("token is null").select("doc_id", "digest", "n"), "owner")
     shared = told.where("token is not null").select("digest", "n", "token", "df")
     sets = common.materialise(common.by_group(shared, ["digest"], _sign, "digest long, n int, alone int, tokens array<long>, signs array<long>"), "sets")
 
+    common.discard(told)
     comp = _joined(sets)
+    common.discard(sets)
     classes = owner.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("low"))
     classes = classes.join(comp.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     least = classes.groupBy("component").agg(F.min("low").alias("component_id"))
