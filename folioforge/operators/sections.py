@@ -20,15 +20,27 @@ def _map(names: dict[str, str]) -> Column:
     return F.expr("map(" + ", ".join(f"'{x}'" for x in chain.from_iterable(names.items())) + ")")
 
 
+#: No alias is longer, nor is anything a heading's test reads beside it.
+_LONGEST = max(map(len, _BY_LENGTH)) + 2
+
+
+def _key(t: Column) -> Column:
+    """Comparison form of a normalised text as a heading."""
+    return F.regexp_replace(F.lower(text.strip(F.regexp_replace(t, r"[:\-–|]+\z", ""))), r"(?U)\s+", " ")
+
+
 def heading_key(x: Column) -> Column:
-    t = text.strip(F.regexp_replace(text.normalize_lines(x), r"[:\-–|]+\z", ""))
-    return F.regexp_replace(F.lower(t), r"(?U)\s+", " ")
+    return _key(text.normalize_lines(x))
 
 
 def canonical(x: Column, aliases: dict[str, str] | None = None) -> Column:
     """Canonical section of a heading, or null."""
+    return _named(heading_key(x), aliases)
+
+
+def _named(key: Column, aliases: dict[str, str] | None = None) -> Column:
     names = _map(aliases or vocab.SECTION_ALIASES)
-    return text.let(heading_key(x), lambda key: F.coalesce(names[key], names[F.replace(key, F.lit("&"), F.lit("and"))]))
+    return text.let(key, lambda k: F.coalesce(names[k], names[F.replace(k, F.lit("&"), F.lit("and"))]))
 
 
 def display(x: Column) -> Column:
@@ -43,7 +55,7 @@ def is_heading(t: Column, x0: Column, label: Column | None = None) -> Column:
         n = text.words(F.regexp_replace(t, r":+\z", ""))
         shown = text.is_upper(t) | t.endswith(":")
         fits = shown if label is None else shown & label.isin("section_heading", "heading")
-        return canonical(t).isNotNull() | ((n > 0) & (n <= 4) & ~t.rlike(r"[.!?]\z") & fits & F.coalesce(x0 <= 140, F.lit(True)))
+        return _named(_key(t)).isNotNull() | ((n > 0) & (n <= 4) & ~t.rlike(r"[.!?]\z") & fits & F.coalesce(x0 <= 140, F.lit(True)))
 
     return text.let(text.normalize_lines(t), test)
 
@@ -52,20 +64,23 @@ def _leading(t: Column) -> Column:
     """struct(h, rest) of a heading at the start of a normalised text; h is null if there is none."""
     first = F.substring_index(t, "\n", 1)
     rest = F.when(t.contains("\n"), t.substr(F.length(first) + 2, F.length(t))).otherwise("")
-    alias = F.regexp_extract(heading_key(first), f"^({_ALIASES}) ", 1)
+    alias = F.regexp_extract(F.left(_key(first), F.lit(_LONGEST)), f"^({_ALIASES}) ", 1)
     after = text.normalize_lines(F.ltrim(first.substr(F.length(alias) + 1, F.length(first)), F.lit(" |:-–")))
     same = F.when((alias != "") & (after != ""), _map(vocab.SECTION_ALIASES)[alias])
     whole = F.when(rest == "", after).otherwise(text.normalize_lines(F.concat_ws("\n", F.nullif(after, F.lit("")), F.nullif(rest, F.lit("")))))
-    known = canonical(first)
+    known = _named(_key(first))
     return F.struct(F.coalesce(known, same).alias("h"), F.when(known.isNotNull(), text.normalize_lines(rest)).otherwise(whole).alias("rest"))
 
 
 def _segment(p: Column) -> Column:
     """struct(h, before, after) of a heading that is, begins or ends a part between pipes."""
-    key = heading_key(p)
-    known = canonical(p)
-    start = F.regexp_extract(key, f"^({_ALIASES}) ", 1)
-    end = F.regexp_extract(key, f" ({_ALIASES})\\z", 1)
+    return text.let(_key(p), lambda key: _parted(p, key))
+
+
+def _parted(p: Column, key: Column) -> Column:
+    known = _named(key)
+    start = F.regexp_extract(F.left(key, F.lit(_LONGEST)), f"^({_ALIASES}) ", 1)
+    end = F.regexp_extract(F.right(key, F.lit(_LONGEST)), f" ({_ALIASES})\\z", 1)
     by_start = (start != "") & (F.length(start) >= F.length(end))
     pieces = F.split(p, r"(?U)\s+")
     alias = F.when(by_start, start).otherwise(end)
@@ -98,9 +113,9 @@ def _trailing(t: Column) -> Column:
     """struct(h, rest) of a heading at the end: a last line in capitals or before a colon, or a known heading in capitals."""
     lines = text.nonempty(F.split(t, "\n"))
     last = F.coalesce(F.get(lines, F.size(lines) - 1), F.lit(""))
-    known = F.when(last.rlike(r"(?U)^[A-Z][A-Z\s/&-]{2,}\z") | last.endswith(":"), canonical(last))
+    known = F.when(last.rlike(r"(?U)^[A-Z][A-Z\s/&-]{2,}\z") | last.endswith(":"), _named(_key(last)))
     above = text.normalize_lines(F.array_join(F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0))), "\n"))
-    alias = F.regexp_extract(t, f" ({_CAPITAL_ALIASES})\\z", 1)
+    alias = F.regexp_extract(F.right(t, F.lit(_LONGEST)), f" ({_CAPITAL_ALIASES})\\z", 1)
     cut = text.normalize_lines(t.substr(F.lit(1), F.length(t) - F.length(alias)))
     return F.struct(F.coalesce(known, _map(vocab.SECTION_ALIASES)[F.lower(alias)]).alias("h"), F.when(known.isNotNull(), above).otherwise(cut).alias("rest"))
 
@@ -117,7 +132,7 @@ def _events(blocks: DataFrame) -> DataFrame:
     # bound, so that Catalyst doesn't evaluate a struct once for each of its fields that is named
     b = b.withColumn("lead", text.let(F.col("t"), _leading)).withColumn("inline", F.when(F.col("lead.h").isNull(), text.let(F.col("t"), _inline)))
     b = b.withColumn("other", F.col("lead.h").isNull() & F.col("inline.h").isNull())
-    bound = (F.col("label") == "section_heading") | ((F.col("label") == "heading") & canonical(F.col("t")).isNotNull())
+    bound = (F.col("label") == "section_heading") | ((F.col("label") == "heading") & _named(_key(F.col("t"))).isNotNull())
     b = b.withColumn("bound", F.col("other") & bound).withColumn("trail", F.when(F.col("other") & ~F.col("bound"), text.let(F.col("t"), _trailing)))
     # a heading at the end of a block waits for the next block that has none of its own within
     waiting = F.lag("trail.h").over(Window.partitionBy("doc_id", "other").orderBy("pos"))
