@@ -90,18 +90,18 @@ def contacts(docs: DataFrame) -> DataFrame:
 
     names = every(lambda t: F.filter(F.transform(text.split_lines(t), text.normalize_lines), _name_like))
     # lines all in capitals become title case; those lines alone go through the one conversion that isn't built in
-    rows = rows.withColumn("_names", names)
+    rows = rows.withColumn("_names", names).withColumn("_titled", titled(F.col("_names")))
     return rows.withColumn(
         "contact_candidates",
         F.struct(
-            titled(F.col("_names")).alias("name"),
+            F.col("_titled").alias("name"),
             every(lambda t: _all(t, vocab.EMAIL)).alias("email"),
             every(lambda t: F.transform(_all(t, vocab.PHONE), text.strip)).alias("phone"),
             every(lambda t: F.filter(text.split_candidates(t), lambda p: text.has_any(F.lower(p), vocab.CONTACT_PLACES))).alias("location"),
             every(lambda t: site(t, vocab.LINKEDIN_URL, "linkedin")).alias("linkedin"),
             every(lambda t: site(t, vocab.GITHUB_URL, "github")).alias("github"),
         ),
-    ).drop("_pool", "_names")
+    ).drop("_pool", "_names", "_titled")
 
 
 def _name_like(t: Column) -> Column:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import arrays, text, vocab
 from folioforge.operators import blocks as B
 from folioforge.operators import candidates as C
+from folioforge.operators import grounding as GR
 from folioforge.operators import grouped as G
 from folioforge.operators import lists as L
 from folioforge.operators import matching as M
@@ -500,3 +501,84 @@ def regression_candidate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = X.extract(B.from_lines(table(spark, sf_dir, "documents")))
     return X.regression_counts(X.reconciliation_input(e))
 
+
+
+_CERTS = "(VALUES ('AWS Certified Developer'), ('CCNA Jan 2020 - Feb 2021'), ('Best Award 2020'), ('Cisco Fundamentals of Cybersecurity'), ('worked on networks'), ('Systems'), ('PMP, '), ('plain words'))"
+_CERT_KEY = "trim(regexp_replace(regexp_replace(lower(trim(regexp_replace(trim(regexp_replace(trim(ltrim(trim(regexp_replace(t, '\\s+', ' ', 'g')), '•●▪- '), ' ,;|'), '(?i)\\b(completed|identify|understand|worked on|contributed to|automated)\\b.*$', ''), ' ,;|.-'), '(?i)\\s+\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\\s*\\d{4}\\s*[-–]\\s*\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\\s*\\d{4}\\b.*$', ''), ' ,;|.-')), '\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\\s+\\d{4}\\s*[-–]?\\s*(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)?[a-z]*\\s*\\d{0,4}', '', 'g'), '\\s+', ' ', 'g'), ' ,;|.-')"
+
+
+def _values(spark: SparkSession, sql: str) -> DataFrame:
+    return spark.sql(f"SELECT * FROM VALUES {sql[8:-1]} AS v(t)")
+
+
+@query(f"SELECT t, {_CERT_KEY} AS key FROM {_CERTS} v(t)")
+def cert_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _CERTS).withColumn("key", L.certification_key(F.col("t")))
+
+
+@query(f"SELECT t FROM {_CERTS} v(t) WHERE t IN ('AWS Certified Developer', 'CCNA Jan 2020 - Feb 2021', 'Cisco Fundamentals of Cybersecurity', 'PMP, ')")
+def recoverable_certs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _CERTS).where(L.is_certification(L.clean_certification(F.col("t"))))
+
+
+_TONGUES = "(VALUES ('English'), ('Languages'), ('Native: Arabic'), ('ARABIC'), ('FR'), ('Python'), ('German (B2)'))"
+
+
+@query(f"SELECT t FROM {_TONGUES} v(t) WHERE t IN ('English', 'FR', 'German (B2)')")
+def recoverable_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _TONGUES).where(L.is_language(text.normalize_flat("t")))
+
+
+_SOFT = "(VALUES ('• Teamwork'), ('Leadership: led a large team'), ('Leadership: led'), ('Cooking: makes very good food'), ('skills'), ('Time Management.'), ('typing'))"
+
+
+@query(f"SELECT t FROM {_SOFT} v(t) WHERE t IN ('• Teamwork', 'Leadership: led a large team', 'Time Management.')")
+def recoverable_soft_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _SOFT).where(L.is_soft_skill(L.clean_soft_skill(F.col("t"))))
+
+
+def _as_input(rows: DataFrame, names: Column | None = None) -> DataFrame:
+    """Rows with full_text as inputs of grounding, without other evidence than names."""
+    none = F.array().cast("array<string>")
+    own = [(none if n != "name" or names is None else names).alias(n) for n in GR.CONTACTS]
+    return rows.select(
+        "*", F.lit("").alias("uncategorized_text"), F.array().cast("array<struct<name:string,text:string>>").alias("canonical_sections"), F.struct(*own).alias("contact_candidates"),
+        none.alias("skill_candidates"), none.alias("language_candidates"), none.alias("certification_candidates"),
+    )
+
+
+@query(f"SELECT doc_id, CASE WHEN v <> '' AND contains(lower({_flat('text')}), v) THEN 'full_text' ELSE '' END AS sources FROM (SELECT doc_id, text, lower({_flat('substr(text, 10, 30)')}) AS v FROM documents)")
+def grounding_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A piece of every document, grounded in it."""
+    rows = _as_input(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text")))
+    return rows.select("doc_id", F.array_join(GR.sources(F.substring("full_text", 10, 30)), ",").alias("sources"))
+
+
+_NAMES = "(VALUES (1, 'Jane Doe', 'John Roe', 'none', 'about Jane Doe'), (2, '', 'John Roe', 'Jane Doe', 'about'), (3, '', 'John Roe', 'none', 'about john  roe'), (4, '', 'John Roe', 'none', 'nobody'), (5, '', '', 'none', ''))"
+
+
+@query(f"""SELECT id, CASE WHEN p <> '' THEN p WHEN c <> 'none' THEN c WHEN g THEN o END AS value, CASE WHEN p <> '' THEN 'parser' WHEN c <> 'none' THEN 'phase2_input' WHEN g THEN 'optimizer' ELSE 'unresolved' END AS source,
+CASE WHEN p <> '' THEN 0.9 WHEN c <> 'none' THEN 0.88 WHEN g THEN 0.7 ELSE 0.0 END::DOUBLE AS confidence FROM (SELECT *, o <> '' AND contains(lower({_flat('x')}), lower(o)) AS g FROM {_NAMES} v(id, p, o, c, x))""")
+def singleton_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.sql(f"SELECT * FROM VALUES {_NAMES[8:-1]} AS v(id, p, o, c, full_text)")
+    rows = _as_input(rows, F.filter(F.array("c"), lambda c: c != "none"))
+    return rows.select("id", GR.name(F.col("p"), F.col("o"), {"name": F.array("p")}).alias("r")).select("id", "r.value", "r.source", "r.confidence")
+
+
+_SECTION_VALUES = "(VALUES (1, 0, 'SUMMARY', 'section_heading'), (1, 1, 'Does things EDUCATION &', 'paragraph'), (1, 2, 'Work Experience', 'section_heading'), (1, 3, 'At a place.', 'paragraph'), (2, 0, 'Skills\nPython', 'paragraph'), (2, 1, 'a place | EDUCATION | a school', 'paragraph'), (2, 2, 'more text PROJECTS', 'paragraph'), (2, 3, 'one project', 'paragraph'))"
+_SECTION_WANT = "(VALUES (1, 1, 'Summary', 'Does things'), (1, 2, 'Experience', 'At a place.'), (2, 1, 'Skills', 'Python\na place'), (2, 2, 'Education', 'a school\nmore text'), (2, 3, 'Projects', 'one project'))"
+
+
+@query(f"SELECT * FROM {_SECTION_WANT} v(doc_id, section_seq, heading, content)")
+def section_split_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = _SECTION_VALUES[8:-1].replace("\n", "\\n")
+    rows = spark.sql(f"SELECT *, concat('b', pos) AS block_id, 1 AS page_number, CAST(NULL AS DOUBLE) AS x0 FROM VALUES {body} AS v(doc_id, pos, text, label)")
+    return S.split(rows)[0].select("doc_id", "section_seq", "heading", "content")
+
+
+@query(None)
+def contact_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts of every document from its text alone."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text"), F.lit("").alias("uncategorized_text"))
+    rows = rows.withColumn("blocks", F.array().cast("array<struct<pos:int,block_id:string,label:string,text:string>>")).withColumn("named", F.array().cast("array<struct<name:string,text:string,blocks:array<struct<pos:int,block_id:string,label:string,text:string>>>>"))
+    return C.contacts(rows).select("doc_id", "contact_candidates.*")
