@@ -1,4 +1,4 @@
-"""Text functions over columns. All are built-in expressions but the title-case conversion.
+"""Text functions over columns, all of built-in expressions.
 
 Missing is the empty string: every function takes null as empty and returns no null.
 """
@@ -8,10 +8,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from . import vocab
 
@@ -66,10 +64,10 @@ def normalize_phone(x: Column | str) -> Column:
     return F.regexp_replace(x, r"^\+\+", "+")
 
 
-@F.pandas_udf(StringType())
-def title(x: pd.Series) -> pd.Series:
-    """Title case as Python has it; initcap differs after apostrophes and digits."""
-    return x.fillna("").str.title()
+def title(x: Column | str) -> Column:
+    """Title case by letters: the first of every run in upper case, the others in lower case. initcap differs after apostrophes and digits."""
+    runs = F.split(F.lower(col(x)), r"(?U)(?<!\p{L})(?=\p{L})")
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), r.substr(F.lit(2), F.length(r)))), "")
 
 
 def normalize_location(x: Column | str) -> Column:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from folioforge.functions import arrays, text, vocab
 
@@ -89,19 +88,17 @@ def contacts(docs: DataFrame) -> DataFrame:
         return F.when(F.size(urls) > 0, urls).when(t.rlike(rf"(?iU)\b{word}\b"), F.array(t)).otherwise(F.array().cast("array<string>"))
 
     names = every(lambda t: F.filter(F.transform(text.split_lines(t), text.normalize_lines), _name_like))
-    # lines all in capitals become title case; those lines alone go through the one conversion that isn't built in
-    rows = rows.withColumn("_names", names).withColumn("_titled", titled(F.col("_names")))
     return rows.withColumn(
         "contact_candidates",
         F.struct(
-            F.col("_titled").alias("name"),
+            titled(names).alias("name"),
             every(lambda t: _all(t, vocab.EMAIL)).alias("email"),
             every(lambda t: F.transform(_all(t, vocab.PHONE), text.strip)).alias("phone"),
             every(lambda t: F.filter(text.split_candidates(t), lambda p: text.has_any(F.lower(p), vocab.CONTACT_PLACES))).alias("location"),
             every(lambda t: site(t, vocab.LINKEDIN_URL, "linkedin")).alias("linkedin"),
             every(lambda t: site(t, vocab.GITHUB_URL, "github")).alias("github"),
         ),
-    ).drop("_pool", "_names", "_titled")
+    ).drop("_pool")
 
 
 def _name_like(t: Column) -> Column:
@@ -109,14 +106,9 @@ def _name_like(t: Column) -> Column:
     return (t != "") & ~_mail_or_phone(t) & (n >= 2) & (n <= 4) & (text.is_title(t) | text.is_upper(t))
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _titled(values):
-    return values.map(lambda v: list({x.lower(): x if x == x.title() else x.title() for x in reversed(v)}.values())[::-1])
-
-
 def titled(names: Column) -> Column:
     """Names with those in capitals turned to title case; equal names once."""
-    return _titled(names)
+    return arrays.dedupe_lines(F.transform(names, lambda x: F.when(text.is_title(x), x).otherwise(text.title(x))))
 
 
 def is_skill(t: Column) -> Column:
