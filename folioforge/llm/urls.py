@@ -2,8 +2,8 @@
 
 Tokens of a URL (parts of its host, registered name, path steps, query keys) and its label are
 items; frequent combinations that imply the label `block` with enough confidence become rules, of
-which the pruned ones stay that no shorter rule covers as surely. A URL is matched by an inverted
-index from tokens to rules: a rule holds when all its tokens are there.
+which the pruned ones stay that no shorter rule covers as surely, however many they are. A URL is
+matched by an inverted index from each rule's rarest token: a rule holds when all its tokens are there.
 
 A null URL, or one without "://", has an empty host and path and gets the verdict allow. Repeated
 rows and null page_ids are judged each. An empty table gives an empty result. Extra columns are
@@ -12,10 +12,14 @@ ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 #: verdict, host, path
 RULES = [
     ("allow", "com", "/"),
@@ -24,7 +28,7 @@ RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-SUPPORT, CONFIDENCE, MOST_RULES = 0.005, 0.6, 1000
+SUPPORT, CONFIDENCE = 0.005, 0.6
 BLOCK = "label=block"
 
 
@@ -60,21 +64,34 @@ def tokens(pages: DataFrame) -> Column:
     return F.array_distinct(F.filter(items, lambda x: ~x.isin("host:", "path:", "site:")))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, most: int = MOST_RULES) -> list[tuple[list[str], float]]:
-    """Rules (tokens, confidence) that imply a block, from rows (items, blocked boolean): pruned, and at most `most`."""
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+    """All pruned rules (items, confidence, least) that imply a block, from rows (items, blocked boolean).
+
+    `least` says that no shorter rule holds wherever this one does, whatever its confidence.
+    """
     items = F.concat("items", F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array(F.lit("label=allow"))))
     baskets = labelled.select(items.alias("items"))
     if baskets.isEmpty():
-        return []
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    rules = model.associationRules.where(F.array_contains("consequent", BLOCK) & ~F.array_contains("antecedent", "label=allow"))
-    top = rules.orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), F.array_sort("antecedent")).limit(most).collect()
-    kept: list[tuple[frozenset[str], float]] = []
-    for r in sorted(top, key=lambda r: (len(r["antecedent"]), -r["confidence"], sorted(r["antecedent"]))):
-        own = frozenset(r["antecedent"])
-        if not any(k <= own and c >= r["confidence"] for k, c in kept):
-            kept.append((own, r["confidence"]))
-    return [(sorted(k), c) for k, c in kept]
+        return labelled.sparkSession.createDataFrame([], "items array<string>, confidence double, least boolean")
+    sets = common.materialise(FPGrowth(itemsCol="items", minSupport=support).fit(baskets).freqItemsets, "itemsets")
+    blocked = sets.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_sort(F.array_remove("items", BLOCK)).alias("items"), F.col("freq").alias("hits"))
+    every = sets.where(~F.array_contains("items", BLOCK)).select(F.array_sort("items").alias("items"), "freq")
+    rules = common.materialise(blocked.join(every, "items").select("items", (F.col("hits") / F.col("freq")).alias("confidence"), F.size("items").alias("n")), "rules")
+    # with a set, all its subsets are frequent: the surest below it is found from one item less, level by level
+    levels = [rules.where("n = 1").select("items", "confidence", F.lit(0.0).alias("under"))]
+    for n in range(2, (rules.agg(F.max("n")).first()[0] or 0) + 1):
+        below = levels[-1].select(F.col("items").alias("part"), F.greatest("confidence", "under").alias("top"))
+        parts_of = rules.where(F.col("n") == n).select("items", "confidence", F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("part"))
+        levels.append(common.materialise(parts_of.join(below, "part").groupBy("items").agg(F.first("confidence").alias("confidence"), F.max("top").alias("under")), "rules"))
+    found = reduce(DataFrame.unionByName, levels).where((F.col("confidence") >= confidence) & (F.col("under") < F.col("confidence")))
+    return found.select("items", "confidence", (F.col("under") < confidence).alias("least"))
+
+
+def index(rules: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(token, needed): every rule under the token of it that the fewest rows have."""
+    often = labelled.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    of = rules.select(F.col("items").alias("needed"), F.explode("items").alias("token")).join(often, "token")
+    return of.groupBy("needed").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
@@ -83,15 +100,12 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("fit", fitting(F.col("host"), F.col("path"), RULES if rules is None else rules)).withColumn("items", tokens(rows))
     bad = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("page_id")).agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
-    found = mine(rows.where(F.size("items") > 0).join(bad.where("blocked is not null"), "page_id").select("items", "blocked"))
-    if found:
-        # the index: at most MOST_RULES rules of a few tokens each
-        index = pages.sparkSession.createDataFrame([(t, i, len(own)) for i, (own, _) in enumerate(found) for t in own], "token string, r int, needed int")
-        keyed = rows.withColumn("row", F.monotonically_increasing_id())
-        open_rows = keyed.where("fit is null").select("row", F.explode("items").alias("token"))
-        hits = open_rows.join(F.broadcast(index), "token").groupBy("row", "r").agg(F.count(F.lit(1)).alias("n"), F.first("needed").alias("needed")).where("n = needed")
-        rows = keyed.join(hits.select("row").distinct().withColumn("mined", F.lit(True)), "row", "left")
-    else:
-        rows = rows.withColumn("mined", F.lit(False))
+    labelled = rows.where(F.size("items") > 0).join(bad.where("blocked is not null"), "page_id").select("items", "blocked")
+    # a longer rule blocks nothing that the least ones do not
+    found = common.materialise(index(mine(labelled).where("least"), labelled), "index")
+    keyed = rows.withColumn("row", F.monotonically_increasing_id())
+    open_rows = keyed.where("fit is null").select("row", "items", F.explode("items").alias("token"))
+    hits = open_rows.join(found, "token").where(F.forall("needed", lambda x: F.array_contains("items", x)))
+    rows = keyed.join(hits.select("row").distinct().withColumn("mined", F.lit(True)), "row", "left")
     verdict = F.coalesce(F.col("fit.verdict"), F.when(F.coalesce("mined", F.lit(False)), "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"))

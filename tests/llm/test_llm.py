@@ -271,6 +271,32 @@ def test_urls(spark):
     assert got[None]["rule"] == "com/"
 
 
+def test_urls_many_rules(spark):
+    # two sure sites of eleven tokens emit thousands of sure rules; the surest distinct one of the third is at 0.8
+    sure = [(f"http://bad{i % 2}.org/a/b/c/d/e/f/g/h", 1) for i in range(40)]
+    mixed = [(f"http://mixed.test/{i}", int(i % 5 > 0)) for i in range(20)]
+    fine = [(f"http://good{i % 7}.io/{'xyz'[i % 3]}", 0) for i in range(100)]
+    urls_, toxic = zip(*sure, *mixed, *fine, strict=True)
+    pages = spark.createDataFrame([*enumerate(urls_), (1000, "http://mixed.test/7/new"), (1001, "http://good1.io/x")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(pages, labels).collect()}
+    assert got[1000] == "block" and got[1001] == "allow" and all(got[i] == "block" for i in range(60)) and all(got[i] == "allow" for i in range(60, 160))
+
+
+def test_rules_brute(spark):
+    r = random.Random(3)
+    rows = [(sorted({r.choice("abcdef") for _ in range(r.randint(1, 6))}), r.random() < 0.7) for _ in range(200)]
+    got = {tuple(x["items"]): (x["confidence"], x["least"]) for x in urls.mine(spark.createDataFrame(rows, "items array<string>, blocked boolean")).collect()}
+    rules = {}
+    for m in range(1, 64):
+        own = {c for i, c in enumerate("abcdef") if m >> i & 1}
+        hit = [b for items, b in rows if own <= set(items)]
+        if sum(hit) >= urls.SUPPORT * len(rows) and sum(hit) >= urls.CONFIDENCE * len(hit):
+            rules[frozenset(own)] = sum(hit) / len(hit)
+    want = {tuple(sorted(k)): (c, not any(o < k for o in rules)) for k, c in rules.items() if not any(o < k and d >= c for o, d in rules.items())}
+    assert got == want
+
+
 def test_pipeline_stages(spark, docs, texts, tmp_path):
     r = random.Random(8)
     labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(4)], "doc_id long, quality int, toxic int")
