@@ -416,12 +416,62 @@ def coverage_gaps_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entries(spark, sf_dir).select("id").join(found, "id", "left_anti")
 
 
+def _whole(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Entries (id, brand, n, y) of all parts; and (n, y, fn, fy, score, matched) of every two names and types that one brand has and that score.
+
+    What scores shares an identity token or a whole name, so only such pairs are compared, each once."""
+    e = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), *(F.coalesce(c, F.lit("")).alias(a) for c, a in (("p_name", "n"), ("p_type", "y"))))
+    names = F.transform(F.array("n", "y"), lambda x: F.concat(F.lit("="), text.normalize_identity(x)))
+    keys = F.array_distinct(F.concat(text.identity_tokens(F.concat_ws(" ", "n", "y")), text.identity_tokens("n"), text.identity_tokens("y"), F.filter(names, lambda x: x != "=")))
+    values = e.select("brand", "n", "y").distinct().withColumn("key", F.explode(keys))
+    other = values.select("brand", "key", F.col("n").alias("fn"), F.col("y").alias("fy"))
+    none = F.array().cast("array<string>")
+
+    def entry(n: str, y: str) -> Column:
+        return F.struct(F.concat_ws(" ", n, y).alias("raw_text"), F.col(n).alias("primary_name"), F.col(y).alias("secondary_name"), F.lit("").alias("date_range"), none.alias("technologies"))
+
+    near = values.join(other, ["brand", "key"]).select("n", "y", "fn", "fy").distinct()
+    scored = near.withColumn("m", M.match("trainings_courses", entry("n", "y"), entry("fn", "fy"))).where("m.score > 0")
+    return e, scored.select("n", "y", "fn", "fy", "m.score", "m.matched")
+
+
+def _later(e: DataFrame) -> DataFrame:
+    """Every two entries of a brand."""
+    other = e.select("brand", F.col("id").alias("r"), F.col("n").alias("fn"), F.col("y").alias("fy"))
+    return e.withColumnRenamed("id", "l").join(other, "brand").where("l < r")
+
+
+@query(None)
+def entity_match_scores_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entity_match_scores over parts of all sizes."""
+    e, scored = _whole(spark, sf_dir)
+    rows = _later(e).join(scored, ["n", "y", "fn", "fy"], "left")
+    return rows.select("l", "r", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("matched", F.lit(False)).alias("matched"))
+
+
+@query(None)
+def entity_best_match_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entity_best_match over parts of all sizes."""
+    e, scored = _whole(spark, sf_dir)
+    top = _later(e).join(scored.where("matched"), ["n", "y", "fn", "fy"]).groupBy("l").agg(F.max(F.struct("score", (-F.col("r")).alias("r"))).alias("m"))
+    return top.select("l", (-F.col("m.r")).alias("r"), "m.score")
+
+
+@query(None)
+def coverage_gaps_grouped_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """coverage_gaps_grouped over parts of all sizes: the earliest match of a name and type decides."""
+    e, scored = _whole(spark, sf_dir)
+    first = e.groupBy("brand", "n", "y").agg(F.min("id").alias("first"))
+    found = first.join(scored.where("matched"), ["n", "y"]).groupBy("brand", F.col("fn").alias("n"), F.col("fy").alias("y")).agg(F.min("first").alias("first"))
+    return e.join(found, ["brand", "n", "y"], "left").where("first IS NULL OR first >= id").select("id")
+
+
 @query(None)
 def grouped_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of a brand as trainings: small ones by the optimizer, middle ones by the parser, large ones as candidates."""
     t = F.struct(F.col("p_name").alias("title"), F.col("p_type").alias("institution"), F.lit("").alias("description"))
     small, middle = F.col("p_size") <= 3, F.col("p_size").between(4, 6)
-    by = table(spark, sf_dir, "part").where("p_size <= 9").groupBy("p_brand").agg(
+    by = table(spark, sf_dir, "part").groupBy("p_brand").agg(
         F.min("p_partkey").alias("doc_id"),
         *(F.transform(F.array_sort(F.collect_list(F.when(c, F.struct("p_partkey", t.alias("t"))))), lambda x: x["t"]).alias(n) for c, n in ((small, "o"), (middle, "p"))),
         F.array_sort(F.collect_list(F.when(~small & ~middle, F.concat_ws(" | ", "p_name", "p_type")))).alias("candidates"),
