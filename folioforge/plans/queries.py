@@ -515,6 +515,14 @@ def extractor_page_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.select_pages(one, two).select("doc_id", "page_number", "extractor")
 
 
+@query(None)
+def extractor_page_select_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """extractor_page_select with the whole html as the fallback's text."""
+    pages = table(spark, sf_dir, "pages").select((F.col("page_id") % 50).alias("doc_id"), F.col("page_id").alias("page_number"), "url", "html")
+    one, two = (pages.select("doc_id", "page_number", F.col(c).alias("text"), F.lit(b).alias("block_count")) for c, b in (("url", 1), ("html", 0)))
+    return B.select_pages(one, two).select("doc_id", "page_number", "extractor")
+
+
 # --- recovery of missed content
 
 

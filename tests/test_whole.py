@@ -38,3 +38,11 @@ def test_recovery_reads_all_parts(spark, tmp_path):
     spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
     got = plan.QUERIES["grouped_recovery"](spark, str(tmp_path)).first()
     assert [e["title"] for e in json.loads(got["entries"])] == ["red gear", "blue ring", "odd spindle"]
+
+
+def test_pages_by_whole_texts(spark, tmp_path):
+    url = "http://example.test/" + "p" * 80
+    rows = [(1, url, "h" * (len(url) + 21)), (2, url, "h" * (len(url) + 20)), (3, url, "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_number"]: r["extractor"] for r in plan.QUERIES["extractor_page_select_whole"](spark, str(tmp_path)).collect()}
+    assert got == {1: "fallback", 2: "primary", 3: "primary"}
