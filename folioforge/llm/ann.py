@@ -184,8 +184,12 @@ def _cell(g: pd.DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     q, c, qid, cid = v[is_query], v[~is_query], ids[is_query], ids[~is_query]
     rough = q @ c.T
     rough[qid[:, None] == cid[None, :]] = -np.inf
-    m = min(k, len(cid))
-    line = np.partition(rough, len(cid) - m, axis=1)[:, len(cid) - m]
+    # an id with several vectors counts once for the line, with its best product
+    order = np.argsort(cid, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(cid[order]) != 0]))
+    each = rough if len(first) == len(cid) else np.maximum.reduceat(rough[:, order], first, axis=1)
+    m = min(k, len(first))
+    line = np.partition(each, len(first) - m, axis=1)[:, len(first) - m]
     # a matrix product rounds by place; what it puts near the line is scored again, row by row
     i, j = np.nonzero((rough >= (line - 1e-9 * (1 + np.abs(line)))[:, None]) & (rough > -np.inf))
     return best(qid[i], cid[j], (q[i] * c[j]).sum(axis=1), k) if len(i) else none
@@ -218,12 +222,13 @@ def _nearest(k: int, most: int = 200_000):
 
 def search(vecs: DataFrame, queries: DataFrame, k: int = 20, ratio: float = RATIO, cell: int = CELL) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of vecs found for each row of queries, but for its own id."""
-    own = vectors.valid(vecs)
+    own = common.materialise(vectors.valid(vecs).dropDuplicates(["vec_id", "v"]), "vecs")
     out = "query_id long, vec_id long, score double"
     index = fit(own, own.count())
     if index is None:
         return vecs.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lists = common.materialise(_placed(own, index, False, ratio), "lists")
+    common.discard(own)
     asked = common.materialise(_placed(vectors.valid(queries).dropDuplicates(["vec_id"]), index, True, ratio), "asked")
     # one row per list: bounded by MOST_LISTS
     sizes = lists.groupBy("list").agg(F.count(F.lit(1)).alias("c")).join(asked.groupBy("list").agg(F.count(F.lit(1)).alias("q")), "list")
@@ -231,7 +236,8 @@ def search(vecs: DataFrame, queries: DataFrame, k: int = 20, ratio: float = RATI
 
     def dealt(rows: DataFrame, query: bool) -> DataFrame:
         mine, others = ("qs", "cs") if query else ("cs", "qs")
-        block = F.pmod(F.xxhash64("vec_id"), F.col(mine)).cast("int")
+        # vectors of one id may lie in several blocks: the best of them leads in its own
+        block = F.pmod(F.xxhash64("vec_id", "v"), F.col(mine)).cast("int")
         rows = rows.join(sizes, "list").select("list", "vec_id", "v", block.alias("own"), F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias("other"))
         cb, qb = ("other", "own") if query else ("own", "other")
         return rows.select("list", F.col(cb).alias("cb"), F.col(qb).alias("qb"), F.lit(query).alias("query"), "vec_id", "v")

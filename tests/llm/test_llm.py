@@ -259,6 +259,21 @@ def test_ann(spark, vecs):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("cell", [64, 2048])
+def test_ann_repeated_ids(spark, cell):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(300, 8))
+    # one row over and over, one id with many vectors, both next to the query
+    rows = [*enumerate(x), *[(500, x[0] * 2)] * 400, *[(501, x[0] * 2 + r.normal(size=8) * 0.01) for _ in range(200)]]
+    df = spark.createDataFrame([(i, [float(v) for v in e]) for i, e in rows], "vec_id long, embedding array<double>")
+    got = [(g["vec_id"], g["score"]) for g in ann.search(df, df.where("vec_id = 0"), k=20, cell=cell).orderBy("rank").collect()]
+    best = defaultdict(lambda: -np.inf)
+    for i, e in rows[1:]:
+        best[i] = max(best[i], float(x[0] @ e))
+    want = sorted(best.items(), key=lambda p: (-p[1], p[0]))[:20]
+    assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want])
+
+
 def test_urls(spark):
     pages = [(i, f"http://spam{i % 3}.farm.org/x/{i}") for i in range(60)] + [(100 + i, f"http://good.site.org/y/{i}") for i in range(60)]
     pages += [(500, "https://WWW.Example.com/en/a?x#y"), (501, "https://m.example.com/en/a"), (502, "http://a.net/es/"), (503, None), (504, "no scheme"), (505, "x://a.net"), (None, "http://q.com/")]
