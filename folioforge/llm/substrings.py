@@ -2,13 +2,15 @@
 
 A gear rolling hash over a text's words sets cuts wherever its low bits are zero, so cuts depend on
 the last words alone and return soon after an insertion. A chunk runs from a cut to the first cut at
-least `least` words later; chunks have variable length and overlap. A chunk whose digest an earlier
-document (by doc_id) has is a repeat; the union of a document's repeats is cut out of its text.
+least `least` words later, or from the last cut early enough to a cut that would end none; chunks have
+variable length and overlap. A chunk whose digest an earlier document (by doc_id) has is a repeat; so
+is one that stands earlier in the text itself, without overlap, and such a one is extended word by
+word. The union of a text's repeats is cut out of it.
 
 Texts: null, empty or blank texts have no chunks; a text shorter than `least` words is one chunk
 only if it is not empty of cuts, so it is never cut. Rows with the same doc_id are one document and
-lose nothing to each other; rows with a null doc_id are kept whole and are nobody's first. White
-space takes no part in chunks. Extra columns are ignored.
+lose nothing to each other, only what repeats in their own text; rows with a null doc_id are kept
+whole and are nobody's first. White space takes no part in chunks. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from . import common
 
 #: Words of a chunk at least; passages of over 50 words hold several.
 LEAST = 30
-#: Low bits of the gear hash that must be zero at a cut: one word in 4 is one.
-GEAR_BITS = 2
+#: Low bits of the gear hash that must be zero at a cut: one word in 2 is one.
+GEAR_BITS = 1
 _FLUSH = 800_000
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
@@ -71,13 +73,50 @@ def chunks(h: np.ndarray, powers: Powers, least: int = LEAST) -> tuple[np.ndarra
         cuts = np.unique(np.concatenate([cuts, common.ragged(np.ones(len(gap), np.int64), gap) * least + np.repeat(cuts[:-1], gap)]))
     nxt = np.searchsorted(cuts, cuts + least)
     ok = nxt < len(cuts)
-    start, end = cuts[ok], cuts[nxt[ok]]
+    # cuts that end none of these end one from the last cut early enough, so all from a passage's first cut to its last is covered
+    lone = np.ones(len(cuts), bool)
+    lone[nxt[ok]] = False
+    lone &= cuts >= least
+    back = np.searchsorted(cuts, cuts[lone] - least, side="right") - 1
+    start, end = np.concatenate([cuts[ok], cuts[back]]), np.concatenate([cuts[nxt[ok]], cuts[lone]])
+    order = np.lexsort((end, start))
+    start, end = start[order], end[order]
     up, down = powers.to(n + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:n])])
     digest = common.mix64((total[end] - total[start]) * down[start] ^ common.mix64((end - start).astype(np.uint64)))
     return digest, start, end
 
 
+def within(h: np.ndarray, digest: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    """Spans of words that stand earlier in the same text, as far as both places agree and don't meet."""
+    if len(set(digest.tolist())) == len(digest):
+        return []
+    _, first, own = np.unique(digest, return_index=True, return_inverse=True)
+    first = first[own]
+    out: list[tuple[int, int]] = []
+    done = 0
+    for c in np.flatnonzero(start >= end[first]):
+        s0, e0, s1, e1 = int(start[first[c]]), int(end[first[c]]), int(start[c]), int(end[c])
+        if e1 <= done:
+            continue
+        while s0 > 0 and s1 > max(done, e0) and h[s0 - 1] == h[s1 - 1]:
+            s0, s1 = s0 - 1, s1 - 1
+        while e1 < len(h) and e0 < s1 and h[e0] == h[e1]:
+            e0, e1 = e0 + 1, e1 + 1
+        out.append((s1, e1))
+        done = e1
+    return out
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Bytes of one significance side by side, which compress well."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
+
+
+def _unpacked(raw: bytes, dtype: str) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T.copy().reshape(-1).view(dtype)
+
+
 def places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Code-point positions of starts and ends of the words of a UTF-8 text."""
     b = np.frombuffer(raw, np.uint8)
@@ -102,7 +141,7 @@ def union(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _send(ranges: int, least: int):
     """Batches -> by range of digests, each chunk of the batch with its smallest doc_id; and spans that repeat within the batch."""
 
-    def flush(ids: list[int], found: list[tuple], turn: int) -> pd.DataFrame:
+    def flush(ids: list[int], found: list[tuple], inner: list[tuple], turn: int) -> pd.DataFrame:
         digest = np.concatenate([f[0] for f in found])
         if not len(digest):
             return pd.DataFrame()
@@ -119,16 +158,19 @@ def _send(ranges: int, least: int):
         d, o, s, e = (x[~later] for x in (digest, doc, start, end))
         for r in np.flatnonzero(np.diff(at)):
             cut = slice(at[r], at[r + 1])
-            rows.append((int(r), d[cut].view(np.uint8).reshape(-1, 8).T.tobytes(), o[cut].tobytes(), s[cut].astype("<u4").tobytes(), (e[cut] - s[cut]).astype("<u4").tobytes()))
+            rows.append((int(r), _packed(d[cut]), _packed(o[cut]), _packed(s[cut].astype("<u4")), _packed((e[cut] - s[cut]).astype("<u4")), None))
         if later.any():  # known to repeat: passed through, balanced over the ranges
-            rows.append((turn % ranges, None, doc[later].tobytes(), start[later].astype("<u4").tobytes(), (end[later] - start[later]).astype("<u4").tobytes()))
-        return pd.DataFrame(rows, columns=["rng", "digests", "docs", "starts", "sizes"])
+            rows.append((turn % ranges, None, _packed(doc[later]), _packed(start[later].astype("<u4")), _packed((end[later] - start[later]).astype("<u4")), None))
+        if inner:  # of one text, known by its print
+            o, t, s, e = (np.array(x, np.int64) for x in zip(*inner, strict=True))
+            rows.append((turn % ranges, None, _packed(o), _packed(s.astype("<u4")), _packed((e - s).astype("<u4")), _packed(t)))
+        return pd.DataFrame(rows, columns=["rng", "digests", "docs", "starts", "sizes", "prints"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, powers = common.WordHashes(), Powers()
-        ids, found, size, turn = [], [], 0, 0
+        ids, found, inner, size, turn = [], [], [], 0, 0
         for b in batches:
-            for doc, text in zip(b["doc_id"].tolist(), b["text"], strict=True):
+            for doc, text, mark in zip(b["doc_id"].tolist(), b["text"], b["print"].tolist(), strict=True):
                 raw = text.encode()
                 h = np.array(list(map(words.__getitem__, raw.split())), np.uint64)
                 digest, s, e = chunks(h, powers, least)
@@ -136,13 +178,14 @@ def _send(ranges: int, least: int):
                     ws, we = places(raw)
                     ids.append(doc)
                     found.append((digest, ws[s], we[e - 1]))
+                    inner += [(doc, mark, ws[x], we[y - 1]) for x, y in within(h, digest, s, e)]
                     size += len(h)
                 if size >= _FLUSH:
-                    yield flush(ids, found, turn + doc % 997)
-                    ids, found, size, turn = [], [], 0, turn + 1
+                    yield flush(ids, found, inner, turn + doc % 997)
+                    ids, found, inner, size, turn = [], [], [], 0, turn + 1
         if ids:
-            yield flush(ids, found, turn + ids[0] % 997)
-        del words, ids, found
+            yield flush(ids, found, inner, turn + ids[0] % 997)
+        del words, ids, found, inner
         common.trim()
 
     return run
@@ -153,12 +196,12 @@ def _first(g: pd.DataFrame) -> pd.DataFrame:
     passed = g["digests"].isna().to_numpy()
     d, o, s, n = [np.zeros(0, np.uint64)], [], [], []
     out = []
-    for skip, digests, docs, starts, sizes in zip(passed, g["digests"], g["docs"], g["starts"], g["sizes"], strict=True):
-        own = (np.frombuffer(docs, np.int64), np.frombuffer(starts, "<u4").astype(np.int64), np.frombuffer(sizes, "<u4").astype(np.int64))
+    for skip, digests, docs, starts, sizes, prints in zip(passed, g["digests"], g["docs"], g["starts"], g["sizes"], g["prints"], strict=True):
+        own = (_unpacked(docs, "<i8"), _unpacked(starts, "<u4").astype(np.int64), _unpacked(sizes, "<u4").astype(np.int64))
         if skip:
-            out.append(own)
+            out.append((*own, np.zeros(len(own[0]), np.int64) if prints is None else _unpacked(prints, "<i8")))
             continue
-        d.append(np.frombuffer(digests, np.uint8).reshape(8, -1).T.copy().reshape(-1).view(np.uint64))
+        d.append(_unpacked(digests, "<u8"))
         o.append(own[0])
         s.append(own[1])
         n.append(own[2])
@@ -169,37 +212,46 @@ def _first(g: pd.DataFrame) -> pd.DataFrame:
         digest, doc, start, size = digest[order], doc[order], start[order], size[order]
         new = np.concatenate([[True], digest[1:] != digest[:-1]])
         later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-        out.append((doc[later], start[later], size[later]))
+        out.append((doc[later], start[later], size[later], np.zeros(later.sum(), np.int64)))
     rows = []
-    for doc, start, size in (x for x in out if len(x[0])):  # spans of a document are merged before they travel
-        order = np.argsort(doc, kind="stable")
-        doc, start, size = doc[order], start[order], size[order]
-        at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    for doc, start, size, mark in (x for x in out if len(x[0])):  # spans of a document are merged before they travel
+        order = np.lexsort((mark, doc))
+        doc, start, size, mark = doc[order], start[order], size[order], mark[order]
+        at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])]))
         for a, b in zip(at, [*at[1:], len(doc)], strict=True):
             for x, y in zip(*union(start[a:b], start[a:b] + size[a:b]), strict=True):
-                rows.append((int(doc[a]), int(x), int(y)))
-    return pd.DataFrame(rows, columns=["doc_id", "start", "end"])
+                rows.append((int(doc[a]), int(x), int(y), int(mark[a])))
+    return pd.DataFrame(rows, columns=["doc_id", "start", "end", "print"])
 
 
 def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, starts, ends): merged spans of every document that an earlier document has, in code points."""
+    """(doc_id, prints, starts, ends): merged spans of every document's repeats, in code points.
+
+    The first entry of starts and ends is what earlier documents have; the further ones are that and
+    what repeats within a text, for the texts whose hashes `prints` names in this order."""
     ranges = common.shards(docs, 4 << 20)
-    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sent = rows.mapInPandas(_send(ranges, least), "rng int, digests binary, docs binary, starts binary, sizes binary")
-    spans = sent.groupBy("rng").applyInPandas(_first, "doc_id long, start int, end int")
+    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("print"))
+    sent = rows.mapInPandas(_send(ranges, least), "rng int, digests binary, docs binary, starts binary, sizes binary, prints binary")
+    spans = sent.groupBy("rng").applyInPandas(_first, "doc_id long, start int, end int, print long")
 
     def merge(g: pd.DataFrame) -> pd.DataFrame:
-        s, e = union(g["start"].to_numpy(), g["end"].to_numpy())
-        return pd.DataFrame({"doc_id": [int(g["doc_id"].iloc[0])], "starts": [s], "ends": [e]})
+        s, e, mark = g["start"].to_numpy(), g["end"].to_numpy(), g["print"].to_numpy()
+        marks = [0, *np.unique(mark[mark != 0]).tolist()]
+        of = [(mark == 0) | (mark == m) for m in marks]
+        found = [union(s[x], e[x]) if x.any() else (s[:0], e[:0]) for x in of]
+        return pd.DataFrame({"doc_id": [int(g["doc_id"].iloc[0])], "prints": [marks[1:]], "starts": [[x.tolist() for x, _ in found]], "ends": [[y.tolist() for _, y in found]]})
 
-    return common.by_group(spans, ["doc_id"], merge, "doc_id long, starts array<int>, ends array<int>")
+    return common.by_group(spans, ["doc_id"], merge, "doc_id long, prints array<long>, starts array<array<int>>, ends array<array<int>>")
 
 
 def dedupe(docs: DataFrame, least: int = LEAST, keep: list[str] | None = None) -> DataFrame:
     """doc_id (or the columns in `keep`), text without repeats, removed_chars and n_spans; one row per row of docs."""
     names = [c for c in (keep or ["doc_id"]) if c != "text"]
     spans = repeats(docs, least).withColumnRenamed("doc_id", "_id")
+    own = F.array_position("prints", F.xxhash64("text")).cast("int")
+    spans = spans.select("_id", "prints", F.col("starts").alias("_starts"), F.col("ends").alias("_ends"))
     rows = docs.select(*names, "text").join(spans, F.col("doc_id").cast("long") == F.col("_id"), "left")
+    rows = rows.select(*names, "text", "_id", F.get("_starts", own).alias("starts"), F.get("_ends", own).alias("ends"))
     text, n = F.col("text"), F.size("starts")
 
     def piece(i):  # what stands before span i, or after the last

@@ -176,6 +176,28 @@ def test_substrings(spark, docs, texts):
     assert substrings.dedupe(docs.limit(0)).count() == 0
 
 
+def test_substrings_short_and_inner(spark):
+    r = random.Random(8)
+    new = iter(range(10**6))
+
+    def words(n):
+        return " ".join(f"w{next(new)}x{r.randint(0, 99)}" for _ in range(n))
+
+    # passages of 51 words in two documents, and a passage twice in one text of two that share an id
+    shared = [words(51) for _ in range(300)]
+    inner, lead = words(60), words(40)
+    twice = f"{lead} {inner} {words(20)} {inner} {words(9)}"
+    rows = [(i, f"{words(30)} {p} {words(30)}") for i, p in enumerate(shared)] + [(1000 + i, f"{words(30)} {p} {words(30)}") for i, p in enumerate(shared)]
+    rows += [(5000, twice), (5000, words(200))]
+    got = defaultdict(list)
+    for x in substrings.dedupe(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[x["doc_id"]].append(x)
+    assert all(got[i][0]["removed_chars"] == 0 for i in range(300)) and all(got[1000 + i][0]["n_spans"] == 1 for i in range(300))
+    share = [got[1000 + i][0]["removed_chars"] / len(p) for i, p in enumerate(shared)]
+    assert max(share) <= 1 and sum(share) / len(share) > 0.94
+    assert sorted(x["removed_chars"] for x in got[5000]) == [0, len(inner)] and any(x["text"].count(inner) == 1 for x in got[5000])
+
+
 def test_chunks_resist_insertions():
     h = common.WordHashes()
     words = [h[f"w{i}".encode()] for i in range(400)]
