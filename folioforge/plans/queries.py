@@ -640,3 +640,46 @@ def contact_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text"), F.lit("").alias("uncategorized_text"))
     rows = rows.withColumn("blocks", F.array().cast("array<struct<pos:int,block_id:string,label:string,text:string>>")).withColumn("named", F.array().cast("array<struct<name:string,text:string,blocks:array<struct<pos:int,block_id:string,label:string,text:string>>>>"))
     return C.contacts(rows).select("doc_id", "contact_candidates.*")
+
+
+# --- what the queries over literal rows compute, over whole tables
+
+
+@query(None)
+def section_bleed_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.bleed_markers(section_split(spark, sf_dir)).select("doc_id", F.array_join("markers", ";").alias("markers"))
+
+
+@query(None)
+def composite_headings_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.composite_headings(section_split(spark, sf_dir)).select("doc_id", F.explode("headings").alias("heading"))
+
+
+@query(None)
+def skill_keys_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_rows(spark, sf_dir).withColumn("key", L.technical_key(F.col("text")))
+
+
+@query(None)
+def cert_keys_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_rows(spark, sf_dir).withColumn("key", L.certification_key(F.col("text")))
+
+
+@query(None)
+def recoverable_skills_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_rows(spark, sf_dir).where(L.is_technical(L.clean_skill(F.col("text"))))
+
+
+@query(None)
+def recoverable_certs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_rows(spark, sf_dir).where(L.is_certification(L.clean_certification(F.col("text"))))
+
+
+@query(None)
+def recoverable_languages_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_rows(spark, sf_dir).where(L.is_language(text.normalize_flat("text")))
+
+
+@query(None)
+def recoverable_soft_skills_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_rows(spark, sf_dir).where(L.is_soft_skill(L.clean_soft_skill(F.col("text"))))

@@ -46,3 +46,21 @@ def test_pages_by_whole_texts(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = {r["page_number"]: r["extractor"] for r in plan.QUERIES["extractor_page_select_whole"](spark, str(tmp_path)).collect()}
     assert got == {1: "fallback", 2: "primary", 3: "primary"}
+
+
+def test_lists_and_sections_read_documents(spark, tmp_path):
+    lines = ["React.js", "AWS Certified Developer", "English", "• Teamwork", "working with many people daily"]
+    cv = "SUMMARY\nDoes many things here EDUCATION &\nWork Experience\nAt a place."
+    spark.createDataFrame([(1, "\n".join(lines)), (2, "plain words"), (3, cv)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def found(name):
+        return {n: r for r in plan.QUERIES[name + "_whole"](spark, str(tmp_path)).collect() for n in [(r["doc_id"], r["text"].replace("\u2022 ", ""))]}
+
+    assert found("skill_keys")[1, "React.js"]["key"] == "react" and len(found("skill_keys")) == 10
+    assert len(found("cert_keys")) == 10 and found("cert_keys")[1, "AWS Certified Developer"]["key"] == "aws certified developer"
+    for name, line in (("skills", "React.js"), ("certs", "AWS Certified Developer"), ("languages", "English"), ("soft_skills", "Teamwork")):
+        hits = found("recoverable_" + name)
+        assert (1, line) in hits and (name == "languages" or (1, lines[-1]) not in hits)
+    sections = plan.section_split(spark, str(tmp_path))
+    assert {r["doc_id"] for r in plan.QUERIES["composite_headings_whole"](spark, str(tmp_path)).collect()} <= {r["doc_id"] for r in sections.collect()}
+    plan.QUERIES["section_bleed_whole"](spark, str(tmp_path)).collect()
