@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import common, vectors
 
-TABLES, WIDTH, STEP, LEAST = 64, 10, 1.5, 0.9
+TABLES, WIDTH, STEP, LEAST = 80, 10, 1.5, 0.9
 CELL = 512
 
 

@@ -281,6 +281,14 @@ def test_ann(spark, vecs):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_neardup_recall_at_threshold():
+    from math import erf, exp, pi, sqrt
+
+    t = neardup.STEP / sqrt(2 - 2 * 0.9)  # the p-stable formula at cosine 0.9
+    one = erf(t / sqrt(2)) - 2 / (sqrt(2 * pi) * t) * (1 - exp(-t * t / 2))
+    assert 1 - (1 - one**neardup.WIDTH) ** neardup.TABLES > 0.99
+
+
 @pytest.mark.parametrize("cell", [64, 2048])
 def test_ann_repeated_ids(spark, cell):
     r = np.random.default_rng(4)
