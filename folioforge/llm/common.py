@@ -6,15 +6,20 @@ import atexit
 import ctypes
 import gc
 import hashlib
+import re
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
+#: Bytes of an Arrow batch, and of what one reducing task should read, about.
+BATCH_BYTES, TASK_BYTES = 8 << 20, 64 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,15 +27,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where it is unset, one of our own."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset, executors in the
+    driver's own process (as in tests) get a folder of ours; others could not see it, so that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
+    if found:
+        return found.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         import tempfile
 
-        found = tempfile.mkdtemp(prefix="folioforge-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        _own[app] = tempfile.mkdtemp(prefix="folioforge-")
+    return _own[app]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -44,9 +58,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes a table of materialise() that nothing reads any more."""
-    for own in [x for x in _written if x[1] == getattr(df, "_path", None)]:
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of materialise() that nothing reads any more."""
+    paths = {getattr(df, "_path", None) for df in tables}
+    for own in [x for x in _written if x[1] in paths]:
         _delete(*own)
         _written.remove(own)
 
@@ -68,8 +83,11 @@ atexit.register(_clean)
 
 
 def tune(spark: SparkSession) -> None:
-    """Arrow batches of fewer rows than by default: texts are long, and a batch lies in memory several times."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    """Bounds Arrow batches by bytes as well as rows, unless the caller has: texts are long, and a batch lies in memory several times."""
+    for name, default, ours in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "", str(BATCH_BYTES))):
+        key = f"spark.sql.execution.arrow.{name}"
+        if spark.sparkContext.getConf().get(key) is None and (name == "maxBytesPerBatch" or spark.conf.get(key) == default):
+            spark.conf.set(key, ours)
 
 
 def trim() -> None:
@@ -82,8 +100,14 @@ def trim() -> None:
 
 
 def size_hint(df: DataFrame) -> int:
-    """Bytes of df by Spark's own statistics; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Bytes of df by Spark's own statistics, 0 where it knows none; runs no job."""
+    found = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return found if found < 1 << 60 else 0
+
+
+def parts(df: DataFrame, times: float = 1.0) -> int:
+    """Partitions for an exchange of `times` df's bytes: they grow with the input, from the session's own number on."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(times * size_hint(df)) // TASK_BYTES)
 
 
 def shards(df: DataFrame, target_bytes: int, least: int = 64) -> int:
@@ -168,7 +192,7 @@ def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Data
         yield pd.concat(rest) if len(rest) > 1 else rest[0]
 
 
-def by_group(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, order: list[str] | None = None) -> DataFrame:
+def by_group(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, order: list[str] | None = None, parts_: int | None = None) -> DataFrame:
     """work() on every group of bounded size: one exchange by the keys, one sort, then a stream of groups."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,33 +208,71 @@ def by_group(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.D
         if held:
             yield pd.concat(held)
 
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, *keys).sortWithinPartitions(*keys, *(order or [])).mapInPandas(run, schema)
+    n = parts_ or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, *(order or [])).mapInPandas(run, schema)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.RecordBatch]]:
+    for b in batches:
+        if b.num_rows:
+            k = b.column(key).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), b.num_rows]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                yield k[start], b.slice(start, end - start)
+
+
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, Iterator[pa.RecordBatch]]]:
+    """(value, slices of batches) for every run of one key in batches sorted by it; a run is streamed, never gathered."""
+    for value, run in groupby(_pieces(batches, key), key=lambda p: p[0]):
+        yield value, (b for _, b in run)
+
+
+def with_hubs(rows: DataFrame, table: DataFrame, key: str, many: int) -> DataFrame:
+    """rows joined with table (one row a key; `n` says how many of rows have it) without a hot key in one task.
+
+    Keys that over `many` rows have are joined by broadcast; with `many` no less than a ten-thousandth
+    of the rows they are at most ten thousand."""
+    hubs, others = table.where(F.col("n") > many), table.where(F.col("n") <= many).drop("n")
+    names = [c for c in hubs.columns if c not in (key, "n")]
+    marked = rows.join(F.broadcast(hubs.select(key, F.struct(*names).alias("_hub"))), key, "left")
+    hot = marked.where("_hub is not null").select(*rows.columns, *(F.col(f"_hub.{c}").alias(c) for c in names))
+    return hot.unionByName(marked.where("_hub is null").select(*rows.columns).join(others, key).select(*rows.columns, *names))
+
+
+def least_hub(n: int) -> int:
+    """So many rows make a key a hub: at most ten thousand keys of n rows have more."""
+    return max(64, n // 10_000)
+
+
+def _star(e: DataFrame, forward: str) -> DataFrame:
+    """(a, b, m) for rows (a, b) of e with the condition `forward`: m is the least of a and of all its b in e."""
+    low = materialise(e.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n")), "cc")
+    out = materialise(with_hubs(e.where(forward).select("a", "b"), low, "a", least_hub(e.count())), "cc")
+    discard(low)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for edges (a, b) of any orderable type; component is the smallest node reachable.
 
-    Alternates large-star and small-star steps; every step is a pair of shuffles whose rows never
-    exceed the edges, and every round is written to the shared folder. No node's links are gathered
-    in one row, and nothing but a count reaches the driver.
+    Alternates large-star and small-star steps; every step is a few shuffles whose rows never exceed
+    twice the edges, and every round is written to the shared folder, the one before deleted. No node's
+    links are gathered in one row or task, and nothing but counts reaches the driver.
     """
     e = materialise(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    if e.isEmpty():
-        return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    while True:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        large = materialise(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select("b", "m").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        small = materialise(small.distinct(), "cc")
+    while not e.isEmpty():
+        both = materialise(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))), "cc")
+        starred = _star(both, "b > a")
+        large = materialise(starred.where("b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).distinct(), "cc")
+        discard(both, starred, e)
+        starred = _star(large, "true")
+        links = starred.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(starred.select("a", F.col("m").alias("b")))
+        e = materialise(links.where("a <> b").distinct(), "cc")
+        discard(large, starred)
         # a star forest: nobody is both a child and a parent, and every child has one parent
-        n, children = small.count(), small.select("a").distinct().count()
-        if n == children and small.join(small.select(F.col("a").alias("x")), small["b"] == F.col("x"), "left_semi").isEmpty():
-            return small.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(small.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        e = small
+        if e.count() == e.select("a").distinct().count() and e.join(e.select(F.col("a").alias("x")), F.col("b") == F.col("x"), "left_semi").isEmpty():
+            break
+    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
 def crc_mod(doc_id: Column | str, m: int) -> Column:

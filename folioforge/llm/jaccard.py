@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,9 @@ FREQUENT = 64
 _BITS = 56
 #: Words that a worker gathers before it sends what they make.
 _FLUSH = 600_000
+#: Postings that a reducing worker holds, about.
+_POSTINGS = 1_000_000
+_WORD = r"[^\x20\x09-\x0D]"
 
 
 def shingles(text: str, words: common.WordHashes, width: int = WORDS) -> np.ndarray:
@@ -51,39 +55,41 @@ def _planes(x: np.ndarray) -> bytes:
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].T.tobytes()
 
 
-def _unplanes(b: bytes) -> np.ndarray:
-    n = len(b) // 7
+def _unplanes(b) -> np.ndarray:
+    raw = np.frombuffer(b, np.uint8)
+    n = len(raw) // 7
     out = np.zeros((n, 8), np.uint8)
-    out[:, :7] = np.frombuffer(b, np.uint8).reshape(7, n).T
+    out[:, :7] = raw.reshape(7, n).T
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-_SENT = "rng int, kind int, doc_id long, digest long, n int, tokens binary, owners binary, sets binary"
-_DOC, _POSTING, _COUNT, _KNOWN, _NAMELESS = 0, 1, 2, 3, 4
+_SENT = "rng int, kind int, digest long, n int, tokens binary, owners binary, sets binary, docs array<long>"
+_TOLD = "digest long, n int, token long, df int, docs array<long>"
+_COUNT, _KNOWN, _POSTING, _CLASS = 0, 1, 2, 3
+_TOLD_ARROW = pa.schema([("digest", pa.int64()), ("n", pa.int32()), ("token", pa.int64()), ("df", pa.int32()), ("docs", pa.list_(pa.int64()))])
+
+
+def digest_of(s: np.ndarray) -> int:
+    """Name of a set; the empty one's is 0."""
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else 0
 
 
 def _send(ranges: int):
-    """Batches of texts -> document rows and, by range of shingles, postings of the batch's different sets."""
+    """Batches of texts -> a row for each different set of the batch with its documents and, by range of shingles, postings of the sets."""
 
     bounds = np.array([(i << _BITS) // ranges for i in range(ranges + 1)], np.uint64)
+    names = ["rng", "kind", "digest", "n", "tokens", "owners", "sets", "docs"]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
 
-    def flush(ids: list, sets: list[np.ndarray], turn: int) -> pd.DataFrame:
-        rows = []
-        first: dict[int, int] = {}
-        digests, sizes, own = [], [], []
-        for d, s in zip(ids, sets, strict=True):
-            digest = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
-            # no nulls among whole numbers: pandas would make floats of them
-            rows.append(((d or 0) % ranges, _NAMELESS if d is None else _DOC, d or 0, digest, len(s), None, None, None))
-            if len(s) and digest not in first:
-                first[digest] = len(own)
-                own.append(s)
-                digests.append(digest)
-                sizes.append(len(s))
+    def flush(held: dict[int, tuple[np.ndarray, list]], turn: int) -> Iterator[pa.RecordBatch]:
+        rows = [(d % ranges, _CLASS, d, len(s), None, None, None, docs) for d, (s, docs) in held.items()]
+        digests = [d for d, (s, _) in held.items() if len(s)]
+        own = [held[d][0] for d in digests]
         if own:
+            sizes = [len(s) for s in own]
             table = np.stack([np.array(digests, np.int64), np.array(sizes, np.int64)], axis=1)
             t = np.concatenate(own)
-            owner = np.repeat(np.arange(len(own), dtype=np.int64), sizes)
+            owner = np.repeat(np.arange(len(own), dtype=np.uint32), sizes)
             order = np.argsort(t, kind="stable")
             t, owner = t[order], owner[order]
             edge = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
@@ -93,7 +99,7 @@ def _send(ranges: int):
             def payload(r: int, kind: int, tokens: np.ndarray, owners: np.ndarray) -> None:
                 used, back = np.unique(owners, return_inverse=True)
                 width = "<u2" if len(used) < 65536 else "<u4"
-                rows.append((r, kind, 0, 0, 0, _planes(tokens), back.astype(width).tobytes(), table[used].tobytes()))
+                rows.append((r, kind, 0, 0, _planes(tokens), back.astype(width).tobytes(), table[used].tobytes(), None))
 
             cold_t, cold_o = t[~hot], owner[~hot]
             at = np.searchsorted(cold_t, bounds)
@@ -103,74 +109,104 @@ def _send(ranges: int):
                 which = edge[times >= FREQUENT]
                 place = np.searchsorted(bounds, t[which], side="right") - 1
                 for r in np.unique(place):
-                    mine = which[place == r]
-                    rows.append((int(r), _COUNT, 0, 0, 0, _planes(t[mine]), None, None))
-                payload(turn % ranges, _KNOWN, t[hot], owner[hot])
-        return pd.DataFrame(rows, columns=["rng", "kind", "doc_id", "digest", "n", "tokens", "owners", "sets"])
+                    rows.append((int(r), _COUNT, 0, 0, _planes(t[which[place == r]]), None, None, None))
+                for s in range(0, int(hot.sum()), _POSTINGS):
+                    payload(turn % ranges, _KNOWN, t[hot][s : s + _POSTINGS], owner[hot][s : s + _POSTINGS])
+        for s in range(0, len(rows), 2000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*rows[s : s + 2000], strict=True), types, strict=True)], names)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = common.WordHashes()
-        ids, sets, size, turn = [], [], 0, 0
+        held: dict[int, tuple[np.ndarray, list]] = {}
+        size = turn = 0
         for b in batches:
-            for d, text in zip(b["doc_id"].tolist(), b["text"], strict=True):
-                s = shingles(text, words)
-                ids.append(None if d is None or d != d else int(d))
-                sets.append(s)
-                size += len(s)
+            for d, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
+                s = shingles(text.as_py(), words)
+                digest = digest_of(s)
+                if digest in held:
+                    held[digest][1].append(d)
+                    size += 1
+                else:
+                    held[digest] = (s, [d])
+                    size += 1 + len(s)
                 if size >= _FLUSH:
-                    yield flush(ids, sets, turn + int(sets[0][0] % 997 if len(sets[0]) else 0))
-                    ids, sets, size, turn = [], [], 0, turn + 1
-        if ids:
-            yield flush(ids, sets, turn + int(sets[0][0] % 997 if len(sets[0]) else 0))
-        del words, ids, sets
+                    yield from flush(held, turn + digest % 997)
+                    held, size, turn = {}, 0, turn + 1
+        if held:
+            yield from flush(held, turn + next(iter(held)) % 997)
+        del words, held
         common.trim()
 
     return run
 
 
-def _reply(g: pd.DataFrame) -> pd.DataFrame:
-    """One range of shingles: for every set, those of its shingles that other sets hold too, with their frequency."""
-    kind = g["kind"].to_numpy()
-    docs = g[(kind == _DOC) | (kind == _NAMELESS)]
-    doc_id = docs["doc_id"].astype("Int64").mask(docs["kind"] == _NAMELESS)
-    digest = docs["digest"].astype("Int64").mask(docs["n"] == 0)
-    nothing = pd.array([pd.NA] * len(docs), "Int64")
-    parts = [pd.DataFrame({"doc_id": doc_id, "digest": digest, "n": docs["n"].astype("Int64"), "token": nothing, "df": nothing})]
-
-    def unpack(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        t, d, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for tokens, owners, sets in zip(rows["tokens"], rows["owners"], rows["sets"], strict=True):
-            tok = _unplanes(tokens)
-            own = np.frombuffer(owners, "<u2" if len(owners) == 2 * len(tok) else "<u4")
-            table = np.frombuffer(sets, np.int64).reshape(-1, 2)
-            t.append(tok)
-            d.append(table[own, 0])
-            n.append(table[own, 1])
-        return np.concatenate(t), np.concatenate(d), np.concatenate(n)
-
-    def out(t: np.ndarray, d: np.ndarray, n: np.ndarray, df: np.ndarray) -> None:
-        parts.append(pd.DataFrame({"doc_id": pd.array([pd.NA] * len(t), "Int64"), "digest": pd.array(d, "Int64"), "n": pd.array(n, "Int64"), "token": pd.array(t.astype(np.int64), "Int64"), "df": pd.array(df, "Int64")}))
-
-    t, d, n = unpack(g[kind == _POSTING])
-    if len(t):
-        order = np.lexsort((d, t))
-        t, d, n = t[order], d[order], n[order]
-        fresh = np.concatenate([[True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])])  # a set of many batches counts once
-        t, d, n = t[fresh], d[fresh], n[fresh]
-        edge = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-        times = np.diff(np.concatenate([edge, [len(t)]]))
-        df = times.copy()
-        known = g[kind == _COUNT]
-        if len(known):
-            hot = np.unique(np.concatenate([_unplanes(x) for x in known["tokens"]]))
-            df[np.isin(t[edge], hot)] += FREQUENT
-        df = np.repeat(np.minimum(df, FREQUENT), times)
-        keep = df > 1
-        out(t[keep], d[keep], n[keep], df[keep])
-    t, d, n = unpack(g[kind == _KNOWN])
-    if len(t):
-        out(t, d, n, np.full(len(t), FREQUENT))
-    return pd.concat(parts)
+def _shared(t: np.ndarray, d: np.ndarray, n: np.ndarray, df: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for s in range(0, len(t), 100_000):
+        cut = slice(s, s + 100_000)
+        columns = [pa.array(d[cut]), pa.array(n[cut].astype(np.int32)), pa.array(t[cut].astype(np.int64)), pa.array(df[cut].astype(np.int32)), pa.nulls(len(t[cut]), pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, schema=_TOLD_ARROW)
+
+
+def _reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of shingles -> for every set, those of its shingles that other sets hold too, with their frequency.
+
+    A range is streamed. Postings are held until there are many; then those of shingles that turn out
+    to be frequent go out at once, as all later ones of them do, so at most FREQUENT of a shingle stay."""
+
+    def unpack(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        tok = _unplanes(b.column("tokens")[i].as_buffer())
+        raw = b.column("owners")[i].as_buffer()
+        table = np.frombuffer(b.column("sets")[i].as_buffer(), np.int64).reshape(-1, 2)
+        own = np.frombuffer(raw, "<u2" if raw.size == 2 * len(tok) else "<u4")
+        return tok, table[own, 0], table[own, 1]
+
+    for _, part in common.runs(batches, "rng"):
+        hot = np.zeros(0, np.uint64)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def counted() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            """What is held, a set of many batches once, with the frequencies so far."""
+            t, d, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((d, t))
+            t, d, n = t[order], d[order], n[order]
+            fresh = np.concatenate([[True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])])
+            t, d, n = t[fresh], d[fresh], n[fresh]
+            edge = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+            times = np.diff(np.concatenate([edge, [len(t)]]))
+            return t, d, n, np.repeat(np.minimum(times, FREQUENT), times)
+
+        for b in part:
+            kind = b.column("kind").to_numpy()
+            if (kind == _CLASS).any():
+                own = b.filter(pa.array(kind == _CLASS))
+                nothing = pa.nulls(own.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([own.column("digest"), own.column("n"), nothing, pa.nulls(own.num_rows, pa.int32()), own.column("docs")], schema=_TOLD_ARROW)
+            counts = [_unplanes(b.column("tokens")[int(i)].as_buffer()) for i in np.flatnonzero(kind == _COUNT)]
+            if counts:
+                hot = np.unique(np.concatenate([hot, *counts]))
+            for i in np.flatnonzero((kind == _KNOWN) | (kind == _POSTING)):
+                t, d, n = unpack(b, int(i))
+                known = np.isin(t, hot) if kind[i] == _POSTING else np.ones(len(t), bool)
+                if known.any():
+                    yield from _shared(t[known], d[known], n[known], np.full(known.sum(), FREQUENT))
+                    t, d, n = t[~known], d[~known], n[~known]
+                if len(t):
+                    held.append((t, d, n))
+                    size += len(t)
+                if size > _POSTINGS:
+                    t, d, n, df = counted()
+                    out = df >= FREQUENT
+                    yield from _shared(t[out], d[out], n[out], df[out])
+                    hot = np.unique(np.concatenate([hot, t[out]]))
+                    held = [(t[~out], d[~out], n[~out])]
+                    # at least half a block between two rounds, whatever stays
+                    size = min(len(held[0][0]), _POSTINGS // 2)
+        if held:
+            t, d, n, df = counted()
+            keep = df > 1
+            yield from _shared(t[keep], d[keep], n[keep], df[keep])
+    common.trim()
 
 
 def _levels(n: int) -> list[tuple[int, int]]:
@@ -218,19 +254,50 @@ def signatures(n: int, tokens: np.ndarray, df: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _sign(g: pd.DataFrame) -> pd.DataFrame:
-    """One set's shared shingles -> the set with its signatures, if it can have a similar one at all."""
-    n = int(g["n"].iloc[0])
-    tokens, at = np.unique(g["token"].to_numpy().astype(np.uint64), return_index=True)
-    if n - len(tokens) > n * (100 - PERCENT) // 100:
-        return pd.DataFrame()
-    df = g["df"].to_numpy()[at]
-    order = np.lexsort((tokens, df))
-    tokens, df = tokens[order], df[order]
-    signs = signatures(n, tokens, df)
-    if not len(signs):
-        return pd.DataFrame()
-    return pd.DataFrame({"digest": [int(g["digest"].iloc[0])], "n": [n], "alone": [n - len(tokens)], "tokens": [tokens.view(np.int64)], "signs": [signs]})
+_SIGNED = pa.schema([("digest", pa.int64()), ("n", pa.int32()), ("alone", pa.int32()), ("tokens", pa.list_(pa.int64())), ("signs", pa.list_(pa.int64()))])
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets' shared shingles, sorted by set -> the sets that can have a similar one at all, with their signatures."""
+    rows: list[tuple] = []
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        def lists(k: int) -> pa.Array:
+            ends = np.cumsum([0, *(len(r[k]) for r in rows)])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([r[k] for r in rows]), pa.int64()))
+
+        return pa.RecordBatch.from_arrays([*(pa.array([r[k] for r in rows], _SIGNED.types[k]) for k in range(3)), lists(3), lists(4)], schema=_SIGNED)
+
+    for digest, part in common.runs(batches, "digest"):
+        tokens, df, n = np.zeros(0, np.uint64), np.zeros(0, np.int32), 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
+        for b in part:
+            n = b.column("n")[0].as_py()
+            held.append((b.column("token").to_numpy().view(np.uint64), b.column("df").to_numpy()))
+            waiting += b.num_rows
+            if waiting > n + _POSTINGS:  # copies of one set in many batches
+                tokens, at = np.unique(np.concatenate([tokens, *(t for t, _ in held)]), return_index=True)
+                df = np.concatenate([df, *(f for _, f in held)])[at]
+                held, waiting = [], 0
+        if held:
+            tokens, at = np.unique(np.concatenate([tokens, *(t for t, _ in held)]), return_index=True)
+            df = np.concatenate([df, *(f for _, f in held)])[at]
+        if n - len(tokens) > n * (100 - PERCENT) // 100:
+            continue
+        order = np.lexsort((tokens, df))
+        tokens, df = tokens[order], df[order]
+        signs = signatures(n, tokens, df)
+        if len(signs):
+            rows.append((int(digest), n, n - len(tokens), tokens.view(np.int64), signs))
+            size += len(tokens) + len(signs)
+        if size > 500_000 or len(rows) >= 2000:
+            yield out()
+            rows, size = [], 0
+    if rows:
+        yield out()
+    common.trim()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -257,18 +324,20 @@ def _cell(g: pd.DataFrame) -> pd.DataFrame:
     left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
     tokens = [np.asarray(t) for t in g["tokens"]]
     size, comp, ids = g["n"].to_numpy(), g["component"].to_numpy(), g["digest"].to_numpy()
-    common_tokens = np.intersect1d(np.concatenate([tokens[i] for i in left]), np.concatenate([tokens[i] for i in right]))
+    shared = np.intersect1d(np.concatenate([tokens[i] for i in left]), np.concatenate([tokens[i] for i in right]))
 
-    def held(rows: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(rows), len(common_tokens)), np.float32)
+    def held(rows: np.ndarray, own: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), len(own)), np.float32)
         for k, i in enumerate(rows):
-            at = np.searchsorted(common_tokens, tokens[i])
-            ok = at < len(common_tokens)
+            at = np.searchsorted(own, tokens[i])
+            ok = at < len(own)
             at = at[ok]
-            out[k, at[common_tokens[at] == tokens[i][ok]]] = 1
+            out[k, at[own[at] == tokens[i][ok]]] = 1
         return out
 
-    both = held(left) @ held(right).T
+    both = np.zeros((len(left), len(right)), np.float32)
+    for s in range(0, len(shared), 16_384):  # long texts share many: a block of shingles at a time
+        both += held(left, shared[s : s + 16_384]) @ held(right, shared[s : s + 16_384]).T
     near = (100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)) & (comp[left][:, None] != comp[right][None, :])
     i, j = np.nonzero(near)
     if not len(i):
@@ -309,29 +378,69 @@ def _joined(sets: DataFrame) -> DataFrame:
     long = rest.where(F.col("size") > FREQUENT)
     family = common.components(long.select(F.col("digest").alias("a"), F.col("centre").alias("b")).distinct()).withColumnRenamed("node", "digest").withColumnRenamed("component", "family")
     members = long.select("digest", "component").distinct().join(family, "digest")
-    parts = (members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(256.0)).cast("int").alias("parts")))
-    members = members.join(parts, "family").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+    members = common.materialise(members.select("family", "digest", "component"), "members")
+    sizes = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(256.0)).cast("int").alias("parts"), F.count(F.lit(1)).alias("n"))
+    members = common.with_hubs(members, sizes, "family", common.least_hub(members.count())).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
     members = members.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o"))
     cells = members.join(sets.select("digest", "n", "tokens"), "digest").select("family", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi"), "block", "digest", "component", "n", "tokens")
     found = common.materialise(found.unionByName(common.by_group(cells, ["family", "lo", "hi"], _cell, "a long, b long")), "links")
-    return comp if found.isEmpty() else common.components(links.unionByName(found))
+    if not found.isEmpty():
+        comp = common.components(links.unionByName(found))
+    common.discard(lists, star, best, rest, found, links)
+    return comp
 
 
-def similar(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of docs."""
-    ranges = common.shards(docs, 4 << 20)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sent = rows.mapInPandas(_send(ranges), _SENT)
-    told = common.materialise(sent.groupBy("rng").applyInPandas(_reply, "doc_id long, digest long, n int, token long, df int"), "told")
-    owner = common.materialise(told.where("token is null").select("doc_id", "digest", "n"), "owner")
-    shared = told.where("token is not null").select("digest", "n", "token", "df")
-    sets = common.materialise(common.by_group(shared, ["digest"], _sign, "digest long, n int, alone int, tokens array<long>, signs array<long>"), "sets")
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of equal sets: (digest, n, docs), a row for every batch of texts that holds one, and (digest, component_id, kept).
 
+    component_id is the smallest doc_id of the class's component, null if it has none; of every
+    component one class is kept, the smallest by that id and digest. Sets without shingles are in the first alone."""
+    ranges, parts = common.shards(docs, 4 << 20), common.parts(docs, 2.0)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    sent = rows.mapInArrow(_send(ranges), _SENT).repartition(parts, "rng").sortWithinPartitions("rng", "kind")
+    told = common.materialise(sent.mapInArrow(_reply, _TOLD), "told")
+    held = common.materialise(told.where("docs is not null").select("digest", "n", "docs"), "held")
+    shared = told.where("docs is null").select("digest", "n", "token", "df").repartition(parts, "digest").sortWithinPartitions("digest")
+    sets = common.materialise(shared.mapInArrow(_sign, "digest long, n int, alone int, tokens array<long>, signs array<long>"), "sets")
     common.discard(told)
-    comp = _joined(sets)
+    comp = common.materialise(_joined(sets), "components")
     common.discard(sets)
-    classes = owner.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("low"))
-    classes = classes.join(comp.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    least = classes.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = classes.join(least, "component").select("digest", "component_id")
-    return owner.join(named, "digest", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    own = held.where("n > 0").groupBy("digest").agg(F.min(F.array_min("docs")).alias("low"))
+    own = own.join(comp.withColumnRenamed("node", "digest"), "digest", "left").select("digest", F.struct(F.col("low").isNull().alias("nameless"), "low", "digest").alias("key"), F.coalesce("component", "digest").alias("component"))
+    own = common.materialise(own, "classes")
+    common.discard(comp)
+    least = common.materialise(own.groupBy("component").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")), "least")
+    named = common.with_hubs(own, least, "component", common.least_hub(own.count()))
+    return held, named.select("digest", F.col("first.low").alias("component_id"), (F.col("first.digest") == F.col("digest")).alias("kept"), F.col("key.low").alias("low"))
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per row of docs."""
+    held, named = classes(docs)
+    rows = held.join(named.select("digest", "component_id"), "digest", "left").select(F.explode("docs").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """docs with one row of every component of near copies, and all rows without words.
+
+    The row that stays has the component's smallest doc_id (a null one only if all are null); of several
+    such rows, the class with the smallest digest, then the smallest text, then the least hash of the other columns."""
+    _, named = classes(docs)
+
+    @F.pandas_udf("long")
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = common.WordHashes()
+        for texts in batches:
+            yield pd.Series([digest_of(shingles(t, words)) for t in texts], dtype="int64")
+
+    worded = F.coalesce(F.col("text").rlike(_WORD), F.lit(False))
+    # what hashes don't take has no say
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    rows = docs.where(worded).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), digest(F.col("text")).alias("_digest"), F.struct("text", F.xxhash64(*hashed).alias("h")).alias("_order"))
+    rows = rows.withColumn("_nameless", F.col("_id").isNull()).withColumn("_id", F.coalesce("_id", "_digest"))
+    keys = ["_nameless", "_id", "_digest"]
+    one = rows.groupBy(*keys).agg(F.min_by("_row", "_order").alias("_row"))
+    kept = named.where("kept").select(F.col("low").isNull().alias("_nameless"), F.coalesce("low", "digest").alias("_id"), F.col("digest").alias("_digest"))
+    stay = one.join(kept, keys, "left_semi").select("_row.*")
+    return stay.unionByName(docs.where(~worded))
