@@ -1,8 +1,9 @@
 """A corpus pipeline of five stages, each of which calls one operator of folioforge.llm.
 
 Every stage takes documents with any further columns, whatever their names, and all but the last
-return the same columns. Null and empty texts pass through; rows with a null doc_id can't be
-compared with others by id and stay; of equal rows one stays after the second stage.
+return the same columns. Null and empty texts pass through, repeated rows of them too. Rows with a
+null doc_id count as near copies like others, and the second stage keeps one of them only where a
+group has no other; the third leaves them whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,11 +45,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
+    """Of each group of near copies one row stays, that with the smallest doc_id; rows without words all stay."""
     rows, back = _shield(docs)
-    gone = jaccard.similar(rows).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = rows.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    return back(kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"]))
+    return back(jaccard.representatives(rows))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
