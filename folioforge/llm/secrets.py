@@ -5,14 +5,16 @@ ANDs that every match must satisfy. The index holds postings (trigram, document)
 trigrams; intersecting them gives each rule's candidates, and only these are verified with the
 regular expression. Rules without mandatory trigrams (hex) are verified on every document.
 
-Texts: null counts as empty. Rows whose doc_id is null can't be indexed and are verified by every
-rule; repeated rows are each verified. Extra columns are ignored. Positions are code points, ends
-exclusive.
+Texts: null counts as empty; work grows with a text's length and little faster than its matches.
+Rows are indexed by doc_id, those without one by a hash of their text; what rows share a key share
+candidates, so repeated rows are each verified by all rules that one of them may match. An empty
+table gives an empty result. Extra columns are ignored. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from re import _constants as C
 from re import _parser
@@ -20,6 +22,8 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.functions.text import let
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -112,54 +116,83 @@ def trigrams(pattern: str) -> Query:
     return walk(_parser.parse(pattern, re.DOTALL))
 
 
+def key(doc_id: str = "doc_id") -> Column:
+    """What a row is indexed by, never null, so that no two different texts without an id must meet in one task."""
+    return F.struct(F.col(doc_id).isNull().alias("nameless"), F.coalesce(F.col(doc_id).cast("long"), F.xxhash64("text")).alias("id"))
+
+
 def postings(docs: DataFrame, wanted: list[str]) -> DataFrame:
-    """(trigram, doc_id) for the wanted trigrams: the part of the inverted index that the queries read."""
-    low = F.lower("text")
-    found = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in wanted)))
-    return docs.where("doc_id is not null").select("doc_id", F.explode(found).alias("trigram"))
+    """(trigram, key) for the wanted trigrams: the part of the inverted index that the queries read."""
+    found = let(F.lower("text"), lambda low: F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in wanted))))
+    return docs.select("key", F.explode(found).alias("trigram"))
 
 
 def candidates(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """(doc_id, kinds): the rules whose queries the document's postings satisfy."""
+    """(key, kinds): the rules whose queries the postings of a key satisfy."""
     queries = {r.kind: q for r in rules if (q := trigrams(r.pattern)) != ANY}
     clauses = [(kind, i, t) for kind, q in queries.items() for i, c in enumerate(sorted(map(sorted, q))) for t in c]
     # one row per mandatory trigram: as many as the rules' texts have, whatever the corpus
     wanted = docs.sparkSession.createDataFrame([(t, k, i, len(sorted(map(sorted, queries[k]))[i])) for k, i, t in clauses], "trigram string, kind string, clause int, needed int")
     hits = postings(docs, sorted({t for _, _, t in clauses})).join(F.broadcast(wanted), "trigram")
-    whole = hits.groupBy("doc_id", "kind", "clause").agg(F.countDistinct("trigram").alias("n"), F.first("needed").alias("needed")).where("n = needed")
-    return whole.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
+    whole = hits.groupBy("key", "kind", "clause").agg(F.collect_set("trigram").alias("found"), F.first("needed").alias("needed")).where(F.size("found") == F.col("needed"))
+    return whole.groupBy("key").agg(F.collect_set("kind").alias("kinds"))
+
+
+#: Matches whose places are summed one after another; a text's matches are dealt in blocks of so many.
+_RUN = 256
 
 
 def _spans(rule: Rule, rank: int) -> Column:
-    """Leftmost matches of the rule as an array of (start, rank, end, kind): lengths of what lies between them give the places."""
+    """Leftmost matches of the rule as an array of (start, rank, end, kind, size): lengths of what lies between them give the places.
+
+    Sums run within blocks and then over the blocks, so no match is summed from the text's begin anew."""
     whole = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(0))
     part = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group)) if rule.group else whole
-    between = F.split("text", rule.pattern, -1)
+    gap = F.transform(F.split("text", rule.pattern, -1), F.length)
+    # the last piece lies behind the last match
+    rows = F.arrays_zip(F.slice(gap, 1, F.greatest(F.size(gap) - 1, F.lit(0))).alias("gap"), F.transform(whole, F.length).alias("l"), F.transform(part, F.length).alias("size"))
+    one = "struct<start:int,size:int,l:int>"
+
+    def block(all_rows: Column, at: Column) -> Column:
+        def step(a: Column, x: Column) -> Column:
+            start = a["at"] + x["gap"]
+            return F.struct((start + x["l"]).alias("at"), F.concat(a["out"], F.array(F.struct(start.alias("start"), x["size"].alias("size"), x["l"].alias("l")))).alias("out"))
+
+        return F.aggregate(F.slice(all_rows, at + 1, F.lit(_RUN)), F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{one}>").alias("out")), step)
+
+    def placed(all_rows: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(all_rows) - 1, F.lit(0)), F.lit(_RUN)), lambda at: block(all_rows, at))
 
-    def size(pieces: Column) -> Column:
-        return F.aggregate(pieces, F.lit(0), lambda a, x: a + F.length(x))
+        def shift(a: Column, b: Column) -> Column:
+            return F.struct((a["at"] + b["at"]).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
 
-    def place(x: Column, i: Column) -> Column:
-        start = size(F.slice(between, 1, i + 1)) + size(F.slice(whole, 1, i))
-        return F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(x)).alias("end"), F.lit(rule.kind).alias("kind"), F.length(F.get(part, i)).alias("size"))
+        def moved(b: Column, by: Column) -> Column:
+            return F.transform(b["out"], lambda x: F.struct((x["start"] + by).alias("start"), F.lit(rank).alias("rank"), (x["start"] + by + x["l"]).alias("end"), F.lit(rule.kind).alias("kind"), x["size"].alias("size")))
 
-    return F.filter(F.transform(whole, place), lambda s: s["size"] >= rule.least)
+        def all_of(b: Column) -> Column:
+            before = F.aggregate(b, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), shift)["out"]
+            return F.flatten(F.zip_with(b, before, moved))
+
+        return let(blocks, all_of)
+
+    return F.filter(let(rows, placed), lambda s: s["size"] >= rule.least)
 
 
 def scan(docs: DataFrame, rules: list[Rule] | None = None, keep: list[str] | None = None) -> DataFrame:
     """doc_id (or the columns in `keep`), text and found: every rule's spans, by start and then rule."""
     rules = RULES if rules is None else rules
     names = keep or ["doc_id"]
-    rows = docs.select(*names, F.coalesce("text", F.lit("")).alias("text"))
+    own = names if "doc_id" in names else ["doc_id", *names]
+    rows = docs.select(*own, F.coalesce("text", F.lit("")).alias("text")).withColumn("key", key())
     open_rules = {r.kind for r in rules if trigrams(r.pattern) == ANY}
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,size:int>>")
     if len(open_rules) < len(rules):
-        rows = rows.join(candidates(rows.select("doc_id", "text"), rules), "doc_id", "left")
+        rows = rows.join(candidates(rows.select("key", "text"), rules), "key", "left")
     else:
         rows = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
 
     def found(rule: Rule, rank: int) -> Column:
-        test = F.col("text").rlike(rule.pattern) if rule.kind in open_rules else F.col("doc_id").isNull() | F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False))
+        test = F.col("text").rlike(rule.pattern) if rule.kind in open_rules else F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False))
         return F.when(test, _spans(rule, rank)).otherwise(none)
 
     spans = F.array_sort(F.concat(*(found(r, i) for i, r in enumerate(rules))))
@@ -184,15 +217,40 @@ def digest(found: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
 def redact(found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """scan()'s rows with every span replaced by `mark`; overlapping spans are replaced once."""
     text = F.col("text")
+    # spans by start; one that begins before an earlier one ends is part of it
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def merge(a: Column, s: Column) -> Column:
+        last = F.get(a, F.size(a) - 1)
+        now = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        grown = F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end")))
+        return F.when(F.size(a) == 0, now).when(s["start"] >= last["end"], F.concat(a, now)).otherwise(F.concat(F.slice(a, 1, F.size(a) - 1), grown))
+
+    def clean(spans: Column) -> Column:
+        def piece(at: Column) -> Column:  # a run of spans: the text before each, and marks
+            run = F.slice(spans, at + 1, F.lit(_RUN))
+            begin = F.when(at == 0, F.lit(0)).otherwise(F.get(spans, at - 1)["end"])
+            own = text.substr(begin + 1, F.get(run, F.size(run) - 1)["end"] - begin)
+            return F.struct(own.alias("own"), F.transform(run, lambda s: F.struct((s["start"] - begin).alias("start"), (s["end"] - begin).alias("end"))).alias("run"))
+
+        def masked(p: Column) -> Column:
+            before = F.concat(F.array(F.lit(0)), F.transform(p["run"], lambda s: s["end"]))
+            return F.array_join(F.zip_with(p["run"], F.slice(before, 1, F.size(p["run"])), lambda s, b: F.concat(p["own"].substr(b + 1, s["start"] - b), F.lit(mark))), "")
+
+        cut = F.transform(F.sequence(F.lit(0), F.size(spans) - 1, F.lit(_RUN)), lambda at: let(piece(at), masked))
+        rest = text.substr(F.get(spans, F.size(spans) - 1)["end"] + 1, F.length(text))
+        return F.concat(F.array_join(cut, ""), rest)
+
+    def merged(found: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.size(found) - 1, F.lit(_RUN)), lambda at: F.aggregate(F.slice(found, at + 1, F.lit(_RUN)), none, merge))
+
+        def whole(f: Column) -> Column:  # blocks are merged on their own; where one reaches into the next, all are merged again
+            apart = F.forall(F.zip_with(f, F.slice(f, F.lit(2), F.size(f)), lambda a, b: F.coalesce(b["start"] >= a["end"], F.lit(True))), lambda x: x)
+            return F.when(apart, f).otherwise(F.aggregate("found", none, merge))
 
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        out = F.when(fresh, F.concat(a["out"], text.substr(a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).otherwise(a["out"])
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.alias("out"))
+        return let(F.flatten(runs), whole)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("found", start, step, lambda a: F.concat(a["out"], text.substr(a["at"] + 1, F.length(text))))
-    return found.withColumn("text", F.when(F.size("found") > 0, clean).otherwise(text))
+    return found.withColumn("text", F.when(F.size("found") > 0, let(merged(F.col("found")), clean)).otherwise(text))
 
 
 def oracle(rules: list[Rule] | None = None, table: str = "documents") -> str:
