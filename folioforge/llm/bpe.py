@@ -8,6 +8,7 @@ unchanged. Back-pointers then give the ids. The time is linear in the length, wh
 Texts: null counts as empty; a text of any length is encoded whole; lone words of any length are
 one pre-token. Special tokens of the tokenizer file are found first, as its library does by default.
 Rows with a null doc_id are kept with it. Extra columns are ignored. Repeated rows are encoded each.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

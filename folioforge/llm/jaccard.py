@@ -12,7 +12,8 @@ proportion to its size and no link between components is lost.
 
 Texts: null, empty or blank texts have no shingles and link with nothing; fewer words than a shingle
 make one. Repeated rows and equal texts are one class. Rows with a null doc_id link as any other
-and get the component's smallest doc_id, null if it has none. Extra columns are ignored.
+and get the component's smallest doc_id, null if it has none. Texts of any length are read whole. An
+empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations

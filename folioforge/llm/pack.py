@@ -6,6 +6,9 @@ dynamic program prices new patterns; the rounded patterns are dealt to the piece
 within their length. A sequence whose fill is a power of two needs no padding, so it costs its fill;
 any other costs `width`.
 
+Ids are those of the tokenizers library for the vocabulary file, computed by tiktoken from the same
+vocabulary as ranks: a sixth of the time, and tests hold the two equal.
+
 Texts: null counts as empty; an empty text is the end id alone. Texts of any length are cut, never
 dropped. Rows are packed one by one, so repeated rows and null doc_ids are packed too. An empty
 table gives an empty result. Extra columns are ignored.
@@ -14,9 +17,11 @@ table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import logging
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -25,6 +30,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
+log = logging.getLogger(__name__)
 END_ID = 0
 WIDTH = 1024
 SPECIAL = {"<|endoftext|>": 50256}
@@ -115,12 +121,24 @@ def first_basis(lengths: np.ndarray, demand: np.ndarray, width: int) -> tuple[li
     return [columns[int(n)] for n in lengths], np.array([uses[int(n)] for n in lengths])
 
 
-def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds: int = 800) -> list[tuple[Counter, int]]:
+@dataclass
+class Report:
+    """How plan() ended: the linear program's padding and that of the rounded patterns, as shares of all tokens but full pieces', and why column generation stopped."""
+
+    rounds: int = 0
+    stopped: str = "nothing to pack"
+    relaxed: float = 0.0
+    padding: float = 0.0
+
+
+def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds: int = 800, report: Report | None = None) -> list[tuple[Counter, int]]:
     """Patterns and how often to use each, covering demand[length] pieces of every length exactly.
 
     Column generation: a revised simplex over the lengths in demand, until the padding of the
-    linear program is under `gap` of all tokens or no pattern improves it; then rounding down, and
-    the rest (bounded by the patterns, not by the corpus) by best fit."""
+    linear program is under `gap` of all tokens, no pattern improves it, or `most_rounds` patterns
+    have been tried, which `report` tells; whichever it is, the patterns cover the demand. Then rounding
+    down, and the rest (bounded by the patterns, not by the corpus) by best fit."""
+    report = Report() if report is None else report
     lengths = np.flatnonzero(demand[: width + 1])
     lengths = lengths[lengths > 0]
     out: list[tuple[Counter, int]] = []
@@ -140,13 +158,16 @@ def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds:
                 matrix[at[n], j] = k
         inverse = np.linalg.inv(matrix)
         values = np.full(width + 1, -np.inf)
-        for _ in range(most_rounds):
+        report.stopped = "rounds"
+        for report.rounds in range(most_rounds):
             y = costs @ inverse
             if float(costs @ x) - tokens <= gap * tokens:
+                report.stopped = "gap"
                 break
             values[lengths] = y
             gain, pattern = price(values, width)
             if gain < 1e-7:
+                report.stopped = "optimum"
                 break
             col = np.zeros(m)
             for n, k in pattern.items():
@@ -154,6 +175,7 @@ def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds:
             d = inverse @ col
             ok = d > 1e-9
             if not ok.any():
+                report.stopped = "optimum"
                 break
             ratio = np.where(ok, x / np.where(ok, d, 1.0), np.inf)
             r = int(ratio.argmin())
@@ -165,6 +187,7 @@ def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds:
             inverse[r] = row
             columns[r] = pattern
             costs[r] = cost(np.array([sum(n * k for n, k in pattern.items())]), width)[0]
+        report.relaxed = (float(costs @ x) - tokens) / tokens
         whole = np.floor(x + 1e-6)
         uses = Counter()
         for extra in (False, True):  # rounded down, then up where the fraction is large and pieces are left
@@ -191,6 +214,10 @@ def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds:
                 left[n] -= k * more
             times += more
         out.append((pattern, times))
+    if m:
+        used = sum(t * int(cost(np.array([sum(n * k for n, k in p.items())]), width)[0]) for p, t in out)
+        report.padding = (used - int((np.arange(len(demand)) * demand).sum())) / tokens
+    log.info("packing: %s", report)
     return out
 
 
@@ -211,7 +238,7 @@ def pack(docs: DataFrame, name: str = "byte_bpe_50k.json", width: int = WIDTH, g
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), one row per piece."""
     buckets = min(4096, common.shards(docs, 4 << 20))
     cut = common.materialise(pieces(docs, name, width, buckets), "pieces")
-    # at most width x buckets numbers
+    # at most width x buckets numbers, 34 MB, which also travel to the workers
     counts = np.zeros((width + 1, buckets), np.int64)
     for r in cut.groupBy("length", "bucket").count().toLocalIterator():
         counts[r["length"], r["bucket"]] = r["count"]

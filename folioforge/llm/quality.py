@@ -6,8 +6,8 @@ punctuation.
 
 Texts: null and empty texts have no n-grams and score by the bias alone. Texts of any length are
 read whole. Labels as in toxicity: nulls are skipped, repeated labels count once. With no labels of
-both kinds the score is the share of label 1. Extra columns are ignored; repeated rows are scored
-each.
+both kinds the score is the share of label 1. An empty table gives an empty result. Extra columns are
+ignored; repeated rows are scored each.
 """
 
 from __future__ import annotations

@@ -36,7 +36,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(common.read(spark, sf_dir, "pages").select("page_id", "url"), common.read(spark, sf_dir, "labels"))
+    return urls.judge(common.read(spark, sf_dir, "pages").select("page_id", "url"))
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,10 @@ the mean of its words' means. Misspelt and unseen words share n-grams with known
 time the softmax's weights are folded into the table, so a word costs one number.
 
 Texts: null and empty texts have no words and score by the bias alone. Texts of any length are read
-whole. Labels that are null, and rows with a null doc_id, are not learnt from; of repeated labels of
-a document the largest counts. With no labels of both kinds the score is the share of label 1, or 0.
+whole; a piece without blanks that is longer than a word counts as overlapping windows, each a word,
+so text in scripts without blanks, or glued together, has all its n-grams. Labels that are null, and
+rows with a null doc_id, are not learnt from; of repeated labels of a document the largest counts. With
+no labels of both kinds the score is the share of label 1, or 0. An empty table gives an empty result.
 Extra columns are ignored; repeated rows are scored each.
 """
 
@@ -21,13 +23,13 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled documents that the model is fitted on, at most, of each label.
-SAMPLE = {1: 1500, 0: 3000}
+#: Labelled documents that the model is fitted on, at most, of each label, and the bytes of their texts.
+SAMPLE, SAMPLE_BYTES = {1: 1500, 0: 3000}, 32 << 20
 BUCKETS, DIM, GRAMS = 1 << 17, 8, (3, 4, 5)
 THRESHOLD = 0.3
 #: Most n-grams say nothing: so many times their median weight is noise, and taken off.
@@ -36,6 +38,19 @@ _EDGE = string.punctuation + "«»„“”‘’…–—¿¡"
 _STEP = np.uint64(0x100000001B3)
 
 
+#: Characters of a piece that is read as one word, and of the windows of a longer one; they overlap by what the longest n-gram needs.
+_PIECE, _WINDOW = 62, 32
+
+
+def split_words(text: str) -> list[str]:
+    """White-space-free pieces of a text, long ones as windows."""
+    pieces = text.split()
+    if max(map(len, pieces), default=0) <= _PIECE:
+        return pieces
+    step = _WINDOW - max(GRAMS) + 1
+    return [w for p in pieces for w in ([p] if len(p) <= _PIECE else [p[i : i + _WINDOW] for i in range(0, len(p) - max(GRAMS) + 1, step)])]
+
+
 def subwords(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of white-space-free pieces, one piece after another, and how many each has.
 
@@ -47,8 +62,6 @@ def subwords(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(np.uint64)
     owner = np.repeat(np.arange(len(marked)), size)
     end = np.cumsum(size)[owner] if len(owner) else owner
-    # a long string has no word-like n-grams; its form alone stands for it
-    fits = (size <= 64)[owner]
     held = np.flatnonzero(size)
     whole = np.fromiter((crc32(marked[i].encode()) for i in held), np.uint64, len(held))
     buckets, owners = [common.mix64(whole)], [held]
@@ -59,7 +72,7 @@ def subwords(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         h = (h[:-1] ^ codes[n - 1 :]) * _STEP
         if n in GRAMS:
             at = np.arange(len(h))
-            ok = (at + n <= end[: len(h)]) & fits[: len(h)] & (size[owner[: len(h)]] > n)
+            ok = (at + n <= end[: len(h)]) & (size[owner[: len(h)]] > n)
             buckets.append(common.mix64(h[ok] + np.uint64(n)))
             owners.append(owner[: len(h)][ok])
     whose = np.concatenate(owners)
@@ -68,7 +81,7 @@ def subwords(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int], seen: tuple[int, int] | None) -> list[tuple[str, int]]:
-    """Texts and labels to learn from: at most `sizes` of each label, by a hash of doc_id over all labelled rows.
+    """Texts and labels to learn from: at most `sizes` of each label and SAMPLE_BYTES of text in all, by a hash of doc_id over all labelled rows.
 
     `seen` = (m, r): rows whose crc32(doc_id as text) mod m is r are held out."""
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y is not null")
@@ -81,10 +94,14 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int]
     ids = chosen[0].unionByName(chosen[1])
     rows = texts.join(F.broadcast(ids), "doc_id").withColumn("t", F.xxhash64("text"))
     rows = rows.groupBy("doc_id").agg(F.first("y").alias("y"), F.first("h").alias("h"), F.min("text").alias("text"))
-    out: list[tuple[str, int]] = []
+    # running numbers over the few chosen rows; each label gets a share of the bytes, and a text that ends beyond it isn't learnt from
+    own = Window.partitionBy("y").orderBy("h", "doc_id")
+    rows = rows.withColumn("n", F.row_number().over(own)).withColumn("bytes", F.sum(F.octet_length("text")).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    total = sum(sizes.values())
+    fits = F.lit(False)
     for y, n in sizes.items():
-        out += [(r["text"], y) for r in rows.where(F.col("y") == y).orderBy("h", "doc_id").limit(n).collect()]
-    return out
+        fits |= (F.col("y") == y) & (F.col("n") <= n) & (F.col("bytes") <= SAMPLE_BYTES * n // total)
+    return [(r["text"], r["y"]) for r in rows.where(fits).orderBy(F.desc("y"), "h", "doc_id").select("text", "y").collect()]
 
 
 def weight(times: np.ndarray) -> np.ndarray:
@@ -117,7 +134,7 @@ def fit(rows: list[tuple[str, int]], epochs: int = 4, rate: float = 0.5, scale:
     vocabulary: dict[str, int] = {}
     documents = []
     for text, _ in rows:
-        c = Counter(text.split())
+        c = Counter(split_words(text))
         ids = np.fromiter((vocabulary.setdefault(p, len(vocabulary)) for p in c), np.int32, len(c))
         documents.append((ids, np.fromiter(c.values(), np.float32, len(c))))
     pieces = list(vocabulary)
@@ -226,7 +243,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
         for b in batches:
             logits = []
             for at in range(0, len(b), 250):
-                texts = [Counter(t.split()) for t in b["_text"].iloc[at : at + 250]]
+                texts = [Counter(split_words(t)) for t in b["_text"].iloc[at : at + 250]]
                 if len(known) > 300_000:
                     known.clear()
                 new = list({p for c in texts for p in c if p not in known})

@@ -1,18 +1,20 @@
 """URL filters: given rules first, then association rules mined by Spark's FP-growth.
 
-Tokens of a URL (parts of its host, registered name, path steps, query keys) and its label are
-items; frequent combinations that imply the label `block` with enough confidence become rules, of
-which the pruned ones stay that no shorter rule covers as surely, however many they are. A URL is
-matched by an inverted index from each rule's rarest token: a rule holds when all its tokens are there.
-
-A null URL, or one without "://", has an empty host and path and gets the verdict allow. Repeated
-rows and null page_ids are judged each. An empty table gives an empty result. Extra columns are
-ignored.
+Tokens of a URL (parts of its host, registered name, path steps, query keys) and its label are items;
+frequent combinations that imply the label `block` with enough confidence become rules, of which those
+stay that hold no shorter rule, however many they are. A URL is matched by an inverted index from each
+rule's rarest token: a rule holds when all its tokens are there. Where no labels are given, the verdicts
+of the given rules on the URLs they fit are the labels: the mined rules carry them over to the others.
+
+A null URL, or one without "://", has an empty host and path, no tokens, and gets the verdict allow.
+Repeated rows and null page_ids are judged each. Rules need the support of LEAST rows however small the
+table, so small tables mine none. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -28,8 +30,8 @@ RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-SUPPORT, CONFIDENCE = 0.005, 0.6
-BLOCK = "label=block"
+#: Share of the labelled rows, and rows at least, that hold a rule and are blocked; and the share of those it fits.
+SUPPORT, LEAST, CONFIDENCE = 0.005, 20, 0.8
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -61,51 +63,65 @@ def tokens(pages: DataFrame) -> Column:
         F.transform(F.split("path", "/"), lambda x: F.concat(F.lit("path:"), F.when(x.rlike("^[0-9]+$"), F.lit("#")).otherwise(F.regexp_replace(x, "^[0-9]+", "#")))),
         F.transform(F.regexp_extract_all(F.coalesce("url", F.lit("")), F.lit(r"[?&]([^=&#]+)="), F.lit(1)), lambda x: F.concat(F.lit("query:"), x)),
     )
-    return F.array_distinct(F.filter(items, lambda x: ~x.isin("host:", "path:", "site:")))
-
-
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """All pruned rules (items, confidence, least) that imply a block, from rows (items, blocked boolean).
-
-    `least` says that no shorter rule holds wherever this one does, whatever its confidence.
-    """
-    items = F.concat("items", F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array(F.lit("label=allow"))))
-    baskets = labelled.select(items.alias("items"))
-    if baskets.isEmpty():
-        return labelled.sparkSession.createDataFrame([], "items array<string>, confidence double, least boolean")
-    sets = common.materialise(FPGrowth(itemsCol="items", minSupport=support).fit(baskets).freqItemsets, "itemsets")
-    blocked = sets.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_sort(F.array_remove("items", BLOCK)).alias("items"), F.col("freq").alias("hits"))
-    every = sets.where(~F.array_contains("items", BLOCK)).select(F.array_sort("items").alias("items"), "freq")
-    rules = common.materialise(blocked.join(every, "items").select("items", (F.col("hits") / F.col("freq")).alias("confidence"), F.size("items").alias("n")), "rules")
-    # with a set, all its subsets are frequent: the surest below it is found from one item less, level by level
-    levels = [rules.where("n = 1").select("items", "confidence", F.lit(0.0).alias("under"))]
-    for n in range(2, (rules.agg(F.max("n")).first()[0] or 0) + 1):
-        below = levels[-1].select(F.col("items").alias("part"), F.greatest("confidence", "under").alias("top"))
-        parts_of = rules.where(F.col("n") == n).select("items", "confidence", F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("part"))
-        levels.append(common.materialise(parts_of.join(below, "part").groupBy("items").agg(F.first("confidence").alias("confidence"), F.max("top").alias("under")), "rules"))
-    found = reduce(DataFrame.unionByName, levels).where((F.col("confidence") >= confidence) & (F.col("under") < F.col("confidence")))
-    return found.select("items", "confidence", (F.col("under") < confidence).alias("least"))
-
-
-def index(rules: DataFrame, labelled: DataFrame) -> DataFrame:
-    """(token, needed): every rule under the token of it that the fewest rows have."""
-    often = labelled.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    of = rules.select(F.col("items").alias("needed"), F.explode("items").alias("token")).join(often, "token")
-    return of.groupBy("needed").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
-
-
-def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
-    """(page_id, host, path, rule, verdict) for every row of pages; labels (doc_id, quality, toxic) belong to the pages of those ids."""
+    return F.array_sort(F.array_distinct(F.filter(items, lambda x: ~x.isin("host:", "path:", "site:", "site:."))))
+
+
+def _holding(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """(needed, items, ...) for every set of tokens `needed` and every row of rows (items, ...) that holds all of it, by an inverted index from the set's rarest token."""
+    often = rows.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    first = sets.select("needed", F.explode("needed").alias("token")).join(often, "token").groupBy("needed").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
+    return rows.withColumn("token", F.explode("items")).join(first, "token").where(F.forall("needed", lambda x: F.array_contains("items", x))).drop("token")
+
+
+def mine(labelled: DataFrame, support: float = SUPPORT, least: int = LEAST, confidence: float = CONFIDENCE) -> DataFrame:
+    """(items, confidence): all rules that imply a block and hold no shorter such rule, from rows (items, blocked boolean).
+
+    FP-growth sees only what can be part of a longer rule: blocked rows, and of their tokens those that
+    enough of them have and that aren't a rule alone. Of tokens that always stand together one is enough,
+    so a long path that many rows share has one itemset, not one for each of its subsets."""
+    kept = common.materialise(labelled.select("items", "blocked", F.monotonically_increasing_id().alias("row")), "labelled")
+    floor = max(least, ceil(support * kept.count()))
+    tokens_ = kept.select(F.explode("items").alias("token"), "blocked", F.xxhash64("row").cast("decimal(38,0)").alias("row"))
+    often = tokens_.groupBy("token").agg(F.count_if("blocked").alias("hits"), F.count(F.lit(1)).alias("freq"), F.sum("row").alias("rows")).where(F.col("hits") >= floor)
+    often = common.materialise(often.withColumn("confidence", F.col("hits") / F.col("freq")), "often")
+    alone = often.where(F.col("confidence") >= confidence)
+    rules = [alone.select(F.array("token").alias("items"), "confidence")]
+    # equal sets of rows have equal sums of the rows' hashes
+    open_tokens = often.where(F.col("confidence") < confidence).groupBy("freq", "rows").agg(F.min("token").alias("token")).select("token")
+    pairs = kept.where("blocked").select("row", F.explode("items").alias("token")).join(open_tokens, "token")
+    baskets = common.materialise(pairs.groupBy("row").agg(F.collect_list("token").alias("items")).where(F.size("items") > 1), "baskets")
+    n = baskets.count()
+    if n >= floor:
+        sets = FPGrowth(itemsCol="items", minSupport=(floor - 0.5) / n).fit(baskets).freqItemsets.where(F.size("items") > 1)
+        sets = common.materialise(sets.select(F.array_sort("items").alias("needed"), F.col("freq").alias("hits")), "itemsets")
+        freq = _holding(sets, kept.select("items")).groupBy("needed").agg(F.count(F.lit(1)).alias("freq"))
+        sure = sets.join(freq, "needed").select(F.col("needed").alias("items"), (F.col("hits") / F.col("freq")).alias("confidence")).where(F.col("confidence") >= confidence)
+        sure = common.materialise(sure, "rules")
+        for size in range(2, (sure.agg(F.max(F.size("items"))).first()[0] or 1) + 1):
+            now = sure.where(F.size("items") == size)
+            if size > 2:
+                shorter = reduce(DataFrame.unionByName, rules[1:]).select(F.col("items").alias("needed"))
+                now = now.join(_holding(shorter, now).select("items").distinct(), "items", "left_anti")
+            rules.append(common.materialise(now, "rules"))
+    return reduce(DataFrame.unionByName, rules)
+
+
+def judge(pages: DataFrame, labels: DataFrame | None = None, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """(page_id, host, path, rule, verdict) for every row of pages.
+
+    labels: (page_id, blocked boolean), of repeated ones a block counts; null ids and labels don't."""
     host, path = parts(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("fit", fitting(F.col("host"), F.col("path"), RULES if rules is None else rules)).withColumn("items", tokens(rows))
-    bad = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("page_id")).agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
-    labelled = rows.where(F.size("items") > 0).join(bad.where("blocked is not null"), "page_id").select("items", "blocked")
-    # a longer rule blocks nothing that the least ones do not
-    found = common.materialise(index(mine(labelled).where("least"), labelled), "index")
-    keyed = rows.withColumn("row", F.monotonically_increasing_id())
-    open_rows = keyed.where("fit is null").select("row", "items", F.explode("items").alias("token"))
-    hits = open_rows.join(found, "token").where(F.forall("needed", lambda x: F.array_contains("items", x)))
-    rows = keyed.join(hits.select("row").distinct().withColumn("mined", F.lit(True)), "row", "left")
-    verdict = F.coalesce(F.col("fit.verdict"), F.when(F.coalesce("mined", F.lit(False)), "block").otherwise("allow"))
-    return rows.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"))
+    if labels is None:
+        labelled = rows.where("fit is not null").select("items", (F.col("fit.verdict") == "block").alias("blocked"))
+    else:
+        own = labels.where("page_id is not null and blocked is not null").groupBy(F.col("page_id").cast("long").alias("page_id")).agg(F.max("blocked").alias("blocked"))
+        labelled = rows.join(own, "page_id").select("items", "blocked")
+    found = mine(labelled.where(F.size("items") > 0)).select(F.col("items").alias("needed"))
+    # a verdict depends on a URL's tokens alone
+    open_ = F.col("fit").isNull() & (F.size("items") > 0)
+    hits = common.materialise(_holding(found, rows.where(open_).select("items").distinct()).select("items").distinct().withColumn("mined", F.lit(True)), "hits")
+    method = rows.where(open_).join(hits, "items", "left").select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.when(F.col("mined"), "block").otherwise("allow").alias("verdict"))
+    given = rows.where(~open_).select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", F.lit("allow")).alias("verdict"))
+    return given.unionByName(method)
