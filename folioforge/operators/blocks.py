@@ -99,7 +99,7 @@ def merge(raw: DataFrame) -> DataFrame:
     )
     head = F.col("m")[0]
     between = F.when(~head["bullet"] & head["header"], F.lit(" | ")).otherwise(F.lit(" "))
-    body = text.normalize_lines(F.aggregate(F.slice("m", 2, 1_000_000), head["t"], lambda a, x: F.concat(a, between, x["t"])))
+    body = text.normalize_lines(F.call_function("array_join", F.col("m.t"), between))
     groups = groups.withColumn("body", body)
     return groups.select(
         "doc_id",
@@ -121,28 +121,37 @@ def kind(t: Column) -> Column:
 
 
 def has_contact(t: Column) -> Column:
-    return t.rlike("(?U)" + vocab.EMAIL) | t.rlike("(?U)" + vocab.PHONE) | t.rlike("(?iU)" + vocab.URL_WORD)
+    return (t.contains("@") & t.rlike("(?U)" + vocab.EMAIL)) | t.rlike("(?U)" + vocab.PHONE) | t.rlike("(?iU)" + vocab.URL_WORD)
 
 
 def label(t: Column, index: Column, x0: Column, y0: Column) -> Column:
-    """Semantic label of a block; index counts the document's blocks from 0. The first rule that holds wins."""
-    n = text.words(t)
-    lowered = F.lower(F.regexp_replace(t, r":+\z", ""))
+    """Semantic label of a block; index counts the document's blocks from 0. The first rule that holds wins.
+
+    t is normalised: blanks and newlines are its only white space."""
+    size = F.regexp_count(t, F.lit("[^ \n]+"))
     marks = F.length(t) - F.length(F.translate(t, "|•,", ""))
     top = F.coalesce(y0 < 160, F.lit(False)) | (index <= 2)
-    visual = (text.is_upper(t) & (n <= 6)) | (text.is_title(t) & (n <= 4)) | (F.coalesce(x0 < 120, F.lit(False)) & (n <= 4) & t.endswith(":")) | lowered.isin(*vocab.LABEL_HEADINGS)
-    return (
-        F.when(t == "", "other")
-        .when(F.regexp_replace(lowered, r"(?U)\s+", " ").isin(*vocab.LABEL_HEADINGS), "section_heading")
-        .when(~has_contact(t) & (marks >= 2) & (n <= 20), "skills_line")
-        .when(has_contact(t) & top, "contact_line")
-        .when(F.substring(t, 1, 1).isin(*vocab.BULLETS), "bullet")
-        .when(t.rlike("(?iU)" + vocab.DATE_WORD) & (n <= 8), "date")
-        .when(t.rlike("(?iU)" + vocab.PLACE_WORD) & (n <= 6), "location")
-        .when((n <= 8) & visual, "heading")
-        .when(n >= 4, "paragraph")
-        .otherwise("other")
-    )
+    left = F.coalesce(x0 < 120, F.lit(False))
+
+    def told(s: Column) -> Column:
+        n, low, contact = s["n"], s["low"], s["contact"]
+        shown = ((n <= 6) & text.is_upper(t)) | ((n <= 4) & text.is_title(t)) | (left & (n <= 4) & t.endswith(":")) | low.isin(*vocab.LABEL_HEADINGS)
+        return (
+            F.when(t == "", "other")
+            .when(F.regexp_replace(low, "[ \n]+", " ").isin(*vocab.LABEL_HEADINGS), "section_heading")
+            .when((marks >= 2) & (n <= 20) & ~contact, "skills_line")
+            .when(top & contact, "contact_line")
+            .when(F.substring(t, 1, 1).isin(*vocab.BULLETS), "bullet")
+            .when((n <= 8) & t.rlike("(?iU)" + vocab.DATE_WORD), "date")
+            .when((n <= 6) & t.rlike("(?iU)" + vocab.PLACE_WORD), "location")
+            .when((n <= 8) & shown, "heading")
+            .when(n >= 4, "paragraph")
+            .otherwise("other")
+        )
+
+    # contacts decide where the marks or the place let them alone
+    asked = top | ((marks >= 2) & (size <= 20))
+    return text.let(F.struct(size.alias("n"), F.lower(F.regexp_replace(t, r":+\z", "")).alias("low"), F.when(asked, has_contact(t)).otherwise(False).alias("contact")), told)
 
 
 HINTS = {"section_heading": "known_section_heading", "skills_line": "skills_delimiter_pattern", "contact_line": "contact_pattern", "bullet": "bullet_marker", "date": "date_pattern", "location": "location_pattern", "heading": "visual_heading", "paragraph": "paragraph_length"}
@@ -158,15 +167,20 @@ def classify(blocks: DataFrame) -> DataFrame:
 
 def suspicions(t: Column, lab: Column) -> Column:
     """Reasons, in order, why a block's text looks broken."""
-    token = (text.words(t) == 1) & ~t.rlike(r"(?U)^\p{L}+\z") & t.rlike(r"(?U)\d")
-    pipes = F.length(t) - F.length(F.replace(t, F.lit("|"), F.lit("")))
-    reasons = F.array(
-        F.when((F.length(t) <= 2) & ~lab.isin("date", "location"), "very_short_text"),
-        F.when(token, "token_like_fragment"),
-        F.when(t.rlike(vocab.NOISE) & (F.length(t) <= 12), "layout_noise_fragment"),
-        F.when((pipes >= 3) & ~lab.isin("contact_line", "skills_line"), "delimiter_heavy_text"),
-    )
-    return F.when(t == "", F.array(F.lit("empty_text"))).otherwise(F.array_compact(reasons))
+
+    def told(s: Column) -> Column:
+        t, lab = s["t"], s["lab"]
+        token = ~t.contains(" ") & t.rlike(r"(?U)\d") & ~t.rlike(r"(?U)^\p{L}+\z") & (text.words(t) == 1)
+        pipes = F.length(t) - F.length(F.replace(t, F.lit("|"), F.lit("")))
+        reasons = F.array(
+            F.when((F.length(t) <= 2) & ~lab.isin("date", "location"), "very_short_text"),
+            F.when(token, "token_like_fragment"),
+            F.when((F.length(t) <= 12) & t.rlike(vocab.NOISE), "layout_noise_fragment"),
+            F.when((pipes >= 3) & ~lab.isin("contact_line", "skills_line"), "delimiter_heavy_text"),
+        )
+        return F.when(t == "", F.array(F.lit("empty_text"))).otherwise(F.array_compact(reasons))
+
+    return text.let(F.struct(t.alias("t"), lab.alias("lab")), told)
 
 
 def select_pages(primary: DataFrame, fallback: DataFrame) -> DataFrame:

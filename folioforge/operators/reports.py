@@ -190,3 +190,15 @@ def missing_groups(rows: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "field", "source", "ord", "value"])
 
     return rows.select("doc_id", "field", "candidates", "parser", "final").mapInPandas(run, GAPS)
+
+
+def coverage(evidence: DataFrame, final: DataFrame, groups: DataFrame, links: DataFrame) -> DataFrame:
+    """All that evidence has and final records lack, as (doc_id, field, source, value): values of lists
+    (missing_values), entries of groups (missing_groups) and profile links (missing_singletons)."""
+    names = ["doc_id", "field", "source", "value"]
+    return missing_values(evidence, final).select(*names).unionByName(missing_groups(groups).select(*names)).unionByName(missing_singletons(links).select(*names))
+
+
+def coverage_rows(gaps: DataFrame) -> DataFrame:
+    """(doc_id, missing): the gaps of every document that has any, as source:field:value in order."""
+    return gaps.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.concat_ws(":", "source", "field", "value"))).alias("missing"))

@@ -56,11 +56,18 @@ def reconciliation_input(e: Extraction) -> DataFrame:
 
 
 def reconcile(inputs: DataFrame, payloads: DataFrame) -> DataFrame:
-    """(doc_id, data, recovered_items, recovered_fields, notes, mode): the optimizer's payload with what evidence adds, as JSON.
+    """(doc_id, data, recovered_items, recovered_fields, notes, mode, error): the optimizer's payload with what evidence adds, as JSON.
 
-    payloads: doc_id, parser, optimizer, both as JSON; a document without any has empty ones."""
+    payloads: doc_id, parser, optimizer, both as JSON; a document without any has empty ones. A payload
+    that is no JSON object fails its document alone: data is null then and error says which it was."""
     rows = inputs.join(payloads.select("doc_id", "parser", "optimizer"), "doc_id", "left")
     rows = rows.withColumn("parser", F.coalesce("parser", F.lit("{}"))).withColumn("optimizer", F.coalesce("optimizer", F.lit("{}")))
+
+    def broken(side: str):
+        return ~F.coalesce(F.schema_of_variant(F.try_parse_json(side)).startswith("OBJECT"), F.lit(False))
+
+    rows = rows.withColumn("error", F.when(broken("parser"), "the parser's payload is no JSON object").when(broken("optimizer"), "the optimizer's payload is no JSON object"))
+    rows = rows.withColumn("parser", F.when(F.col("error").isNull(), F.col("parser")).otherwise("{}")).withColumn("optimizer", F.when(F.col("error").isNull(), F.col("optimizer")).otherwise("{}"))
     rows = rows.withColumn("_p", F.parse_json("parser")).withColumn("_o", F.parse_json("optimizer"))
 
     def of(side: str, key: str):
@@ -73,13 +80,13 @@ def reconcile(inputs: DataFrame, payloads: DataFrame) -> DataFrame:
         "certifications": (L.certifications(F.col("certification_candidates")), L.certifications(of("_p", "certifications"))),
     }
     out = rows.select(
-        "doc_id", "parser", "optimizer",
+        "doc_id", "parser", "optimizer", "error",
         *(L.recover(of("_o", f), source, parser, f).alias(f) for f, (source, parser) in lists.items()),
         L.recover_supplemental({f: of("_o", f) for f in ("awards", "achievements", "activities", "publications")}).alias("supplemental"),
         *(L.recover_singleton(f, text.col(F.try_variant_get("_o", f"$.{f}", "string")), F.col(f"contact_candidates.{f}"), F.try_variant_get("_p", f"$.{f}", "string")).alias(f) for f in ("linkedin", "github")),
         *(F.transform(c, lambda e: e["text"]).alias(f"{f}_texts") for f, c in (("experience", "experience_candidates"), ("projects", "project_candidates"), ("education", "education_candidates"), ("trainings_courses", "training_candidates"))),
     )
-    return out.mapInPandas(_assemble, "doc_id long, data string, recovered_items array<string>, recovered_fields array<string>, notes array<string>, mode string")
+    return out.mapInPandas(_assemble, "doc_id long, data string, recovered_items array<string>, recovered_fields array<string>, notes array<string>, mode string, error string")
 
 
 def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,6 +94,9 @@ def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
         for r in b.to_dict("records"):
+            if isinstance(r["error"], str):
+                out.append((r["doc_id"], None, [], [], [], "coverage", r["error"]))
+                continue
             parser, optimizer = json.loads(r["parser"]), json.loads(r["optimizer"])
             data, items, fields, notes = dict(optimizer), [], [], []
             for f in L.KEYS:
@@ -109,8 +119,8 @@ def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     data[f] = r[f]["value"]
                     fields.append(f)
                     notes.append(f"Recovered missing {f} from {r[f]['source']} evidence")
-            out.append((r["doc_id"], json.dumps(data, ensure_ascii=False), items, fields, notes, "coverage"))
-        yield pd.DataFrame(out, columns=["doc_id", "data", "recovered_items", "recovered_fields", "notes", "mode"])
+            out.append((r["doc_id"], json.dumps(data, ensure_ascii=False), items, fields, notes, "coverage", None))
+        yield pd.DataFrame(out, columns=["doc_id", "data", "recovered_items", "recovered_fields", "notes", "mode", "error"])
 
 
 def regression_counts(inputs: DataFrame) -> DataFrame:

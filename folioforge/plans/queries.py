@@ -201,10 +201,12 @@ SELECT doc_id, size AS text_length, suspicious::BIGINT AS suspicious_count, grea
 
 @query(_AUDIT)
 def block_quality_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised lines, their labels, what is suspicious about them, and a score for every document."""
-    rows = _labelled(spark, sf_dir)
-    per = rows.groupBy("doc_id").agg(F.sum(F.size(B.suspicions(F.col("text"), F.col("label")))).alias("suspicious_count"), F.count(F.lit(1)).alias("semantic_count"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", text.normalize_lines("text").alias("full_text")).join(per, "doc_id", "left").na.fill(0)
+    """Normalised lines, their labels, what is suspicious about them, and a score for every document, in one pass without a shuffle."""
+    none = F.lit(None).cast("double")
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.normalize_lines("text").alias("full_text"))
+    lines = F.filter(F.split("full_text", "\n"), lambda x: x != "")
+    odd = F.transform(lines, lambda x, i: F.size(B.suspicions(x, B.label(x, i, none, none))))
+    docs = docs.select("*", odd.alias("odd")).select("doc_id", "full_text", F.aggregate("odd", F.lit(0), lambda a, n: a + n).cast("long").alias("suspicious_count"), F.size("odd").alias("semantic_count"))
     docs = docs.select(
         "*", F.lit(1).alias("section_count"), F.lit(0.0).alias("general_block_ratio"), F.array().cast("array<string>").alias("possible_errors"), F.lit(0).alias("merged_block_count"), F.col("semantic_count").alias("raw_count"), F.lit(1).alias("page_count")
     )
@@ -219,9 +221,22 @@ def extraction_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.weak(pages)
 
 
-@query(None)
+def _html_sql(x: str) -> str:
+    for tag in ("script", "style", "head"):  # from the first of them on, each up to its own end
+        x = f"regexp_replace({x}, '(?is)<{tag}\\b.*?</{tag}>', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?i)<li\\b[^>]*>', chr(10) || '• ', 'g')"
+    x = f"regexp_replace({x}, '(?i)</?(h[1-6]|p|div|br|tr|ul|ol|table|section|article|nav|body|html)\\b[^>]*>', chr(10), 'g')"
+    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    return x
+
+
+@query(f"""SELECT doc_id, 'raw-1-' || (pos - 1) AS block_id, line AS text, 1 AS page_number FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
+FROM (SELECT page_id AS doc_id, string_split({_lines(_html_sql("coalesce(html, '')"))}, chr(10)) AS l FROM pages)) WHERE line <> ''""")
 def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.from_html(table(spark, sf_dir, "pages"))
+    return B.from_html(table(spark, sf_dir, "pages")).select("doc_id", "block_id", "text", "page_number")
 
 
 @query(None)
@@ -246,25 +261,6 @@ def unassigned_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.unassigned(semantic, S.split(semantic)[0])
 
 
-_BLEED_VALUES = "(VALUES (1, 1, 'Skills', 'Python\nEDUCATION &'), (1, 2, 'Projects', 'done'), (2, 1, 'Education & Courses', 'a\nb skills & '), (3, 1, 'Skills/Languages', 'x'), (3, 2, 'R and D', 'y'), (4, 1, 'Education and Training', ''))"
-
-
-def _sample_sections(spark: SparkSession) -> DataFrame:
-    return spark.sql(f"SELECT * FROM VALUES {_BLEED_VALUES.replace('(VALUES ', '')[:-1]} AS t(doc_id, section_seq, heading, content)".replace("\n", "\\n"))
-
-
-@query(f"""SELECT doc_id, string_agg(m, ';' ORDER BY section_seq) AS markers FROM (SELECT doc_id, section_seq, heading || ': ' || trim(string_split(trim(content), chr(10))[-1]) AS m
-FROM {_BLEED_VALUES} t(doc_id, section_seq, heading, content) WHERE trim(content) <> '' AND regexp_matches(trim(string_split(trim(content), chr(10))[-1]), '(?i){vocab.REPORT_BLEED}')) GROUP BY doc_id""")
-def section_bleed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.bleed_markers(_sample_sections(spark)).select("doc_id", F.array_join("markers", ";").alias("markers"))
-
-
-@query(f"""SELECT doc_id, heading FROM {_BLEED_VALUES} t(doc_id, section_seq, heading, content) WHERE regexp_matches(heading, '(?i)&|/|\\band\\b')
-AND len(list_filter(string_split_regex(lower(heading), '\\s*(?:&|/|\\band\\b)\\s*'), lambda p: regexp_matches(p, '{'|'.join(vocab.COMPOSITE_PARTS)}'))) >= 2""")
-def composite_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.composite_headings(_sample_sections(spark)).select("doc_id", F.explode("headings").alias("heading"))
-
-
 # --- chunks and classes
 
 
@@ -343,13 +339,6 @@ def coverage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.coverage_summary(rows).drop("ord")
 
 
-_SKILLS = "(VALUES ('React.js'), ('Node.js '), ('ASP.NET Core'), ('Fast API (certified)'), ('SQL / SQLite'), ('type script'), ('Tools: git'), ('Python, Go'), ('working with many people daily'), ('REST services for many people'), ('teamwork'), ('languages'))"
-
-
-def _skills(spark: SparkSession) -> DataFrame:
-    return spark.sql(f"SELECT * FROM VALUES {_SKILLS[8:-1]} AS v(t)")
-
-
 def _skill_key_sql(x: str) -> str:
     k = f"lower(trim({_flat(x)}, ' ,;|'))"
     for n in vocab.SKILL_NOTES:
@@ -360,26 +349,10 @@ def _skill_key_sql(x: str) -> str:
     return _flat(f"replace({k}, 'sql/sqlite', 'sql,sqlite')")
 
 
-@query(f"SELECT t, {_skill_key_sql('t')} AS key FROM {_SKILLS} v(t)")
-def skill_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _skills(spark).withColumn("key", L.technical_key(F.col("t")))
-
-
-@query(f"SELECT t FROM {_SKILLS} v(t) WHERE t IN ('React.js', 'Node.js ', 'ASP.NET Core', 'Fast API (certified)', 'SQL / SQLite', 'type script', 'REST services for many people')")
-def recoverable_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _skills(spark).where(L.is_technical(L.clean_skill(F.col("t"))))
-
-
 # --- matching
 
 
-_ENTRY = "SELECT p_partkey AS id, p_brand AS brand, p_name AS n, p_type AS t FROM part WHERE p_size <= 5"
-
-
-def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    none = F.array().cast("array<string>")
-    entry = F.struct(F.concat_ws(" ", "p_name", "p_type").alias("raw_text"), F.col("p_name").alias("primary_name"), F.col("p_type").alias("secondary_name"), F.lit("").alias("date_range"), none.alias("technologies"))
-    return table(spark, sf_dir, "part").where("p_size <= 5").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), entry.alias("e"))
+_ENTRY = "SELECT p_partkey AS id, p_brand AS brand, coalesce(p_name, '') AS n, coalesce(p_type, '') AS t FROM part"
 
 
 def _overlap_sql(a: str, b: str) -> str:
@@ -392,30 +365,6 @@ s AS (SELECT l, r, CASE WHEN lower(an) = lower(bn) THEN 4.0 WHEN {_overlap_sql('
 CASE WHEN {_overlap_sql("an || ' ' || ay", "bn || ' ' || byy")} >= 0.5 THEN 1.5 ELSE 0 END AS k FROM p)"""
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _entries(spark, sf_dir)
-    other = e.select("brand", F.col("id").alias("r"), F.col("e").alias("f"))
-    rows = e.select("brand", F.col("id").alias("l"), "e").join(other, "brand").where("l < r")
-    return rows.withColumn("m", M.match("trainings_courses", F.col("e"), F.col("f")))
-
-
-@query(f"{_PAIRS} SELECT l, r, (n + o + k)::DOUBLE AS score, n + o + k >= 4.0 AS matched FROM s")
-def entity_match_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir).select("l", "r", F.col("m.score").alias("score"), F.col("m.matched").alias("matched"))
-
-
-@query(f"{_PAIRS} SELECT l, r, (n + o + k)::DOUBLE AS score FROM s WHERE n + o + k >= 4.0 QUALIFY row_number() OVER (PARTITION BY l ORDER BY n + o + k DESC, r) = 1")
-def entity_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.best(_pairs(spark, sf_dir).withColumn("idx", F.col("r")), ["l"]).select("l", "r", F.col("m.score").alias("score"))
-
-
-@query(f"{_PAIRS} SELECT id FROM ({_ENTRY}) WHERE id NOT IN (SELECT r FROM s WHERE n + o + k >= 4.0)")
-def coverage_gaps_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entries of a brand that match none of the brand's earlier ones."""
-    found = _pairs(spark, sf_dir).where("m.matched").select(F.col("r").alias("id"))
-    return _entries(spark, sf_dir).select("id").join(found, "id", "left_anti")
-
-
 def _whole(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Entries (id, brand, n, y) of all parts; and (n, y, fn, fy, score, matched) of every two names and types that one brand has and that score.
 
@@ -441,31 +390,46 @@ def _later(e: DataFrame) -> DataFrame:
     return e.withColumnRenamed("id", "l").join(other, "brand").where("l < r")
 
 
-@query(None)
-def entity_match_scores_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_match_scores over parts of all sizes."""
+@query(f"{_PAIRS} SELECT l, r, (n + o + k)::DOUBLE AS score, n + o + k >= 4.0 AS matched FROM s")
+def entity_match_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well every two parts of a brand match as trainings."""
     e, scored = _whole(spark, sf_dir)
     rows = _later(e).join(scored, ["n", "y", "fn", "fy"], "left")
     return rows.select("l", "r", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("matched", F.lit(False)).alias("matched"))
 
 
-@query(None)
-def entity_best_match_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_best_match over parts of all sizes."""
+@query(f"{_PAIRS} SELECT l, r, (n + o + k)::DOUBLE AS score FROM s WHERE n + o + k >= 4.0 QUALIFY row_number() OVER (PARTITION BY l ORDER BY n + o + k DESC, r) = 1")
+def entity_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the later parts of its brand the one that each part matches best, the first of equals."""
     e, scored = _whole(spark, sf_dir)
-    top = _later(e).join(scored.where("matched"), ["n", "y", "fn", "fy"]).groupBy("l").agg(F.max(F.struct("score", (-F.col("r")).alias("r"))).alias("m"))
-    return top.select("l", (-F.col("m.r")).alias("r"), "m.score")
+    rows = _later(e).join(scored.where("matched"), ["n", "y", "fn", "fy"]).select("l", "r", F.struct("score", "matched").alias("m"), F.col("r").alias("idx"))
+    return M.best(rows, ["l"]).select("l", "r", "m.score")
 
 
-@query(None)
-def coverage_gaps_grouped_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """coverage_gaps_grouped over parts of all sizes: the earliest match of a name and type decides."""
+@query(f"{_PAIRS} SELECT id FROM ({_ENTRY}) WHERE id NOT IN (SELECT r FROM s WHERE n + o + k >= 4.0)")
+def coverage_gaps_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of a brand that match none of the brand's earlier ones: the earliest match of a name and type decides."""
     e, scored = _whole(spark, sf_dir)
     first = e.groupBy("brand", "n", "y").agg(F.min("id").alias("first"))
     found = first.join(scored.where("matched"), ["n", "y"]).groupBy("brand", F.col("fn").alias("n"), F.col("fy").alias("y")).agg(F.min("first").alias("first"))
     return e.join(found, ["brand", "n", "y"], "left").where("first IS NULL OR first >= id").select("id")
 
 
+_SUPPLIED = """SELECT p_partkey AS id, p_partkey // 10 AS doc_id, p_size, p_name AS n, p_type AS t FROM part"""
+_GAP_PAIRS = f"""WITH e AS ({_SUPPLIED}), p AS (SELECT a.id AS l, b.id AS r, a.n AS an, b.n AS bn, a.t AS ay, b.t AS byy FROM e a JOIN e b ON a.doc_id = b.doc_id AND a.p_size > 15 AND b.p_size <= 15),
+s AS (SELECT l, r, CASE WHEN lower(an) = lower(bn) THEN 4.0 WHEN {_overlap_sql('an', 'bn')} >= 0.6 THEN 2.5 ELSE 0 END AS n, CASE WHEN lower(ay) = lower(byy) THEN 3.0 WHEN {_overlap_sql('ay', 'byy')} >= 0.6 THEN 2.0 ELSE 0 END AS o,
+CASE WHEN {_overlap_sql("an || ' ' || ay", "bn || ' ' || byy")} >= 0.5 THEN 1.5 ELSE 0 END AS k FROM p)"""
+
+
+@query(f"{_GAP_PAIRS} SELECT doc_id, CASE WHEN p_size > 30 THEN 'parser' ELSE 'phase2_input' END AS source, id AS ord FROM e WHERE p_size > 15 AND id NOT IN (SELECT l FROM s WHERE n + o + k >= 4.0)")
+def missing_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten parts are a record: small ones its final trainings, the others evidence that may lack there."""
+    none = F.array().cast("array<string>")
+    entry = F.struct(F.concat_ws(" ", "p_name", "p_type").alias("raw_text"), F.col("p_name").alias("primary_name"), F.col("p_type").alias("secondary_name"), F.lit("").alias("date_range"), none.alias("technologies"))
+    rows = table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 10).cast("long").alias("doc_id"), F.when(F.col("p_size") > 30, "parser").otherwise("phase2_input").alias("source"), F.col("p_partkey").alias("ord"), entry.alias("entry"), "p_size")
+    return R.missing_entries(rows.where("p_size > 15"), rows.where("p_size <= 15"), "trainings_courses").select("doc_id", "source", "ord")
+
+
 @query(None)
 def grouped_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of a brand as trainings: small ones by the optimizer, middle ones by the parser, large ones as candidates."""
@@ -490,34 +454,34 @@ def singleton_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.select("user_id", L.recover_singleton("github", F.lit(""), pool, F.lit(None).cast("string")).alias("r")).select("user_id", "r.value", "r.source")
 
 
-@query("SELECT event_id, props::JSON::VARCHAR IS NOT NULL AS ok FROM events")
+@query("SELECT event_id, 'k=' || json_extract_string(props, '$.k') AS payload FROM events")
 def payload_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wrapped = F.concat(F.lit('{"json_output": '), F.col("props"), F.lit("}"))
-    return table(spark, sf_dir, "events").select("event_id", P.unwrap(wrapped).isNotNull().alias("ok"))
+    """Every event's properties, wrapped in each of the ways that are known, and unwrapped again."""
+    k, props = F.col("event_id") % 4, F.col("props")
+    text_ = F.to_json(F.struct(props.alias("json_output")))
+    wrapped = F.when(k == 0, F.concat(F.lit('{"parser_payload": '), props, F.lit("}"))).when(k == 1, text_).when(k == 2, F.concat(F.lit('[{"optimizer_payload": '), props, F.lit('}, {"x": 1}]'))).otherwise(props)
+    found = F.from_json(P.unwrap(wrapped), "map<string,string>")
+    pairs = F.array_sort(F.transform(F.map_entries(found), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return table(spark, sf_dir, "events").select("event_id", F.array_join(pairs, ";").alias("payload"))
+
+
+_TURNS = """SELECT row_number() OVER (ORDER BY conv_id, turn, text) AS n, conv_id, CASE WHEN turn % 3 > 0 THEN role || '/' || conv_id ELSE '' END AS path, text FROM conversations WHERE role = '{role}'"""
 
 
-@query("""WITH u AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE role = 'user'),
-a AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE role = 'assistant')
-SELECT conv_id, n, u.text AS user_text, a.text AS assistant_text FROM u JOIN a USING (conv_id, n)""")
+@query(f"""SELECT n AS row, u.conv_id::VARCHAR AS cv_id, CASE WHEN u.path <> '' THEN u.path ELSE a.path END AS pdf_path, u.path = '' AND a.path = '' AS skipped FROM ({_TURNS.format(role='user')}) u JOIN ({_TURNS.format(role='assistant')}) a USING (n)""")
 def positional_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("conv_id").orderBy("turn")
+    """User turns and assistant turns as the lines of two files, paired by position."""
     rows = table(spark, sf_dir, "conversations")
-    user, other = (rows.where(F.col("role") == r).select("conv_id", F.row_number().over(w).cast("long").alias("n"), F.col("text").alias(f"{r}_text")) for r in ("user", "assistant"))
-    return user.join(other, ["conv_id", "n"])
+    path = F.when(F.col("turn") % 3 > 0, F.concat_ws("/", "role", F.col("conv_id").cast("string"))).otherwise("")
+    line = F.to_json(F.struct(path.alias("pdf_path"), F.col("conv_id").cast("string").alias("cv_id"), "text"))
+    sides = [rows.where(F.col("role") == r).select(F.row_number().over(Window.orderBy("conv_id", "turn", "text")).cast("long").alias("row"), line.alias("line")) for r in ("user", "assistant")]
+    return P.pair_by_position(*sides).select("row", "cv_id", "pdf_path", "skipped")
 
 
-@query("""WITH a AS (SELECT page_id % 50 AS doc_id, page_id AS page_number, url AS text, 1 AS b FROM pages), f AS (SELECT page_id % 50 AS doc_id, page_id AS page_number, substr(html, 1, 60) AS text, 0 AS b FROM pages)
-SELECT a.doc_id, a.page_number, CASE WHEN length(f.text) > length(a.text) + 20 THEN 'fallback' ELSE 'primary' END AS extractor FROM a JOIN f USING (doc_id, page_number)""")
+@query("""WITH a AS (SELECT page_id % 50 AS doc_id, page_id AS page_number, url AS text, 1 AS b FROM pages), f AS (SELECT page_id % 50 AS doc_id, page_id AS page_number, html AS text, 0 AS b FROM pages)
+SELECT a.doc_id, a.page_number, CASE WHEN length(coalesce(f.text, '')) > length(coalesce(a.text, '')) + 20 THEN 'fallback' ELSE 'primary' END AS extractor FROM a JOIN f USING (doc_id, page_number)""")
 def extractor_page_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    one = pages.select((F.col("page_id") % 50).alias("doc_id"), F.col("page_id").alias("page_number"), F.col("url").alias("text"), F.lit(1).alias("block_count"))
-    two = pages.select((F.col("page_id") % 50).alias("doc_id"), F.col("page_id").alias("page_number"), F.substring("html", 1, 60).alias("text"), F.lit(0).alias("block_count"))
-    return B.select_pages(one, two).select("doc_id", "page_number", "extractor")
-
-
-@query(None)
-def extractor_page_select_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """extractor_page_select with the whole html as the fallback's text."""
+    """Page by page, the URL as one extractor's text and the html as the other's."""
     pages = table(spark, sf_dir, "pages").select((F.col("page_id") % 50).alias("doc_id"), F.col("page_id").alias("page_number"), "url", "html")
     one, two = (pages.select("doc_id", "page_number", F.col(c).alias("text"), F.lit(b).alias("block_count")) for c, b in (("url", 1), ("html", 0)))
     return B.select_pages(one, two).select("doc_id", "page_number", "extractor")
@@ -535,12 +499,38 @@ def _missed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.recovery_rows(missed, results)
 
 
-@query(None)
+def _chunks_sql(x: str) -> str:
+    """Comparison chunks in DuckDB; texts without bullets at all, or with."""
+    t = _STRIP.format(x=f"regexp_replace({x}, '\\r\\n?', chr(10), 'g')")
+
+    def kept(parts: str) -> str:
+        return f"list_filter(list_transform({parts}, lambda p: {_STRIP.format(x='p')}), lambda p: p <> '')"
+
+    marked = kept(f"string_split_regex({t}, '(?m)(?:^|\\n)\\s*[•●▪·]\\s*')")
+    plain = kept(f"string_split_regex({t}, '\\n\\s*\\n')")
+    paragraphs = kept("string_split_regex(q, '\\n\\s*\\n')")
+    parts = f"flatten(list_transform(CASE WHEN len({marked}) > 1 THEN {marked} ELSE {plain} END, lambda q: {paragraphs}))"
+    return f"list_filter(list_transform({parts}, lambda p: {_flat('p')}), lambda p: len(regexp_extract_all(lower(p), '[a-z0-9+#./]+')) >= 3)"
+
+
+_TOKEN_SET = "list_distinct(regexp_extract_all({x}, '[a-z0-9+#./]+'))"
+_MISSED = f"""WITH c AS (SELECT item_id::VARCHAR AS cv_id, unnest(l) AS chunk, unnest(range(1, len(l) + 1)) AS i FROM (SELECT item_id, {_chunks_sql('text')} AS l FROM benchmark)),
+d AS (SELECT *, {_MATCH.format(x='chunk')} AS k FROM c), e AS (SELECT * FROM d WHERE k <> '' QUALIFY row_number() OVER (PARTITION BY cv_id, k ORDER BY i) = 1),
+m AS (SELECT cv_id, chunk, k, row_number() OVER (PARTITION BY cv_id ORDER BY i) - 1 AS ord, {_TOKEN_SET.format(x='k')} AS kt FROM e),
+s AS (SELECT conv_id::VARCHAR AS cv_id, {_MATCH.format(x=_flat('text'))} AS n, {_flat('text')} AS raw, turn FROM conversations),
+w AS (SELECT cv_id, {_MATCH.format(x="string_agg(raw, ' ' ORDER BY turn, raw)")} AS whole FROM s GROUP BY cv_id),
+x AS (SELECT m.cv_id, m.ord, bool_or(n <> '' AND len(kt) > 0 AND len({_TOKEN_SET.format(x='n')}) > 0 AND len(list_intersect(kt, {_TOKEN_SET.format(x='n')})) / least(len(kt), len({_TOKEN_SET.format(x='n')}))::DOUBLE >= 0.8) AS near FROM m JOIN s USING (cv_id) GROUP BY ALL)
+SELECT m.cv_id, '' AS file_path, CASE WHEN w.cv_id IS NULL THEN 'missing_phase2_result' ELSE 'matched' END AS status, m.ord::INT AS ord, m.chunk, coalesce(contains(whole, k) OR (len(regexp_extract_all(k, '[a-z0-9+#./]+')) >= 3 AND near), false) AS recovered
+FROM m LEFT JOIN w USING (cv_id) LEFT JOIN x ON x.cv_id = m.cv_id AND x.ord = m.ord"""
+
+
+@query(_MISSED)
 def missed_content_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _missed(spark, sf_dir)
 
 
-@query(None)
+@query(f"""SELECT count(DISTINCT cv_id) AS total_rows_with_missed_content, count(DISTINCT cv_id) FILTER (recovered) AS rows_with_any_recovered_content, count(*) AS total_missed_chunks,
+count(*) FILTER (recovered) AS recovered_chunks, round_even(count(*) FILTER (recovered) / greatest(1, count(*))::DOUBLE, 3) AS recovery_rate FROM ({_MISSED})""")
 def recovery_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.recovery_totals(_missed(spark, sf_dir))
 
@@ -561,40 +551,6 @@ def regression_candidate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-_CERTS = "(VALUES ('AWS Certified Developer'), ('CCNA Jan 2020 - Feb 2021'), ('Best Award 2020'), ('Cisco Fundamentals of Cybersecurity'), ('worked on networks'), ('Systems'), ('PMP, '), ('plain words'))"
-_CERT_KEY = "trim(regexp_replace(regexp_replace(lower(trim(regexp_replace(trim(regexp_replace(trim(ltrim(trim(regexp_replace(t, '\\s+', ' ', 'g')), '•●▪- '), ' ,;|'), '(?i)\\b(completed|identify|understand|worked on|contributed to|automated)\\b.*$', ''), ' ,;|.-'), '(?i)\\s+\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\\s*\\d{4}\\s*[-–]\\s*\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\\s*\\d{4}\\b.*$', ''), ' ,;|.-')), '\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\\s+\\d{4}\\s*[-–]?\\s*(jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)?[a-z]*\\s*\\d{0,4}', '', 'g'), '\\s+', ' ', 'g'), ' ,;|.-')"
-
-
-def _values(spark: SparkSession, sql: str) -> DataFrame:
-    return spark.sql(f"SELECT * FROM VALUES {sql[8:-1]} AS v(t)")
-
-
-@query(f"SELECT t, {_CERT_KEY} AS key FROM {_CERTS} v(t)")
-def cert_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _values(spark, _CERTS).withColumn("key", L.certification_key(F.col("t")))
-
-
-@query(f"SELECT t FROM {_CERTS} v(t) WHERE t IN ('AWS Certified Developer', 'CCNA Jan 2020 - Feb 2021', 'Cisco Fundamentals of Cybersecurity', 'PMP, ')")
-def recoverable_certs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _values(spark, _CERTS).where(L.is_certification(L.clean_certification(F.col("t"))))
-
-
-_TONGUES = "(VALUES ('English'), ('Languages'), ('Native: Arabic'), ('ARABIC'), ('FR'), ('Python'), ('German (B2)'))"
-
-
-@query(f"SELECT t FROM {_TONGUES} v(t) WHERE t IN ('English', 'FR', 'German (B2)')")
-def recoverable_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _values(spark, _TONGUES).where(L.is_language(text.normalize_flat("t")))
-
-
-_SOFT = "(VALUES ('• Teamwork'), ('Leadership: led a large team'), ('Leadership: led'), ('Cooking: makes very good food'), ('skills'), ('Time Management.'), ('typing'))"
-
-
-@query(f"SELECT t FROM {_SOFT} v(t) WHERE t IN ('• Teamwork', 'Leadership: led a large team', 'Time Management.')")
-def recoverable_soft_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _values(spark, _SOFT).where(L.is_soft_skill(L.clean_soft_skill(F.col("t"))))
-
-
 def _as_input(rows: DataFrame, names: Column | None = None) -> DataFrame:
     """Rows with full_text as inputs of grounding, without other evidence than names."""
     none = F.array().cast("array<string>")
@@ -605,33 +561,11 @@ def _as_input(rows: DataFrame, names: Column | None = None) -> DataFrame:
     )
 
 
-@query(f"SELECT doc_id, CASE WHEN v <> '' AND contains(lower({_flat('text')}), v) THEN 'full_text' ELSE '' END AS sources FROM (SELECT doc_id, text, lower({_flat('substr(text, 10, 30)')}) AS v FROM documents)")
+@query(f"SELECT doc_id, CASE WHEN v <> '' AND contains(lower({_flat('text')}), v) THEN 'full_text' ELSE '' END AS sources FROM (SELECT doc_id, text, lower({_flat('source')}) AS v FROM documents)")
 def grounding_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A piece of every document, grounded in it."""
-    rows = _as_input(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text")))
-    return rows.select("doc_id", F.array_join(GR.sources(F.substring("full_text", 10, 30)), ",").alias("sources"))
-
-
-_NAMES = "(VALUES (1, 'Jane Doe', 'John Roe', 'none', 'about Jane Doe'), (2, '', 'John Roe', 'Jane Doe', 'about'), (3, '', 'John Roe', 'none', 'about john  roe'), (4, '', 'John Roe', 'none', 'nobody'), (5, '', '', 'none', ''))"
-
-
-@query(f"""SELECT id, CASE WHEN p <> '' THEN p WHEN c <> 'none' THEN c WHEN g THEN o END AS value, CASE WHEN p <> '' THEN 'parser' WHEN c <> 'none' THEN 'phase2_input' WHEN g THEN 'optimizer' ELSE 'unresolved' END AS source,
-CASE WHEN p <> '' THEN 0.9 WHEN c <> 'none' THEN 0.88 WHEN g THEN 0.7 ELSE 0.0 END::DOUBLE AS confidence FROM (SELECT *, o <> '' AND contains(lower({_flat('x')}), lower(o)) AS g FROM {_NAMES} v(id, p, o, c, x))""")
-def singleton_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.sql(f"SELECT * FROM VALUES {_NAMES[8:-1]} AS v(id, p, o, c, full_text)")
-    rows = _as_input(rows, F.filter(F.array("c"), lambda c: c != "none"))
-    return rows.select("id", GR.name(F.col("p"), F.col("o"), {"name": F.array("p")}).alias("r")).select("id", "r.value", "r.source", "r.confidence")
-
-
-_SECTION_VALUES = "(VALUES (1, 0, 'SUMMARY', 'section_heading'), (1, 1, 'Does things EDUCATION &', 'paragraph'), (1, 2, 'Work Experience', 'section_heading'), (1, 3, 'At a place.', 'paragraph'), (2, 0, 'Skills\nPython', 'paragraph'), (2, 1, 'a place | EDUCATION | a school', 'paragraph'), (2, 2, 'more text PROJECTS', 'paragraph'), (2, 3, 'one project', 'paragraph'))"
-_SECTION_WANT = "(VALUES (1, 1, 'Summary', 'Does things'), (1, 2, 'Experience', 'At a place.'), (2, 1, 'Skills', 'Python\na place'), (2, 2, 'Education', 'a school\nmore text'), (2, 3, 'Projects', 'one project'))"
-
-
-@query(f"SELECT * FROM {_SECTION_WANT} v(doc_id, section_seq, heading, content)")
-def section_split_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = _SECTION_VALUES[8:-1].replace("\n", "\\n")
-    rows = spark.sql(f"SELECT *, concat('b', pos) AS block_id, 1 AS page_number, CAST(NULL AS DOUBLE) AS x0 FROM VALUES {body} AS v(doc_id, pos, text, label)")
-    return S.split(rows)[0].select("doc_id", "section_seq", "heading", "content")
+    """Whether a document's source stands in its text."""
+    rows = _as_input(table(spark, sf_dir, "documents").select("doc_id", "source", F.col("text").alias("full_text")))
+    return rows.select("doc_id", F.array_join(GR.sources(F.col("source")), ",").alias("sources"))
 
 
 @query(None)
@@ -640,46 +574,3 @@ def contact_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text"), F.lit("").alias("uncategorized_text"))
     rows = rows.withColumn("blocks", F.array().cast("array<struct<pos:int,block_id:string,label:string,text:string>>")).withColumn("named", F.array().cast("array<struct<name:string,text:string,blocks:array<struct<pos:int,block_id:string,label:string,text:string>>>>"))
     return C.contacts(rows).select("doc_id", "contact_candidates.*")
-
-
-# --- what the queries over literal rows compute, over whole tables
-
-
-@query(None)
-def section_bleed_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.bleed_markers(section_split(spark, sf_dir)).select("doc_id", F.array_join("markers", ";").alias("markers"))
-
-
-@query(None)
-def composite_headings_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.composite_headings(section_split(spark, sf_dir)).select("doc_id", F.explode("headings").alias("heading"))
-
-
-@query(None)
-def skill_keys_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_rows(spark, sf_dir).withColumn("key", L.technical_key(F.col("text")))
-
-
-@query(None)
-def cert_keys_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_rows(spark, sf_dir).withColumn("key", L.certification_key(F.col("text")))
-
-
-@query(None)
-def recoverable_skills_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_rows(spark, sf_dir).where(L.is_technical(L.clean_skill(F.col("text"))))
-
-
-@query(None)
-def recoverable_certs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_rows(spark, sf_dir).where(L.is_certification(L.clean_certification(F.col("text"))))
-
-
-@query(None)
-def recoverable_languages_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_rows(spark, sf_dir).where(L.is_language(text.normalize_flat("text")))
-
-
-@query(None)
-def recoverable_soft_skills_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_rows(spark, sf_dir).where(L.is_soft_skill(L.clean_soft_skill(F.col("text"))))

@@ -66,6 +66,15 @@ def test_grouped_recovery_order():
     assert audit["recovered_items"] == ["trainings_courses:appended_from_source"]
 
 
+def test_entries_merge():
+    one = {"title": "", "tools": ["SQL"], "note": None, "kept": "x"}
+    both, gained = G.merged(one, {"tools": ["sql", "Go", " go", ""], "title": "T", "kept": "y", "other": 1, "note": "n"})
+    assert both == {"title": "T", "tools": ["SQL", "Go"], "note": "n", "kept": "x"} and gained == ["tools", "title", "note"]
+    assert one == {"title": "", "tools": ["SQL"], "note": None, "kept": "x"}
+    assert G.to_schema("projects", {"project_name": "P", "x": 1}, ["project_name", "tools"]) == {"project_name": "P", "tools": []}
+    assert G.to_schema("projects", {"x": "Thing | more"}, ["project_name", "description"])["project_name"] == "Thing"
+
+
 def test_missed_content(spark):
     missed = spark.createDataFrame([("1", "alpha beta gamma delta\n\nnever seen these words"), ("2", "no result for this")], "cv_id string, missed_from_raw_text string")
     results = spark.createDataFrame([("1", "f", ["Alpha beta gamma delta & more"], [], 1)], "cv_id string, file_path string, strings array<string>, education array<struct<gpa:string,grade:string>>, ord int")

@@ -4,7 +4,7 @@ import json
 import random
 
 from folioforge.operators import matching as M
-from folioforge.plans import queries as plan
+from folioforge.plans import derived, queries as plan  # noqa: F401  derived registers queries
 
 
 def parts(spark, folder):
@@ -22,15 +22,15 @@ def test_matches_of_all_parts(spark, tmp_path):
         return {"raw_text": f"{n} {y}", "primary_name": n, "secondary_name": y, "date_range": "", "technologies": []}
 
     scores = {(a[0], b[0]): M.score("trainings_courses", entry(a[1], a[3]), entry(b[1], b[3])) for a in rows for b in rows if a[2] == b[2] and a[0] < b[0]}
-    got = {(x["l"], x["r"]): (x["matched"], x["score"]) for x in plan.QUERIES["entity_match_scores_whole"](spark, str(tmp_path)).collect()}
+    got = {(x["l"], x["r"]): (x["matched"], x["score"]) for x in plan.QUERIES["entity_match_scores"](spark, str(tmp_path)).collect()}
     assert got == scores
     best = {}
     for (left, right), (ok, score) in sorted(scores.items()):
         if ok and score > best.get(left, (0, 0.0))[1]:
             best[left] = (right, score)
-    assert {x["l"]: (x["r"], x["score"]) for x in plan.QUERIES["entity_best_match_whole"](spark, str(tmp_path)).collect()} == best
+    assert {x["l"]: (x["r"], x["score"]) for x in plan.QUERIES["entity_best_match"](spark, str(tmp_path)).collect()} == best
     gaps = {x[0] for x in rows} - {right for (_, right), (ok, _) in scores.items() if ok}
-    assert sorted(x["id"] for x in plan.QUERIES["coverage_gaps_grouped_whole"](spark, str(tmp_path)).collect()) == sorted(gaps)
+    assert sorted(x["id"] for x in plan.QUERIES["coverage_gaps_grouped"](spark, str(tmp_path)).collect()) == sorted(gaps)
 
 
 def test_recovery_reads_all_parts(spark, tmp_path):
@@ -44,23 +44,19 @@ def test_pages_by_whole_texts(spark, tmp_path):
     url = "http://example.test/" + "p" * 80
     rows = [(1, url, "h" * (len(url) + 21)), (2, url, "h" * (len(url) + 20)), (3, url, "")]
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
-    got = {r["page_number"]: r["extractor"] for r in plan.QUERIES["extractor_page_select_whole"](spark, str(tmp_path)).collect()}
+    got = {r["page_number"]: r["extractor"] for r in plan.QUERIES["extractor_page_select"](spark, str(tmp_path)).collect()}
     assert got == {1: "fallback", 2: "primary", 3: "primary"}
 
 
-def test_lists_and_sections_read_documents(spark, tmp_path):
+def test_lists_read_documents(spark, tmp_path):
     lines = ["React.js", "AWS Certified Developer", "English", "• Teamwork", "working with many people daily"]
-    cv = "SUMMARY\nDoes many things here EDUCATION &\nWork Experience\nAt a place."
-    spark.createDataFrame([(1, "\n".join(lines)), (2, "plain words"), (3, cv)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "\n".join(lines)), (2, "plain words")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
 
     def found(name):
-        return {n: r for r in plan.QUERIES[name + "_whole"](spark, str(tmp_path)).collect() for n in [(r["doc_id"], r["text"].replace("\u2022 ", ""))]}
+        return {(r["doc_id"], r["text"].replace("\u2022 ", "")): r for r in plan.QUERIES[name](spark, str(tmp_path)).collect()}
 
-    assert found("skill_keys")[1, "React.js"]["key"] == "react" and len(found("skill_keys")) == 10
-    assert len(found("cert_keys")) == 10 and found("cert_keys")[1, "AWS Certified Developer"]["key"] == "aws certified developer"
+    keys = found("comparison_keys_lines")
+    assert keys[1, "React.js"]["skill_key"] == "react" and len(keys) == 6 and keys[1, "AWS Certified Developer"]["cert_key"] == "aws certified developer"
     for name, line in (("skills", "React.js"), ("certs", "AWS Certified Developer"), ("languages", "English"), ("soft_skills", "Teamwork")):
-        hits = found("recoverable_" + name)
+        hits = found(f"recoverable_{name}_lines")
         assert (1, line) in hits and (name == "languages" or (1, lines[-1]) not in hits)
-    sections = plan.section_split(spark, str(tmp_path))
-    assert {r["doc_id"] for r in plan.QUERIES["composite_headings_whole"](spark, str(tmp_path)).collect()} <= {r["doc_id"] for r in sections.collect()}
-    plan.QUERIES["section_bleed_whole"](spark, str(tmp_path)).collect()
