@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
 #: Bytes of an Arrow batch, and of what one reducing task should read, about.
-BATCH_BYTES, TASK_BYTES = 8 << 20, 64 << 20
+BATCH_BYTES, TASK_BYTES = 4 << 20, 64 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -93,6 +93,7 @@ def tune(spark: SparkSession) -> None:
 def trim() -> None:
     """Gives freed memory back to the system: an idle Python worker stays for a minute beside the JVM's own needs."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except OSError:  # another C library
@@ -244,12 +245,10 @@ def least_hub(n: int) -> int:
     return max(64, n // 10_000)
 
 
-def _star(e: DataFrame, forward: str) -> DataFrame:
-    """(a, b, m) for rows (a, b) of e with the condition `forward`: m is the least of a and of all its b in e."""
-    low = materialise(e.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n")), "cc")
-    out = materialise(with_hubs(e.where(forward).select("a", "b"), low, "a", least_hub(e.count())), "cc")
-    discard(low)
-    return out
+def _star(e: DataFrame, n: int, forward: str) -> DataFrame:
+    """(a, b, m) for the n rows (a, b) of e with the condition `forward`: m is the least of a and of all its b in e."""
+    low = e.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return with_hubs(e.where(forward).select("a", "b"), low, "a", least_hub(n))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -260,17 +259,19 @@ def components(edges: DataFrame) -> DataFrame:
     links are gathered in one row or task, and nothing but counts reaches the driver.
     """
     e = materialise(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    while not e.isEmpty():
-        both = materialise(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))), "cc")
-        starred = _star(both, "b > a")
+    n = e.count()
+    while n:
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        starred = _star(both, 2 * n, "b > a")
         large = materialise(starred.where("b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).distinct(), "cc")
-        discard(both, starred, e)
-        starred = _star(large, "true")
+        discard(e)
+        starred = _star(large, large.count(), "true")
         links = starred.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(starred.select("a", F.col("m").alias("b")))
         e = materialise(links.where("a <> b").distinct(), "cc")
-        discard(large, starred)
+        discard(large)
+        n = e.count()
         # a star forest: nobody is both a child and a parent, and every child has one parent
-        if e.count() == e.select("a").distinct().count() and e.join(e.select(F.col("a").alias("x")), F.col("b") == F.col("x"), "left_semi").isEmpty():
+        if n == e.select("a").distinct().count() and e.join(e.select(F.col("a").alias("x")), F.col("b") == F.col("x"), "left_semi").isEmpty():
             break
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 

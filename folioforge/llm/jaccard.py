@@ -39,6 +39,8 @@ _BITS = 56
 _FLUSH = 600_000
 #: Postings that a reducing worker holds, about.
 _POSTINGS = 1_000_000
+#: Shingles of a block of sets that are compared with another block's, about.
+_BLOCK = 400_000
 _WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -318,34 +320,44 @@ def _across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _cell(g: pd.DataFrame) -> pd.DataFrame:
-    """Two blocks of one family: links between sets of different components, as a forest."""
-    lo, hi = int(g["lo"].iloc[0]), int(g["hi"].iloc[0])
-    block = g["block"].to_numpy()
-    left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-    tokens = [np.asarray(t) for t in g["tokens"]]
-    size, comp, ids = g["n"].to_numpy(), g["component"].to_numpy(), g["digest"].to_numpy()
-    shared = np.intersect1d(np.concatenate([tokens[i] for i in left]), np.concatenate([tokens[i] for i in right]))
-
-    def held(rows: np.ndarray, own: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(rows), len(own)), np.float32)
-        for k, i in enumerate(rows):
-            at = np.searchsorted(own, tokens[i])
-            ok = at < len(own)
-            at = at[ok]
-            out[k, at[own[at] == tokens[i][ok]]] = 1
-        return out
-
-    both = np.zeros((len(left), len(right)), np.float32)
-    for s in range(0, len(shared), 16_384):  # long texts share many: a block of shingles at a time
-        both += held(left, shared[s : s + 16_384]) @ held(right, shared[s : s + 16_384]).T
-    near = (100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)) & (comp[left][:, None] != comp[right][None, :])
-    i, j = np.nonzero(near)
-    if not len(i):
-        return pd.DataFrame()
-    low = forest(left[i], right[j], len(g))
-    own = np.flatnonzero(low != np.arange(len(g)))
-    return pd.DataFrame({"a": ids[own], "b": ids[low[own]]})
+def _held(tokens: np.ndarray, ends: np.ndarray, rows: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which of the sorted shingles `own` each row holds, as a matrix of 0 and 1."""
+    out = np.zeros((len(rows), len(own)), np.float32)
+    for k, i in enumerate(rows):
+        t = tokens[ends[i] : ends[i + 1]]
+        at = np.searchsorted(own, t)
+        ok = at < len(own)
+        at = at[ok]
+        out[k, at[own[at] == t[ok]]] = 1
+    return out
+
+
+def _cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells, two blocks of one family each: links between sets of different components, as a forest."""
+    for _, run in common.runs(batches, "cell"):
+        g = pa.Table.from_batches(list(run)).combine_chunks()
+        lo, hi = g.column("lo")[0].as_py(), g.column("hi")[0].as_py()
+        block, size, comp, ids = (g.column(c).to_numpy() for c in ("block", "n", "component", "digest"))
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        if not len(left) or not len(right):
+            continue
+        lists = g.column("tokens").combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        # sorted by value in every row, as searches need
+        tokens = lists.flatten().to_numpy().copy()
+        for a, b in zip(ends, ends[1:], strict=False):
+            tokens[a:b].sort()
+        shared = np.intersect1d(tokens[common.ragged(ends[left], np.diff(ends)[left])], tokens[common.ragged(ends[right], np.diff(ends)[right])])
+        both = np.zeros((len(left), len(right)), np.float32)
+        for s in range(0, len(shared), 8192):  # long texts share many: a block of shingles at a time
+            both += _held(tokens, ends, left, shared[s : s + 8192]) @ _held(tokens, ends, right, shared[s : s + 8192]).T
+        near = (100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)) & (comp[left][:, None] != comp[right][None, :])
+        i, j = np.nonzero(near)
+        if len(i):
+            low = forest(left[i], right[j], g.num_rows)
+            own = np.flatnonzero(low != np.arange(g.num_rows))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[low[own]])], ["a", "b"])
+    common.trim()
 
 
 def _joined(sets: DataFrame) -> DataFrame:
@@ -378,13 +390,16 @@ def _joined(sets: DataFrame) -> DataFrame:
     found = _verified(pairs, sets)
     long = rest.where(F.col("size") > FREQUENT)
     family = common.components(long.select(F.col("digest").alias("a"), F.col("centre").alias("b")).distinct()).withColumnRenamed("node", "digest").withColumnRenamed("component", "family")
-    members = long.select("digest", "component").distinct().join(family, "digest")
-    members = common.materialise(members.select("family", "digest", "component"), "members")
-    sizes = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(256.0)).cast("int").alias("parts"), F.count(F.lit(1)).alias("n"))
+    members = long.select("digest", "component").distinct().join(family, "digest").join(sets.select("digest", F.size("tokens").alias("held")), "digest")
+    members = common.materialise(members.select("family", "digest", "component", "held"), "members")
+    # a block holds a bounded number of sets and, single long sets aside, of shingles
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(256.0)), F.ceil(F.sum("held") / F.lit(float(_BLOCK)))).cast("int")
+    sizes = members.groupBy("family").agg(parts.alias("parts"), F.count(F.lit(1)).alias("n"))
     members = common.with_hubs(members, sizes, "family", common.least_hub(members.count())).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
     members = members.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o"))
     cells = members.join(sets.select("digest", "n", "tokens"), "digest").select("family", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi"), "block", "digest", "component", "n", "tokens")
-    found = common.materialise(found.unionByName(common.by_group(cells, ["family", "lo", "hi"], _cell, "a long, b long")), "links")
+    cells = cells.withColumn("cell", F.xxhash64("family", "lo", "hi")).drop("family").repartition(common.parts(sets), "cell").sortWithinPartitions("cell")
+    found = common.materialise(found.unionByName(cells.mapInArrow(_cell, "a long, b long")), "links")
     if not found.isEmpty():
         comp = common.components(links.unionByName(found))
     common.discard(lists, star, best, rest, found, links)

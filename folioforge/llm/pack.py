@@ -67,6 +67,7 @@ def pieces(docs: DataFrame, name: str, width: int = WIDTH, buckets: int = 64) ->
                     crc.append(zlib.crc32(piece))
                     total.append(n)
             yield pd.DataFrame({"doc_id": pd.array(doc, dtype=b["doc_id"].dtype), "start": start, "length": length, "ids_crc32": crc, "doc_tokens": total})
+        common.trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     cut = rows.mapInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

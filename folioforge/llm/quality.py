@@ -128,6 +128,8 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
             texts = b["_text"].tolist()
             logits = np.concatenate([np.zeros(0), *(m.logits(texts[k : k + 500], tokens) for k in range(0, len(texts), 500))])
             yield b.drop(columns="_text").assign(score=1 / (1 + np.exp(-np.clip(logits, -500, 500))))
+        del tokens
+        common.trim()
 
     names = keep or ["doc_id"]
     rows = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"))

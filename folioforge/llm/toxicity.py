@@ -261,6 +261,8 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
                 for p in [p for p in new if len(p) > 200]:
                     del known[p]
             yield b.drop(columns="_text").assign(score=1 / (1 + np.exp(-np.clip(np.array(logits, float), -500, 500))))
+        known.clear()
+        common.trim()
 
     names = keep or ["doc_id"]
     rows = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"))
