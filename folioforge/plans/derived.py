@@ -21,6 +21,7 @@ from folioforge.operators import reports as R
 from folioforge.operators import sections as S
 from folioforge.plans import queries as base
 from folioforge.plans.queries import query, table
+from folioforge.sources import payloads as P
 
 PHRASES = [
     "React.js", "Node.js, {}", "ASP.NET Core", "Fast API (certified)", "SQL / SQLite", "type script {}", "Tools: {}", "Python, Go", "working with {} daily", "REST services for {}",
@@ -571,3 +572,208 @@ def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT doc_id, string_agg(m, '¦' ORDER BY m) AS missing FROM (SELECT doc_id, source || ':' || field || ':' || value AS m FROM ({base.ORACLES['coverage_report']})) GROUP BY doc_id""")
 def coverage_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.coverage_rows(_gaps(spark, sf_dir)).select("doc_id", F.array_join("missing", "¦").alias("missing"))
+
+
+# --- soft skills, trainings and supplemental chunks of records
+
+
+def _lines_of(x: str) -> str:
+    """Non-empty normalised lines of a text, as a list."""
+    return f"list_filter(list_transform(string_split_regex({x}, '\\r\\n|\\n'), lambda p: {_lines('p')}), lambda p: p <> '')"
+
+
+def _raw_lines(x: str) -> str:
+    return _nonempty(f"string_split_regex({x}, '\\r\\n|\\n')")
+
+
+def _tail_sql(x: str) -> str:
+    """trim_label_tail in DuckDB."""
+    own = _lines_of(x)
+    hit = f"list_position(list_transform({own}, lambda p: {_in("trim(lower(p), ' :')", _TAIL_LABELS)}), true)"
+    return _lines(f"array_to_string(CASE WHEN {hit} > 0 THEN ({own})[1:{hit} - 1] ELSE {own} END, ' ')")
+
+
+def _short(x: str) -> str:
+    return f"CASE WHEN {_words(x)} < 3 THEN '' ELSE {x} END"
+
+
+_INLINE = f"CASE WHEN len({_bullets_sql('body', True)}) > 1 THEN {_bullets_sql('body', True)} ELSE {_raw_lines('body')} END"
+_SOFT_PARTS = f"""SELECT doc_id, i, {_short('c')} AS c FROM (SELECT doc_id, i, {_clean_chunk_sql('v', vocab.ADAPTER_PREFIX)} AS c FROM ({_listed(_body_sql('Skills'), f"flatten(list_transform({_INLINE}, lambda q: {_nonempty(chr(10).join(['string_split_regex(q, ' + chr(39) + chr(92) + 's+[•●▪·]' + chr(92) + 's+' + chr(39) + ')']))}))")}))"""
+
+
+@query(_dedupe_sql(f"""SELECT doc_id, i, {_lines('v')} AS v FROM (SELECT doc_id, i, {_tail_sql('c')} AS v FROM ({_SOFT_PARTS})) WHERE contains(v, ':') AND {_in(_strip("lower(split_part(v, ':', 1))"), vocab.SOFT_SKILL_LABELS)}"""))
+def soft_skill_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(_merged(spark, sf_dir), C.soft_skills())
+
+
+_MORE_LINES = f"SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, {_lines_of('body')} AS l FROM {_body_sql('Additional Information')})"
+_REST = "CASE WHEN contains(line, ':') THEN substr(line, length(split_part(line, ':', 1)) + 2) ELSE '' END"
+_PROVIDER = f"CASE WHEN starts_with(lower(line), 'certifications:') AND lower(({_split_sql(_REST)})[-1]) = 'udemy' THEN ({_split_sql(_REST)})[-1] END"
+# the provider waits from the last line that names one, if no training has come since
+_WAITING = f"""SELECT *, CASE WHEN training AND coalesce(max(CASE WHEN provider IS NOT NULL THEN i END) OVER b, 0) > coalesce(max(CASE WHEN training THEN i END) OVER b, 0) THEN last_value(provider IGNORE NULLS) OVER b END AS by_
+FROM (SELECT *, {_PROVIDER} AS provider, {_training_sql('line')} AS training FROM ({_MORE_LINES})) WINDOW b AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+_TRAINING_LABEL = "(" + " OR ".join(f"starts_with(lower(line), '{label}')" for label in vocab.TRAINING_LABELS) + ")"
+_OFFERED = f"""SELECT doc_id, i, unnest(l) AS c, unnest(range(1, len(l) + 1)) AS j, by_ FROM (SELECT doc_id, i, by_, CASE WHEN by_ IS NOT NULL THEN {_split_sql('line')}
+WHEN {_TRAINING_LABEL} AND NOT starts_with(lower(line), 'certification') THEN {_split_sql(_REST)} ELSE [] END AS l FROM ({_WAITING}))"""
+_COURSES = f"""{_listed(_body_sql('Courses'), _paragraphs_sql('body'))} UNION ALL SELECT doc_id, 1000000 + i * 1000 + j, CASE WHEN by_ IS NULL OR starts_with(lower(c), lower(by_)) THEN c ELSE {_lines("by_ || ' ' || c")} END FROM ({_OFFERED}) WHERE {_training_sql('c')}"""
+
+
+@query(f"""SELECT doc_id, pos, value AS text, array_to_string(regexp_extract_all(value, '(?i){vocab.DATE_HINT}'), ';') AS dates FROM ({_dedupe_sql(_COURSES, f"lower({_lines('v')})")})""")
+def training_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Courses, and trainings in the additional information of a record."""
+    rows = _merged(spark, sf_dir).select("doc_id", F.posexplode(C.trainings()).alias("pos", "e"))
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "e.text", F.array_join("e.hints.detected_dates", ";").alias("dates"))
+
+
+def _adapter_sql(raw: str, section: str) -> str:
+    low, c = f"lower({raw})", vocab.SUPPLEMENTAL
+    return f"CASE WHEN {_any(low, c['publications'])} THEN 'publications' WHEN {_any(low, c['activities'])} THEN 'activities' WHEN {section} = 'Achievements' OR {_any(low, c['achievements'])} THEN 'achievements' END"
+
+
+def _chunk_rows(name: str, at: int) -> str:
+    own = _strip("body")
+    parts = f"CASE WHEN len({_bullets_sql(own, True)}) > 1 THEN {_bullets_sql(own, True)} ELSE {_nonempty(f"string_split_regex({own}, '\\n\\s*\\n')")} END"
+    return f"SELECT doc_id, {at} + i AS i, {_lines('v')} AS raw, v AS part, '{name}' AS section FROM ({_listed(_body_sql(name), parts)})"
+
+
+_PUBLISHED = f"""SELECT doc_id, 2000000 + i AS i, v AS raw, v AS part, 'Education' AS section FROM ({_listed(f"(SELECT * FROM {_body_sql('Education')} WHERE {_any(f'lower({_lines(chr(98) + chr(111) + chr(100) + chr(121))})', vocab.SUPPLEMENTAL_EDUCATION)})", _lines_of('body'))}) WHERE {_any('lower(v)', vocab.SUPPLEMENTAL['publications'])}"""
+_HELPED = f"""SELECT doc_id, 3000000 + i AS i, {_lines(_strip("coalesce(last_value(CASE WHEN dated THEN v END IGNORE NULLS) OVER b, '') || ' ' || v"))} AS raw, v AS part, 'Skills' AS section, dated
+FROM (SELECT *, regexp_matches(v, '(?i){vocab.DATED_LINE}') AS dated FROM ({_listed(_body_sql('Skills'), _lines_of(_strip(f"regexp_extract(body, '(?is){vocab.VOLUNTEERING}', 1)")))})) WINDOW b AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+_CHUNKS = f"""SELECT * FROM (SELECT doc_id, i, raw, section, {_short('c')} AS cleaned FROM (SELECT *, {_clean_chunk_sql('part', vocab.ADAPTER_PREFIX)} AS c FROM ({_chunk_rows('Achievements', 0)} UNION ALL {_chunk_rows('Additional Information', 1000000)} UNION ALL {_PUBLISHED}
+UNION ALL SELECT doc_id, i, raw, part, section FROM ({_HELPED}) WHERE NOT dated AND (regexp_matches(part, '^[\\-•●▪·]') OR coalesce({_adapter_sql('part', "'Skills'")} = 'activities', false))))) WHERE cleaned <> ''
+QUALIFY row_number() OVER (PARTITION BY doc_id, lower({_lines('cleaned')}) ORDER BY i) = 1"""
+
+
+@query(f"""SELECT doc_id, kind, row_number() OVER (PARTITION BY doc_id, kind ORDER BY i) - 1 AS pos, cleaned AS value FROM (SELECT *, {_adapter_sql('raw', 'section')} AS kind FROM ({_CHUNKS})) WHERE kind IS NOT NULL""")
+def supplemental_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Achievements, activities and publications of records."""
+    rows = _merged(spark, sf_dir)
+    parts = [_values(rows, C.supplemental(k)).withColumn("kind", F.lit(k)) for k in ("achievements", "activities", "publications")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --- sections of records whose blocks are headings and plain sentences
+
+
+_BLOCK_HEADINGS = ["Skills", "Work Experience", "EDUCATION", "Projects:", "Languages", "Certifications", "Volunteer Work"]
+_HEADED = "id % 5 = 0 AND doc_id % 7 > 0 AND NOT (doc_id % 3 = 0 AND id % 20 = 0)"
+_BLOCKS = f"""SELECT doc_id, id, CASE WHEN {_HEADED} THEN list_extract({_quoted(_BLOCK_HEADINGS)}, id // 5 % {len(_BLOCK_HEADINGS)} + 1) ELSE lower(name) || ' and ' || lower(kind) || ' in use.' END AS t, {_HEADED} AS head FROM ({NOTES})"""
+
+
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = notes(spark, sf_dir)
+    head = (F.col("id") % 5 == 0) & (F.col("doc_id") % 7 > 0) & ~((F.col("doc_id") % 3 == 0) & (F.col("id") % 20 == 0))
+    body = F.concat(F.lower("name"), F.lit(" and "), F.lower("kind"), F.lit(" in use."))
+    return n.select(
+        "doc_id", F.col("id").alias("pos"), F.concat(F.lit("b"), F.col("id").cast("string")).alias("block_id"), F.lit(1).alias("page_number"), F.lit(None).cast("double").alias("x0"),
+        F.when(head, _chosen(_BLOCK_HEADINGS, F.floor(F.col("id") / 5))).otherwise(body).alias("text"), F.when(head, "section_heading").otherwise("paragraph").alias("label"),
+    )
+
+
+_SPLIT = f"""WITH b AS (SELECT *, sum(head::INT) OVER (PARTITION BY doc_id ORDER BY id) AS seq FROM ({_BLOCKS})),
+s AS (SELECT doc_id, seq, coalesce(max({_heading_sql('t')}) FILTER (head), 'General') AS heading, coalesce({_lines("string_agg(t, chr(10) ORDER BY id) FILTER (NOT head)")}, '') AS content, count(*) FILTER (NOT head) AS blocks, string_agg('b' || id, ';' ORDER BY id) FILTER (NOT head) AS block_ids FROM b GROUP BY doc_id, seq),
+k AS (SELECT * FROM s WHERE content <> '' OR heading <> 'General'), f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY seq) = 1 OR content <> '')
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY seq)::INT AS section_seq, heading, content, block_ids, blocks FROM f"""
+
+
+@query(f"SELECT doc_id, section_seq, heading, content, block_ids FROM ({_SPLIT})")
+def record_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of records: some begin without a heading, some have none."""
+    return S.split(_blocks(spark, sf_dir))[0].select("doc_id", "section_seq", "heading", "content", F.array_join("block_ids", ";").alias("block_ids"))
+
+
+@query(f"""WITH s AS (SELECT doc_id, count(*)::INT AS section_count, sum(blocks) FILTER (heading = 'General') AS general, bool_and(heading = 'General') AS all_general FROM ({_SPLIT}) GROUP BY doc_id), t AS (SELECT doc_id, count(*) AS n FROM ({_BLOCKS}) GROUP BY doc_id)
+SELECT doc_id, section_count, coalesce(general, 0) / n::DOUBLE AS general_block_ratio, array_to_string(list_filter([CASE WHEN section_count = 1 AND all_general THEN 'document_collapsed_into_general' END, CASE WHEN coalesce(general, 0) / n::DOUBLE > 0.7 THEN 'oversized_general_section' END], lambda x: x IS NOT NULL), ';') AS possible_errors,
+0 AS recovered_section_splits FROM t JOIN s USING (doc_id)""")
+def record_section_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.split(_blocks(spark, sf_dir))[1].select("doc_id", "section_count", "general_block_ratio", F.array_join("possible_errors", ";").alias("possible_errors"), "recovered_section_splits")
+
+
+@query(f"""SELECT doc_id, 'b' || id AS block_id FROM ({_BLOCKS}) WHERE NOT head AND id % 3 = 0""")
+def record_unassigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks that no section holds, after every third was taken out of its section."""
+    blocks = _blocks(spark, sf_dir)
+    sections = S.split(blocks)[0].withColumn("block_ids", F.filter("block_ids", lambda b: F.regexp_replace(b, "b", "").cast("long") % 3 != 0))
+    return Q.unassigned(blocks, sections).select("doc_id", "block_id")
+
+
+# --- merging of boxless blocks: those of HTML pages
+
+
+_RAW = base.ORACLES["html_blocks"]
+_FORM = _lines("text")
+_CAND = "regexp_replace(lower(regexp_replace(t, ':+$', '')), '\\s+', ' ', 'g')"
+_MERGED_HTML = f"""WITH r AS (SELECT doc_id, block_id, text, {_FORM} AS t, row_number() OVER (PARTITION BY doc_id ORDER BY block_id) AS pos FROM ({_RAW})),
+f AS (SELECT *, t <> '' AND {_in('substr(t, 1, 1)', vocab.BULLETS)} AS bullet, regexp_matches(t, '[.!?;:]$') AS stop, regexp_matches(t, '^\\p{{Ll}}') AS low,
+t <> '' AND NOT contains(t, chr(10)) AND ({_in(_CAND, vocab.MERGE_HEADINGS)} OR ({_words(_CAND)} <= 4 AND t = upper(t) AND NOT {_in(_CAND, vocab.NOT_HEADINGS)})) AS alone, {_words('t')} AS n FROM r),
+j AS (SELECT *, coalesce(lag(t) OVER w IS NOT NULL AND NOT alone AND lag(t) OVER w <> '' AND t <> '' AND (lag(bullet) OVER w OR (NOT lag(stop) OVER w AND low)), false) AS joined FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+g AS (SELECT *, sum((NOT joined)::INT) OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS grp FROM j)
+SELECT doc_id, grp::INT AS pos, string_agg(block_id, ';' ORDER BY pos) AS source_block_ids, string_agg(text, chr(10) ORDER BY pos) AS original_text,
+{_lines("CASE WHEN NOT arg_min(bullet, pos) AND arg_min(t <> '' AND n <= 5 AND NOT bullet, pos) THEN string_agg(t, ' | ' ORDER BY pos) ELSE string_agg(t, ' ' ORDER BY pos) END")} AS text FROM g GROUP BY doc_id, grp"""
+
+
+@query(f"SELECT doc_id, pos, source_block_ids, original_text, text, {_KIND.replace(chr(91) + 'A-Z' + chr(93), chr(92) + 'p{Lu}').replace('(t, ', '(text, ').replace('(t)', '(text)').replace(' t ', ' text ')} AS inferred_kind FROM ({_MERGED_HTML})")
+def html_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of HTML pages merged where they run on; a group's head decides what stands between its parts."""
+    rows = B.merge(B.from_html(table(spark, sf_dir, "pages")))
+    return rows.select("doc_id", "pos", F.array_join("source_block_ids", ";").alias("source_block_ids"), "original_text", "text", "inferred_kind")
+
+
+# --- merged groups, batches, JSON
+
+
+_GROUPED = f"""SELECT doc_id, size % 4 AS grp, id AS ord, CASE size % 3 WHEN 0 THEN 'parser' WHEN 1 THEN 'phase2_input' ELSE 'optimizer' END AS source, size % 3 AS rank, {_flat('t')} AS raw, CASE WHEN size % 5 > 0 THEN {_flat('kind')} ELSE '' END AS d,
+{base._IDENTITY.format(x=_flat('name'))} AS p, CASE WHEN size % 2 = 0 THEN {base._IDENTITY.format(x=_flat('kind'))} ELSE '' END AS s, CASE WHEN size % 7 = 0 THEN '2020' ELSE '' END AS dates FROM ({NOTES})"""
+
+
+@query(f"""WITH e AS ({_GROUPED}) SELECT doc_id, grp, coalesce(arg_min(p, rank * 1000000000 + ord) FILTER (p <> ''), '') AS primary_name, coalesce(arg_min(s, rank * 1000000000 + ord) FILTER (s <> ''), '') AS secondary_name, coalesce(arg_min(dates, rank * 1000000000 + ord) FILTER (dates <> ''), '') AS date_range,
+arg_max(CASE WHEN d <> '' THEN d ELSE raw END, (d <> '')::BIGINT * 1000000000000 + length(CASE WHEN d <> '' THEN d ELSE raw END) * 10000000 - ord) AS description, CASE WHEN count(DISTINCT source) > 1 THEN 'merged' ELSE min(source) END AS source,
+NOT (count(DISTINCT source) = 1 AND min(source) = 'optimizer') AS grounded, array_to_string(list_filter([CASE WHEN bool_or(source = 'parser') AND bool_or(source = 'phase2_input') THEN 'merged parser with phase2 candidate evidence' END,
+CASE WHEN bool_or(source = 'optimizer') AND count(DISTINCT source) > 1 THEN 'accepted grounded optimizer augmentation' END], lambda x: x IS NOT NULL), ';') AS notes FROM e GROUP BY doc_id, grp""")
+def merged_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes of a record as evidence of four entries, merged."""
+    size = F.col("size")
+    source = F.when(size % 3 == 0, "parser").when(size % 3 == 1, "phase2_input").otherwise("optimizer")
+    rows = notes(spark, sf_dir).select(
+        "doc_id", (size % 4).alias("grp"), F.col("id").alias("ord"), F.lit("projects").alias("kind"), source.alias("source"), F.col("t").alias("raw_text"), F.col("name").alias("primary_name"), F.when(size % 2 == 0, F.col("kind")).otherwise("").alias("secondary_name"),
+        F.when(size % 7 == 0, "2020").otherwise("").alias("date_range"), F.when(size % 5 > 0, F.col("kind")).otherwise("").alias("description"), F.array().cast("array<string>").alias("technologies"),
+    )
+    out = G.merge_group(rows)
+    return out.select("doc_id", "grp", "primary_name", "secondary_name", "date_range", "description", "source", "grounded", F.array_join("notes", ";").alias("notes"))
+
+
+@query(f"""SELECT count(*) AS processed_files, count(*) FILTER (weak) AS weak_files, avg(score) AS mean_score, (SELECT count(*) FROM pages) AS failed_files, count(*) + (SELECT count(*) FROM pages) AS total_files FROM ({base.ORACLES['block_quality_audit']})""")
+def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audited documents, with pages in the place of failures."""
+    return Q.batch_summary(base.block_quality_audit(spark, sf_dir), table(spark, sf_dir, "pages"))
+
+
+@query(f"""SELECT id, array_to_string(list_filter([{_flat('t')}, {_flat('kind')}, {_flat('name')}], lambda x: x <> ''), '¦') AS leaves, array_to_string(list_filter([{_flat('name')}, {_flat('t')}], lambda x: x <> ''), '¦') AS listed, {_flat('kind')} AS single FROM ({NOTES})""")
+def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """String leaves of a JSON record of each note, and its strings under one key."""
+    doc = F.to_json(F.struct(F.col("t").alias("a"), F.struct(F.array("kind").alias("c"), F.col("size").alias("n")).alias("b"), F.array("name").alias("d")))
+    flat = F.parse_json(F.to_json(F.struct(F.array("name", "t").alias("l"), F.col("kind").alias("s"))))
+    rows = notes(spark, sf_dir).select("id", doc.alias("doc"), flat.alias("v"))
+    return rows.select("id", F.array_join(R.string_leaves(F.col("doc")), "¦").alias("leaves"), F.array_join(P.string_list(F.col("v"), "l"), "¦").alias("listed"), F.array_join(P.string_list(F.col("v"), "s"), "¦").alias("single"))
+
+
+# --- contacts of documents
+
+
+def _first_of(x: str, key: str = "lower(v)") -> str:
+    """Distinct values of a list in order, joined."""
+    return f"(SELECT string_agg(v, '¦' ORDER BY i) FROM (SELECT v, min(i) AS i FROM (SELECT first(v) OVER (PARTITION BY {key} ORDER BY i) AS v, i FROM (SELECT unnest(l) AS v, unnest(range(1, len(l) + 1)) AS i FROM (SELECT {x} AS l))) WHERE v <> '' GROUP BY v))"
+
+
+_TITLED = "NOT regexp_matches({x}, '(^|[^\\p{{L}}])\\p{{Ll}}') AND NOT regexp_matches({x}, '\\p{{L}}\\p{{Lu}}')"
+_TITLE_WIDE = "array_to_string(list_transform(regexp_extract_all(lower({x}), '\\p{{L}}+|[^\\p{{L}}]+'), lambda r: upper(r[1]) || r[2:]), '')"
+_NAME_LIKE = f"p <> '' AND NOT {_mail_sql('p')} AND {_words('p')} BETWEEN 2 AND 4 AND (({_TITLED.format(x='p')}) OR p = upper(p))"
+
+
+@query(f"""SELECT doc_id, coalesce({_first_of(f"list_transform(list_filter({_lines_of('t')}, lambda p: {_NAME_LIKE}), lambda p: CASE WHEN {_TITLED.format(x='p')} THEN p ELSE {_TITLE_WIDE.format(x='p')} END)")}, '') AS name,
+coalesce({_first_of(f"regexp_extract_all(t, '{base._EMAIL}')")}, '') AS email, coalesce({_first_of(f"list_transform(regexp_extract_all(t, '{base._PHONE}'), lambda p: {_lines('p')})")}, '') AS phone,
+coalesce({_first_of(f"list_filter({_split_sql('t')}, lambda p: {_any('lower(p)', vocab.CONTACT_PLACES)})")}, '') AS location FROM (SELECT doc_id, {_lines("substr(text, 1, 1200)")} AS t FROM documents)""")
+def contact_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names, addresses, numbers and places that every document offers as contacts; by its rule an operator of this kind reads the head of a text."""
+    rows = base.contact_candidates(spark, sf_dir)
+    return rows.select("doc_id", *(F.array_join(c, "¦").alias(c) for c in ("name", "email", "phone", "location")))
