@@ -214,7 +214,7 @@ def _technical_sql(v: str) -> str:
     unpaired = f"(length(replace({v}, '(', '')) <> length(replace({v}, ')', '')))"
     joined = f"(regexp_matches({v}, '[—–]') AND {_any(bare, vocab.SKILL_GROUP_WORDS)})"
     no = f"({_in(bare, (*vocab.SECTION_LABELS, *vocab.SKILL_FRAGMENTS, *vocab.COMMON_SOFT_SKILLS))} OR {_in(v, ('▪', '●', '•'))} OR {several} OR {unpaired} OR {joined} OR {opens} OR {_any(bare, vocab.SKILL_FOREIGN)})"
-    return f"({v} <> '' AND NOT {wrapped} AND NOT {no} AND ({_words(v)} <= 3 OR {_any(low, vocab.TECHNICAL_WORDS)} OR regexp_matches({v}, '\\b[A-Z]{{2,}}\\b')))"
+    return f"({v} <> '' AND NOT {wrapped} AND NOT {no} AND ({_words(v)} <= 3 OR {_any(low, vocab.TECHNICAL_WORDS)} OR regexp_matches({v}, '(^|[^\\p{{L}}\\p{{N}}_])[A-Z]{{2,}}($|[^\\p{{L}}\\p{{N}}_])')))"
 
 
 def _language_sql(v: str) -> str:
