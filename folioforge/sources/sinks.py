@@ -20,7 +20,7 @@ def write_report(report: DataFrame, path: str) -> None:
         raise ValueError("a report is one row")
     body = json.dumps(rows[0].asDict(recursive=True), indent=2, ensure_ascii=False, default=str)
     spark = report.sparkSession
-    spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "").text(path)
+    spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def output_payload(columns: list[str], file_path: Column, audit: Column) -> Column:
