@@ -115,8 +115,6 @@ class Index:
         taken = ids[:, :1]
         for j in range(1, ids.shape[1]):
             fits = (d[:, j] <= EDGE**2 * np.maximum(d[:, 0], 1e-12)) & ((taken >= 0).sum(axis=1) < COPIES)
-            if not fits.any():
-                continue
             if fits.any():
                 taken = np.concatenate([taken, np.where(fits, ids[:, j], -1)[:, None]], axis=1)
         return np.repeat(rows, (taken >= 0).sum(axis=1)), taken[taken >= 0]
