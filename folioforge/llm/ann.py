@@ -266,8 +266,8 @@ def search(vecs: DataFrame, queries: DataFrame, k: int = 20, ratio: float = RATI
     for r in lists.where("list >= 0").groupBy("list").agg(F.countDistinct("vec_id").alias("n")).collect():
         held[r["list"]] = r["n"]
     # of repeated query ids the smallest vector asks; a candidate may stand in COPIES lists, the query itself in as many
-    # little data and much work: dealt to all cores
-    asking = vectors.valid(queries).groupBy("vec_id").agg(F.min("v").alias("v")).repartition(2 * vecs.sparkSession.sparkContext.defaultParallelism, "vec_id")
+    # little data and much work: dealt to all cores, by a key other than the grouping's, whose exchange would else serve for both and be coalesced
+    asking = vectors.valid(queries).groupBy("vec_id").agg(F.min("v").alias("v")).repartition(2 * vecs.sparkSession.sparkContext.defaultParallelism, F.xxhash64("vec_id"))
     asked = common.materialise(_placed(asking, index, (ratio, held, COPIES * (k + 1))), "asked")
     # one row per list and per length of odd vectors: bounded by MOST_LISTS and those lengths
     sizes = lists.groupBy("list").agg(F.count(F.lit(1)).alias("c")).join(asked.groupBy("list").agg(F.count(F.lit(1)).alias("q")), "list")
