@@ -200,8 +200,9 @@ WITH item AS (SELECT item_id, {cut} AS ws FROM benchmark WHERE text IS NOT NULL)
 win AS (SELECT DISTINCT item_id, len(ws[i:i + {WIDTH - 1}]) AS size, array_to_string(ws[i:i + {WIDTH - 1}], ' ') AS win
         FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - {WIDTH - 1}, 1) + 1)) AS i FROM item WHERE len(ws) > 0)),
 doc AS (SELECT doc_id, coalesce({cut}, []) AS ws FROM documents),
-pos AS (SELECT doc_id, ws, i FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM doc WHERE len(ws) > 0)),
-hit AS (SELECT doc_id, i, size, item_id FROM (SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS win FROM pos, (SELECT DISTINCT size FROM win) WHERE i + size - 1 <= len(ws)) JOIN win USING (size, win)),
+pos AS (SELECT doc_id, i, list(w) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {WIDTH - 1} FOLLOWING) AS ws
+        FROM (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM doc WHERE len(ws) > 0)),
+hit AS (SELECT doc_id, i, size, item_id FROM (SELECT doc_id, i, size, array_to_string(ws[1:size], ' ') AS win FROM pos, (SELECT DISTINCT size FROM win) WHERE size <= len(ws)) JOIN win USING (size, win)),
 n AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hit) GROUP BY doc_id),
 own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT doc.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,

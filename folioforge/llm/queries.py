@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, ann, bpe, common, decontam, jaccard, neardup, pack, quality, secrets, substrings, toxicity, urls
+from . import align, ann, bpe, common, decontam, jaccard, neardup, negatives, pack, quality, secrets, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,11 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(common.read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = common.read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    return negatives.mine(negatives.shifted(vecs), F.col("vec_id") % 100 == 0)
+
+
 def op12_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark")
     return decontam.digest(decontam.scan(docs.select("doc_id", "text"), items))
@@ -72,5 +77,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ann, op2_toxicity, op3_jaccard, op4_secrets, op5_bpe, op6_urls, op7_substrings, op8_quality, op9_neardup, op10_pack, op12_decontam, op13_align, pipeline)}
-ORACLES: dict[str, str] = {"op4_secrets": secrets.oracle(), "op12_decontam": decontam.oracle()}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ann, op2_toxicity, op3_jaccard, op4_secrets, op5_bpe, op6_urls, op7_substrings, op8_quality, op9_neardup, op10_pack, op11_negatives, op12_decontam, op13_align, pipeline)}
+ORACLES: dict[str, str] = {"op4_secrets": secrets.oracle(), "op11_negatives": negatives.oracle(), "op12_decontam": decontam.oracle()}
