@@ -122,6 +122,40 @@ def first_basis(lengths: np.ndarray, demand: np.ndarray, width: int) -> tuple[li
     return [columns[int(n)] for n in lengths], np.array([uses[int(n)] for n in lengths])
 
 
+def inverse_of(columns: list[Counter], lengths: np.ndarray) -> np.ndarray:
+    """The inverse of first_basis()'s matrix (a row a length, a column a pattern), by substitution.
+
+    A pattern's own length is one that later steps' patterns lack; so, taken in the order of the steps, a length
+    is in its own column and in columns before it, and each row of the inverse follows from rows after it.
+    Plain array arithmetic: a driver whose session runs must not depend on a threaded linear algebra library."""
+    at = {int(n): i for i, n in enumerate(lengths)}
+    users: dict[int, list[tuple[int, int]]] = {i: [] for i in at.values()}
+    for j, pattern in enumerate(columns):
+        for n, k in pattern.items():
+            if at[n] != j:
+                users[at[n]].append((j, k))
+    out = np.zeros((len(lengths), len(lengths)))
+    done = np.zeros(len(lengths), bool)
+    ready = [i for i in users if not users[i]]
+    waiting = {i: len(u) for i, u in users.items()}
+    while ready:  # row i: (unit i - sum of k x row j over other patterns j that hold length i) / own count
+        i = ready.pop()
+        row = np.zeros(len(lengths))
+        row[i] = 1.0
+        for j, k in users[i]:
+            row -= k * out[j]
+        out[i] = row / columns[i][int(lengths[i])]
+        done[i] = True
+        for n in columns[i]:
+            if at[n] != i:
+                waiting[at[n]] -= 1
+                if not waiting[at[n]]:
+                    ready.append(at[n])
+    if not done.all():
+        raise ValueError("the basis isn't triangular")
+    return out
+
+
 @dataclass
 class Report:
     """How plan() ended: the linear program's padding and that of the rounded patterns, as shares of all tokens but full pieces', and why column generation stopped."""
@@ -153,16 +187,12 @@ def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds:
         at = {int(n): i for i, n in enumerate(lengths)}
         columns, x = first_basis(lengths, demand, width)
         costs = np.array([cost(np.array([sum(n * k for n, k in c.items())]), width)[0] for c in columns], float)
-        matrix = np.zeros((m, m))
-        for j, c in enumerate(columns):
-            for n, k in c.items():
-                matrix[at[n], j] = k
-        inverse = np.linalg.inv(matrix)
+        inverse = inverse_of(columns, lengths)
         values = np.full(width + 1, -np.inf)
         report.stopped = "rounds"
         for report.rounds in range(most_rounds):
-            y = costs @ inverse
-            if float(costs @ x) - tokens <= gap * tokens:
+            y = np.einsum("i,ij->j", costs, inverse)
+            if float((costs * x).sum()) - tokens <= gap * tokens:
                 report.stopped = "gap"
                 break
             values[lengths] = y
@@ -170,10 +200,7 @@ def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds:
             if gain < 1e-7:
                 report.stopped = "optimum"
                 break
-            col = np.zeros(m)
-            for n, k in pattern.items():
-                col[at[n]] = k
-            d = inverse @ col
+            d = sum(k * inverse[:, at[n]] for n, k in pattern.items())
             ok = d > 1e-9
             if not ok.any():
                 report.stopped = "optimum"
@@ -188,7 +215,7 @@ def plan(demand: np.ndarray, width: int = WIDTH, gap: float = 5e-4, most_rounds:
             inverse[r] = row
             columns[r] = pattern
             costs[r] = cost(np.array([sum(n * k for n, k in pattern.items())]), width)[0]
-        report.relaxed = (float(costs @ x) - tokens) / tokens
+        report.relaxed = (float((costs * x).sum()) - tokens) / tokens
         whole = np.floor(x + 1e-6)
         uses = Counter()
         for extra in (False, True):  # rounded down, then up where the fraction is large and pieces are left
