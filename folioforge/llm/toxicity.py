@@ -30,6 +30,8 @@ from . import common
 
 #: Labelled documents that the model is fitted on, at most, of each label, and the bytes of their texts.
 SAMPLE, SAMPLE_BYTES = {1: 1500, 0: 3000}, 32 << 20
+#: A labelled text of more bytes isn't learnt from, so none takes the others' place; every text is scored whole.
+LONGEST = 1 << 20
 BUCKETS, DIM, GRAMS = 1 << 17, 8, (3, 4, 5)
 THRESHOLD = 0.3
 #: Most n-grams say nothing: so many times their median weight is noise, and taken off.
@@ -81,7 +83,7 @@ def subwords(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int], seen: tuple[int, int] | None) -> list[tuple[str, int]]:
-    """Texts and labels to learn from: at most `sizes` of each label and SAMPLE_BYTES of text in all, by a hash of doc_id over all labelled rows.
+    """Texts and labels to learn from: at most `sizes` of each label and SAMPLE_BYTES of text in all, none of over LONGEST, by a hash of doc_id over all labelled rows.
 
     `seen` = (m, r): rows whose crc32(doc_id as text) mod m is r are held out."""
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y is not null")
@@ -89,6 +91,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int]
         own = own.where(common.crc_mod("doc_id", seen[0]) != seen[1])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     own = own.groupBy("doc_id").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("doc_id", F.lit(7)))
+    texts = texts.where(F.octet_length("text") <= LONGEST)
     # ids of the chosen rows: a top-k by hash, bounded by `sizes`; twice as many, as some may have no text here
     chosen = [own.where(F.col("y") == y).orderBy("h", "doc_id").limit(2 * n) for y, n in sizes.items()]
     ids = chosen[0].unionByName(chosen[1])
