@@ -62,7 +62,7 @@ class Upper:
             rows = own.pop(i)
             if len(rows):
                 directions[i] = _direction(x[rows])
-            along = x[rows] @ directions[i]
+            along = np.einsum("ij,j->i", x[rows], directions[i])
             cuts[i] = np.median(along) if len(rows) else 0.0
             own[2 * i + 1], own[2 * i + 2] = rows[along <= cuts[i]], rows[along > cuts[i]]
         for i, rows in own.items():

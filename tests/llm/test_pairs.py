@@ -239,3 +239,32 @@ def test_align(spark, block):
     got = align.aligned(df.repartition(3), block_bytes=block).collect()
     assert sorted((tuple(x) for x in got), key=repr) == sorted(brute_align(docs), key=repr)
     assert align.aligned(df.where("false")).collect() == []
+
+
+# bounds of the learnt and planned operators
+
+
+def test_one_long_text_takes_no_other_texts_place(spark):
+    from folioforge.llm import quality, toxicity
+
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choice(["vile", "nasty", "awful"] if i % 2 else ["calm", "kind", "fine"]) for _ in range(30))) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(80)] + [(i, 1, 1) for i in range(80, 84)] + [(i, 0, 0) for i in range(84, 88)], "doc_id long, toxic int, quality int")
+    short = spark.createDataFrame(rows, "doc_id long, text string")
+    long = spark.range(80, 88).select(F.col("id").alias("doc_id"), F.repeat(F.lit("noise "), 7_000_000).alias("text"))
+    for label, sizes in (("toxic", toxicity.SAMPLE), ("quality", quality.SAMPLE)):
+        alone = toxicity.sample(short, labels, label, sizes, None)
+        assert len(alone) == 80 and toxicity.sample(short.unionByName(long), labels, label, sizes, None) == alone
+
+
+def test_substitution_inverts_the_first_basis():
+    from folioforge.llm import pack
+
+    r = np.random.default_rng(0)
+    for n in (1, 5, 60, 300):
+        lengths = np.sort(r.choice(np.arange(1, 1024), n, replace=False))
+        demand = np.zeros(1025, np.int64)
+        demand[lengths] = r.integers(1, 50, n)
+        columns, _ = pack.first_basis(lengths, demand, 1024)
+        matrix = np.array([[c[int(k)] for c in columns] for k in lengths], float)
+        assert np.abs(np.einsum("ij,jk->ik", pack.inverse_of(columns, lengths), matrix) - np.eye(n)).max() < 1e-6
