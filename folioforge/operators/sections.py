@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-import re
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import text, vocab
-
-_BY_LENGTH = sorted(vocab.SECTION_ALIASES, key=len, reverse=True)
-_ALIASES = "|".join(map(re.escape, _BY_LENGTH))
-_CAPITAL_ALIASES = "|".join(re.escape(a.upper()) for a in _BY_LENGTH)
-
+from folioforge.operators import headings
 
 def _map(names: dict[str, str]) -> Column:
     # one expression text: building it literal by literal takes seconds of driver time in a plan this size
     return F.expr("map(" + ", ".join(f"'{x}'" for x in chain.from_iterable(names.items())) + ")")
 
 
-#: No alias is longer, nor is anything a heading's test reads beside it.
-_LONGEST = max(map(len, _BY_LENGTH)) + 2
-
-
 def _key(t: Column) -> Column:
     """Comparison form of a normalised text as a heading."""
     return F.regexp_replace(F.lower(text.strip(F.regexp_replace(t, r"[:\-–|]+\z", ""))), r"(?U)\s+", " ")
@@ -60,152 +51,113 @@ def is_heading(t: Column, x0: Column, label: Column | None = None) -> Column:
     return text.let(text.normalize_lines(t), test)
 
 
-def _leading(t: Column) -> Column:
-    """struct(h, rest) of a heading at the start of a normalised text; h is null if there is none."""
-    first = F.substring_index(t, "\n", 1)
-    rest = F.when(t.contains("\n"), t.substr(F.length(first) + 2, F.length(t))).otherwise("")
-    alias = F.regexp_extract(F.left(_key(first), F.lit(_LONGEST)), f"^({_ALIASES}) ", 1)
-    after = text.normalize_lines(F.ltrim(first.substr(F.length(alias) + 1, F.length(first)), F.lit(" |:-–")))
-    same = F.when((alias != "") & (after != ""), _map(vocab.SECTION_ALIASES)[alias])
-    whole = F.when(rest == "", after).otherwise(text.normalize_lines(F.concat_ws("\n", F.nullif(after, F.lit("")), F.nullif(rest, F.lit("")))))
-    known = _named(_key(first))
-    return F.struct(F.coalesce(known, same).alias("h"), F.when(known.isNotNull(), text.normalize_lines(rest)).otherwise(whole).alias("rest"))
-
-
-def _segment(p: Column) -> Column:
-    """struct(h, before, after) of a heading that is, begins or ends a part between pipes."""
-    return text.let(_key(p), lambda key: _parted(p, key))
-
-
-def _parted(p: Column, key: Column) -> Column:
-    known = _named(key)
-    start = F.regexp_extract(F.left(key, F.lit(_LONGEST)), f"^({_ALIASES}) ", 1)
-    end = F.regexp_extract(F.right(key, F.lit(_LONGEST)), f" ({_ALIASES})\\z", 1)
-    by_start = (start != "") & (F.length(start) >= F.length(end))
-    pieces = F.split(p, r"(?U)\s+")
-    alias = F.when(by_start, start).otherwise(end)
-    n = F.size(F.split(alias, " "))
-    before = F.when(known.isNull() & ~by_start & (end != ""), F.array_join(F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - n, F.lit(0))), " ")).otherwise("")
-    after = F.when(known.isNull() & by_start, F.array_join(F.slice(pieces, n + 1, F.size(pieces)), " ")).otherwise("")
-    return F.struct(F.coalesce(known, _map(vocab.SECTION_ALIASES)[alias]).alias("h"), before.alias("before"), after.alias("after"))
-
-
-def _inline(t: Column) -> Column:
-    """struct(h, before, after) of the first part between pipes that has a heading; h is null if none does."""
-    parts = F.transform(F.split(t, r"\|"), text.strip)
-    found = F.filter(F.transform(parts, lambda p, i: F.struct(i.alias("i"), _segment(p).alias("s"))), lambda x: x["s"]["h"].isNotNull())
-    hit = F.get(found, F.lit(0))
-    i, s = hit["i"], hit["s"]
-
-    def filled(a: Column) -> Column:
-        return F.filter(a, lambda x: x != "")
-
-    before = F.concat(filled(F.slice(parts, F.lit(1), F.coalesce(i, F.lit(0)))), filled(F.array(F.coalesce(s["before"], F.lit("")))))
-    after = F.concat(filled(F.array(F.coalesce(s["after"], F.lit("")))), filled(F.slice(parts, F.coalesce(i, F.lit(0)) + 2, F.size(parts))))
-    return F.struct(
-        F.when(F.size(parts) >= 2, s["h"]).alias("h"),
-        text.normalize_lines(F.array_join(before, " | ")).alias("before"),
-        text.normalize_lines(F.array_join(after, " | ")).alias("after"),
-    )
+def strip_bleed(x: Column) -> Column:
+    """Without a section's name and an ampersand at the end."""
 
+    def cut(t: Column) -> Column:
+        short = F.rtrim(F.regexp_replace(t, "(?iU)" + vocab.SPLIT_BLEED, ""), F.lit(" -–|"))
+        return F.when(t.rlike(r"[&\-–|]\z"), text.normalize_lines(short)).otherwise(t)
 
-def _trailing(t: Column) -> Column:
-    """struct(h, rest) of a heading at the end: a last line in capitals or before a colon, or a known heading in capitals."""
-    lines = text.nonempty(F.split(t, "\n"))
-    last = F.coalesce(F.get(lines, F.size(lines) - 1), F.lit(""))
-    known = F.when(last.rlike(r"(?U)^[A-Z][A-Z\s/&-]{2,}\z") | last.endswith(":"), _named(_key(last)))
-    above = text.normalize_lines(F.array_join(F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0))), "\n"))
-    alias = F.regexp_extract(F.right(t, F.lit(_LONGEST)), f" ({_CAPITAL_ALIASES})\\z", 1)
-    cut = text.normalize_lines(t.substr(F.lit(1), F.length(t) - F.length(alias)))
-    return F.struct(F.coalesce(known, _map(vocab.SECTION_ALIASES)[F.lower(alias)]).alias("h"), F.when(known.isNotNull(), above).otherwise(cut).alias("rest"))
+    return text.let(text.normalize_lines(x), cut)
 
 
-def strip_bleed(x: Column) -> Column:
-    """Without a section's name and an ampersand at the end."""
-    cut = F.regexp_replace(text.normalize_lines(x), "(?iU)" + vocab.SPLIT_BLEED, "")
-    return text.normalize_lines(F.rtrim(cut, F.lit(" -–|")))
+#: No alias has more words; a mark may stand after them.
+_MOST_WORDS = max(len(a.split()) for a in vocab.SECTION_ALIASES) + 1
+
+
+def _looks(body: Column, x0: Column) -> Column:
+    """is_heading() without a label, for texts of any length: one of many words is none, which is told without normalising it."""
+    return F.when(body.rlike(rf"(?U)^\s*\S+(?:\s+\S+){{0,{_MOST_WORDS}}}\s*\z"), is_heading(body, x0)).otherwise(F.lit(False))
 
 
 def _events(blocks: DataFrame) -> DataFrame:
-    """Starts of sections and their contents, in order: doc_id, pos, sub, start (heading or null), block columns."""
-    b = blocks.withColumn("t", text.normalize_lines("text"))
-    # bound, so that Catalyst doesn't evaluate a struct once for each of its fields that is named
-    b = b.withColumn("lead", text.let(F.col("t"), _leading)).withColumn("inline", F.when(F.col("lead.h").isNull(), text.let(F.col("t"), _inline)))
-    b = b.withColumn("other", F.col("lead.h").isNull() & F.col("inline.h").isNull())
-    bound = (F.col("label") == "section_heading") | ((F.col("label") == "heading") & _named(_key(F.col("t"))).isNotNull())
-    b = b.withColumn("bound", F.col("other") & bound).withColumn("trail", F.when(F.col("other") & ~F.col("bound"), text.let(F.col("t"), _trailing)))
+    """Starts of sections and their contents, in order: doc_id, pos, sub, start (heading or null), block columns, and how many blocks the document has."""
+    by = Window.partitionBy("doc_id").orderBy("pos")
+    b = blocks.select("doc_id", "pos", "block_id", "page_number", "x0", "label", "text", text.normalize_lines("text").alias("t"))
+    b = b.withColumn("hd", headings.found(F.col("t"))).select("*", "hd.kind", "hd.heading", "hd.named", "hd.before", "hd.after").drop("hd")
+    lead, inline = F.col("kind") == "leading", F.col("kind") == "inline"
+    b = b.withColumn("other", ~F.coalesce(lead | inline, F.lit(False)))
+    bound = (F.col("label") == "section_heading") | ((F.col("label") == "heading") & F.col("named").isNotNull())
+    b = b.withColumn("bound", F.col("other") & bound)
+    b = b.withColumn("trail", F.col("other") & ~F.col("bound") & F.coalesce(F.col("kind") == "trailing", F.lit(False)))
     # a heading at the end of a block waits for the next block that has none of its own within
-    waiting = F.lag("trail.h").over(Window.partitionBy("doc_id", "other").orderBy("pos"))
-    b = b.withColumn("waiting", F.when(F.col("other"), waiting))
+    last = F.last(F.when(F.col("other"), F.struct(F.when(F.col("trail"), F.col("heading")).alias("h"))), ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    b = b.withColumn("waiting", F.when(F.col("other"), last["h"])).withColumn("blocks", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
+    for side in ("before", "after"):
+        b = b.withColumn(side, F.when(F.col("kind").isNotNull(), text.normalize_lines(side)).otherwise(""))
 
     def event(sub: int, when: Column, start: Column | None, body: Column | None) -> Column:
         none = F.lit(None).cast("string")
         return F.when(when, F.struct(F.lit(sub).alias("sub"), (none if start is None else start).alias("start"), (none if body is None else body).alias("body")))
 
-    lead, inline, trail = F.col("lead.h").isNotNull(), F.col("inline.h").isNotNull(), F.col("trail.h").isNotNull()
-    plain = F.col("other") & ~F.col("bound") & ~trail
+    own = lead | inline
     events = F.array_compact(
         F.array(
-            event(0, inline & (F.col("inline.before") != ""), None, F.col("inline.before")),
+            event(0, inline & (F.col("before") != ""), None, F.col("before")),
             event(0, F.col("waiting").isNotNull(), F.col("waiting"), None),
-            event(1, lead, F.col("lead.h"), None),
-            event(1, inline, F.col("inline.h"), None),
+            event(1, own, F.col("heading"), None),
             event(1, F.col("bound"), display(F.col("t")), None),
-            event(2, lead & (F.col("lead.rest") != ""), None, F.col("lead.rest")),
-            event(2, inline & (F.col("inline.after") != ""), None, F.col("inline.after")),
-            event(2, trail & (F.col("trail.rest") != ""), None, F.col("trail.rest")),
-            event(2, F.col("bound") | plain, None, F.col("text")),
+            event(2, own & (F.col("after") != ""), None, F.col("after")),
+            event(2, F.col("trail") & (F.col("before") != ""), None, F.col("before")),
+            event(2, F.col("other") & ~F.col("trail"), None, F.col("text")),
         )
     )
-    return b.select("doc_id", "pos", "block_id", "page_number", "x0", "label", F.explode(events).alias("e")).select("*", "e.sub", "e.start", "e.body").drop("e")
+    return b.select("doc_id", "pos", "block_id", "page_number", "x0", "label", "blocks", F.explode(events).alias("e")).select("*", "e.sub", "e.start", "e.body").drop("e")
+
+
+_MEMBER = ("pos", "sub", "block_id", "page_number", "label", "body", "clean", "looks")
+
+
+def _grouped(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """One row a section: the keys, heading, blocks of its document, and its members in order."""
+    return rows.groupBy("doc_id", *keys).agg(F.first("heading").alias("heading"), F.first("blocks").alias("blocks"), F.array_sort(F.collect_list(F.struct(*_MEMBER))).alias("m"), *more)
 
 
-def _sections(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Contents grouped to sections: the keys, heading, content, source_pages, block_ids, members."""
-    member = F.struct("pos", "sub", "block_id", "page_number", "label", "body", "x0", "raw")
-    out = rows.groupBy("doc_id", *keys).agg(F.first("heading").alias("heading"), F.array_sort(F.collect_list(member)).alias("m"))
-    lines = F.transform(F.filter("m", lambda x: x["label"] != "section_heading"), lambda x: F.when(x["raw"], x["body"]).otherwise(strip_bleed(x["body"])))
-    return out.select(
-        "doc_id", *keys, "heading",
-        text.normalize_lines(F.array_join(lines, "\n")).alias("content"),
-        F.array_distinct("m.page_number").alias("source_pages"),
-        F.col("m.block_id").alias("block_ids"),
-        F.col("m").alias("members"),
-    )
+def _shown(m: Column, raw: Column) -> Column:
+    """The texts of a section's members that are no headings."""
+    return F.transform(F.filter(m, lambda x: x["label"] != "section_heading"), lambda x: F.when(raw, x["body"]).otherwise(x["clean"]))
 
 
-def _without_empty(sections: DataFrame, keys: list[str]) -> DataFrame:
+def _without_empty(sections: DataFrame, keys: list[str], empty: Column) -> DataFrame:
     """Only a document's first section may be empty."""
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*keys))
-    return sections.withColumn("_n", nth).where((F.col("_n") == 1) | (F.col("content") != "")).drop("_n")
+    return sections.withColumn("_n", nth).where((F.col("_n") == 1) | ~empty).drop("_n")
 
 
 def _initial(blocks: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_id").orderBy("pos", "sub", F.col("start").isNull())
     rows = _events(blocks).withColumn("seq", F.sum(F.col("start").isNotNull().cast("int")).over(w))
-    rows = rows.withColumn("heading", F.coalesce(F.last("start", ignorenulls=True).over(w), F.lit("General")))
-    found = _sections(rows.where("start is null").withColumn("raw", F.lit(False)), ["seq"])
-    return _without_empty(found.where("content <> '' or heading <> 'General'"), ["seq"])
+    rows = rows.withColumn("heading", F.coalesce(F.last("start", ignorenulls=True).over(w), F.lit("General"))).where("start is null")
+    # once for every text, not again for each use
+    rows = rows.withColumn("clean", strip_bleed(F.col("body"))).withColumn("looks", _looks(F.col("body"), F.col("x0")))
+    empty = F.forall(_shown(F.col("m"), F.lit(False)), lambda x: x == "")
+    found = _grouped(rows, ["seq"]).withColumn("empty", empty)
+    return _without_empty(found.where("not empty or heading <> 'General'"), ["seq"], F.col("empty"))
 
 
-def _errors(sections: DataFrame, totals: DataFrame) -> DataFrame:
-    """One row per document: section_count, general_block_ratio, possible_errors."""
+def _figures(over: Window | None = None) -> dict[str, Column]:
+    """Figures of a document's sections, as aggregates or over a window."""
     general = F.col("heading") == "General"
-    inside = F.exists("members", lambda m: is_heading(m["body"], m["x0"]))
-    per = sections.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("section_count"),
-        F.sum(F.when(general, F.size("block_ids")).otherwise(0)).alias("general"),
-        F.bool_and(general).alias("all_general"),
-        F.bool_or(general & inside).alias("inside"),
-    )
-    ratio = F.coalesce(F.col("general"), F.lit(0)) / F.col("blocks").cast("double")
-    out = totals.join(per, "doc_id", "left").withColumn("section_count", F.coalesce("section_count", F.lit(0)).cast("int")).withColumn("general_block_ratio", ratio)
+
+    def of(x: Column) -> Column:
+        return x if over is None else x.over(over)
+
+    return {
+        "section_count": of(F.count(F.lit(1))).cast("int"),
+        "general_block_ratio": of(F.sum(F.when(general, F.size("m")).otherwise(0))) / of(F.max("blocks")).cast("double"),
+        "all_general": of(F.min(general)),
+        "inside": of(F.max(general & F.exists("m", lambda m: m["looks"]))),
+    }
+
+
+def _errors() -> Column:
+    """possible_errors from section_count and the other figures."""
     errors = F.array(
         F.when((F.col("section_count") == 1) & F.col("all_general"), "document_collapsed_into_general"),
         F.when(F.col("general_block_ratio") > 0.7, "oversized_general_section"),
         F.when(F.coalesce("inside", F.lit(False)), "heading_candidates_found_inside_general"),
     )
-    return out.select("doc_id", "section_count", "general_block_ratio", F.array_compact(errors).alias("possible_errors"))
+    return F.array_compact(errors)
 
 
 def split(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -214,23 +166,30 @@ def split(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     sections: doc_id, section_seq, heading, content, source_pages, block_ids. diagnostics, a row per
     document: section_count, general_block_ratio, possible_errors, recovered_section_splits.
     Documents whose first split looks collapsed have their General sections split again at anything
-    that looks like a heading."""
-    totals = blocks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("blocks"))
+    that looks like a heading. All steps keep a document's rows where the first of them put them."""
+    whole = Window.partitionBy("doc_id")
     first = _initial(blocks)
-    seen = _errors(first, totals)
-    weak = (F.col("section_count") <= 1) | F.array_contains("possible_errors", "oversized_general_section") | F.array_contains("possible_errors", "heading_candidates_found_inside_general")
-    rows = first.join(seen.select("doc_id", weak.alias("weak")), "doc_id")
-    again = F.col("weak") & (F.col("heading") == "General")
-    flat = rows.select("doc_id", "seq", F.col("heading").alias("old"), again.alias("again"), F.explode("members").alias("m")).select("doc_id", "seq", "old", "again", "m.*").drop("raw")
-    cut = F.col("again") & is_heading(F.col("body"), F.col("x0"))
-    w = Window.partitionBy("doc_id", "seq").orderBy("pos", "sub")
-    flat = flat.withColumn("cut", cut).withColumn("part", F.sum(F.col("cut").cast("int")).over(w))
-    flat = flat.withColumn("parts", F.max("part").over(Window.partitionBy("doc_id", "seq")) - F.min("part").over(Window.partitionBy("doc_id", "seq")))
+    seen = first.select("*", *(f.alias(n) for n, f in _figures(whole).items()))
+    weak = (F.col("section_count") <= 1) | (F.size(_errors()) > 0)
+    rows = seen.select("doc_id", "seq", "blocks", F.col("heading").alias("old"), (weak & (F.col("heading") == "General")).alias("again"), F.explode("m").alias("m"))
+    flat = rows.select("doc_id", "seq", "blocks", "old", "again", "m.*")
+    section = Window.partitionBy("doc_id", "seq")
+    w = section.orderBy("pos", "sub")
+    flat = flat.withColumn("cut", F.col("again") & F.col("looks")).withColumn("part", F.sum(F.col("cut").cast("int")).over(w))
+    flat = flat.withColumn("parts", F.max("part").over(section) - F.min("part").over(section))
     flat = flat.withColumn("heading", F.coalesce(F.last(F.when(F.col("cut") & (F.col("parts") > 0), display(F.col("body"))), ignorenulls=True).over(w), F.col("old")))
-    flat = flat.withColumn("part", F.when(F.col("parts") > 0, F.col("part")).otherwise(0)).withColumn("raw", F.col("parts") > 0)
-    final = _without_empty(_sections(flat, ["seq", "part"]), ["seq", "part"])
-    splits = flat.select("doc_id", "seq", "parts").distinct().groupBy("doc_id").agg(F.sum("parts").cast("int").alias("recovered_section_splits"))
+    flat = flat.withColumn("part", F.when(F.col("parts") > 0, F.col("part")).otherwise(0))
+    found = _grouped(flat, ["seq", "part"], F.first("parts").alias("parts"))
+    lines = F.array_join(_shown(F.col("m"), F.col("parts") > 0), "\n")
+    # lines of their own normal form need no more than their empty ones brought together
+    found = found.withColumn("content", F.when(F.col("parts") > 0, text.normalize_lines(lines)).otherwise(text.strip(F.regexp_replace(lines, r"\n{3,}", "\n\n"))))
+    once = F.row_number().over(section.orderBy("part")) == 1
+    found = found.withColumn("splits", F.when(once, F.col("parts")).otherwise(0)).withColumn("splits", F.sum("splits").over(whole))
+    final = _without_empty(found, ["seq", "part"], F.col("content") == "")
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq", "part"))
-    sections = final.select("doc_id", nth.alias("section_seq"), "heading", "content", "source_pages", "block_ids", "members")
-    diagnostics = _errors(sections, totals).join(splits, "doc_id", "left").withColumn("recovered_section_splits", F.coalesce("recovered_section_splits", F.lit(0)))
-    return sections.drop("members"), diagnostics
+    sections = final.select("doc_id", nth.alias("section_seq"), "heading", "content", F.array_distinct("m.page_number").alias("source_pages"), F.col("m.block_id").alias("block_ids"))
+    per = final.groupBy("doc_id").agg(*(f.alias(n) for n, f in _figures().items()), F.max("splits").cast("int").alias("recovered_section_splits"))
+    documents = blocks.select("doc_id").distinct()
+    diagnostics = documents.join(per, "doc_id", "left").withColumn("section_count", F.coalesce("section_count", F.lit(0))).withColumn("general_block_ratio", F.coalesce("general_block_ratio", F.lit(0.0)))
+    diagnostics = diagnostics.select("doc_id", "section_count", "general_block_ratio", _errors().alias("possible_errors"), F.coalesce("recovered_section_splits", F.lit(0)).alias("recovered_section_splits"))
+    return sections, diagnostics
