@@ -40,7 +40,7 @@ class Aliases:
             parts = alias.split("and")
             for joints in product(("and", "&"), repeat=len(parts) - 1):
                 form = "".join(x for pair in zip(parts, (*joints, ""), strict=True) for x in pair)
-                self.automaton.add_word(form, alias if form == alias else None)
+                self.automaton.add_word(form, form if form in names else None)
         self.automaton.make_automaton()
         self.reach = max(map(len, names)) + 1
 
