@@ -1,13 +1,12 @@
-"""Fuzzy matching of grouped entries, as column expressions and, for order-dependent recovery, as plain functions."""
+"""Fuzzy matching of grouped entries: the rule as column expressions, and as a join."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import arrays, text
+from folioforge.sources.staging import staged
 
 #: Least score, and prefixes of reasons of which one is needed, by kind of entry.
 ACCEPT = {
@@ -67,51 +66,125 @@ def best(pairs: DataFrame, by: list[str], matched: str = "m", index: str = "idx"
     return pairs.where(f"{matched}.matched").withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-# --- the same rule over plain values, for recovery that depends on order
-
-
-def flat(x: object) -> str:
-    return re.sub(r"\s+", " ", str(x)).strip() if x else ""
-
-
-def identity(x: str) -> str:
-    return flat(re.sub(r"[^\w\s.+#/\-&]", " ", flat(x).lower()))
+# --- the same rule as a join that lists no pairs but those that may match
 
 
-def date_range(x: str) -> str:
-    return re.sub(r"\s*[-–]\s*", " - ", flat(x).lower())
+#: Names, raw texts and technologies match from these shares of the smaller token set on.
+NAME_SHARE, RAW_SHARE = 0.6, 0.5
+#: What the rule reads of an entry.
+FORM = ("a", "b", "date", "raw", "tech")
 
 
-def tokens(x: str) -> set[str]:
-    return {t for t in re.findall(r"[A-Za-z0-9+#/.]+", identity(x)) if len(t) > 1}
+def classed(entries: DataFrame, kind: str, by: list[str]) -> DataFrame:
+    """entries (by, id, entry) with what the rule reads of them (a and b, the first and second name; date, raw, tech) and cls, a name of all that."""
+    first, second = ("secondary_name", "primary_name") if kind in ORGANISATION_FIRST else ("primary_name", "secondary_name")
+    tech = F.filter(F.coalesce(F.col("entry.technologies"), F.array().cast("array<string>")), lambda x: x.isNotNull())
+    form = {
+        "a": text.normalize_identity(F.col(f"entry.{first}")), "b": F.lit("") if kind == "projects" else text.normalize_identity(F.col(f"entry.{second}")), "date": text.normalize_date_range(F.col("entry.date_range")),
+        "raw": F.array_sort(F.array_distinct(text.identity_tokens(F.col("entry.raw_text")))), "tech": F.array_sort(F.array_distinct(tech)) if kind == "projects" else F.array().cast("array<string>"),
+    }
+    rows = entries.select("*", *(c.alias(n) for n, c in form.items()))
+    whole = F.to_json(F.struct(*(F.col(c).cast("string").alias(f"by{i}") for i, c in enumerate(by)), *FORM))
+    return rows.withColumn("cls", F.sha2(whole, 256))
 
-
-def share(a: set[str], b: set[str]) -> float:
-    return len(a & b) / min(len(a), len(b)) if a and b else 0.0
-
-
-def score(kind: str, left: dict, right: dict) -> tuple[bool, float]:
-    """(matched, score) of two entries, dicts of raw_text, primary_name, secondary_name, date_range, technologies."""
-    order = ("secondary_name", "primary_name") if kind in ORGANISATION_FIRST else ("primary_name", "secondary_name")
-    total, reasons = 0.0, set()
-    for field, label, exact, near in zip(order, ("name", "organization"), (4.0, 3.0), (2.5, 2.0)):
-        if kind == "projects" and label == "organization":
-            continue
-        a, b = identity(left[field]), identity(right[field])
-        if a and a == b:
-            total += exact
-            reasons.add(label)
-        elif share(tokens(a), tokens(b)) >= 0.6:
-            total += near
-            reasons.add(label)
-    a, b = date_range(left["date_range"]), date_range(right["date_range"])
-    if a and b:
-        near = 1.0 if a == b else share(tokens(a), tokens(b))
-        total += 2.0 if near == 1.0 else 1.0 if near > 0 else 0.0
-    if share(tokens(left["raw_text"]), tokens(right["raw_text"])) >= 0.5:
-        total += 1.5
-        reasons.add("token")
-    if kind == "projects" and share(set(left["technologies"]), set(right["technologies"])) >= 0.5:
-        total += 1.0
-    least, prefixes = ACCEPT[kind]
-    return total >= least and bool(reasons & set(prefixes)), total
+
+def _needed(tokens: Column, share: float) -> Column:
+    """Of a smaller set so many members, whichever they are, that one is shared if the shares of both reach `share`."""
+    n = F.size(tokens)
+    return F.slice(tokens, F.lit(1), n - F.ceil(share * n).cast("int") + 1)
+
+
+def _signs() -> Column:
+    """Everything two entries may share, marked by where it stands: tokens, and wholes after an equals sign, which no token has."""
+
+    def marked(mark: str, tokens: Column) -> Column:
+        return F.transform(tokens, lambda t: F.concat(F.lit(mark), t))
+
+    def named(c: str) -> Column:
+        return F.filter(F.array_append(text.identity_tokens(c), F.concat(F.lit("="), F.col(c))), lambda t: t != "=")
+
+    return F.array_distinct(F.concat(marked("a", named("a")), marked("b", named("b")), marked("r", F.col("raw")), marked("d", named("date")), marked("t", F.col("tech"))))
+
+
+def _of(mark: str) -> Column:
+    """The tokens of one mark, rarest first, without wholes."""
+    return F.filter("all", lambda t: t.startswith(mark) & (F.lit(mark == "t") | ~t.startswith(mark + "=")))
+
+
+def _table(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """A row for each class and side (0 and 1; 0 alone if both are the same): its form, all its signs, those that few entries of `by` have first, and the few that are looked for."""
+    sides = [(left, 0)] if left is right else [(left, 0), (right, 1)]
+    rows = None
+    for side, n in sides:
+        own = side.groupBy(*by, "cls").agg(*(F.first(c).alias(c) for c in (*FORM, "entry"))).withColumn("side", F.lit(n))
+        rows = own if rows is None else rows.unionByName(own)
+    rows = staged(rows.withColumn("signs", _signs()))
+    each = rows.select(*by, "side", "cls", F.explode("signs").alias("sign"))
+    times = each.groupBy(*by, "sign").agg(F.count(F.lit(1)).alias("times"))
+    ranked = each.join(times, [*by, "sign"]).groupBy("side", "cls").agg(F.transform(F.array_sort(F.collect_list(F.struct("times", "sign"))), lambda x: x["sign"]).alias("all"))
+    wholes = F.filter("all", lambda t: t.substr(1, 2).isin("a=", "b=", "d="))
+    few = F.concat(_needed(_of("a"), NAME_SHARE), _needed(_of("b"), NAME_SHARE), _needed(_of("r"), RAW_SHARE), _of("d"), _needed(_of("t"), RAW_SHARE), wholes)
+    return staged(rows.drop("signs").join(ranked, ["side", "cls"], "left").withColumn("few", few))
+
+
+def _both_ways(one: DataFrame, two: DataFrame, by: list[str], keep: tuple[str, str]) -> DataFrame:
+    """(by, *keep): pairs of rows with equal k of which a sign that is looked for on one side is any on the other. one, two: by, k, few, all and keep[0] or keep[1]."""
+
+    def listed(rows: DataFrame, name: str, first: str, second: str) -> DataFrame:
+        ways = F.concat(F.transform(first, lambda s: F.concat(F.lit("1"), s)), F.transform(second, lambda s: F.concat(F.lit("2"), s)))
+        return rows.select(*by, "k", name, F.explode(ways).alias("sign"))
+
+    return listed(one, keep[0], "few", "all").join(listed(two, keep[1], "all", "few"), [*by, "k", "sign"]).select(*by, *keep).distinct()
+
+
+def matches(left: DataFrame, right: DataFrame, kind: str, by: list[str]) -> DataFrame:
+    """(by, l, r, score): classes of left and right entries of equal `by` that match, each pair once; rows are classed().
+
+    A score is a sum over few parts, and none of them alone reaches the least score but, for some kinds, a first
+    name that is equal. So a pair that matches shares a first or second name, or most of its tokens, and
+    besides a sign of another part: a token of the other name or of the raw texts, a date or a technology.
+    Both are keys of the join, so neither a common name nor a common token alone brings two entries together;
+    and of a set's tokens only so many, the rarest, are looked for that one of them must be shared."""
+    table = _table(left, right, by)
+    one, two = table.where("side = 0"), table.where(F.col("side") == (0 if left is right else 1))
+    fields = ("a",) if kind == "projects" else ("a", "b")
+
+    def names(side: DataFrame, name: str) -> DataFrame:
+        """Names of a side, each once, by field, with their tokens and themselves as signs."""
+        rows = None
+        for f in fields:
+            whole = F.array(F.concat(F.lit(f + "="), F.col(f)))
+            own = side.where(F.col(f) != "").select(*by, F.lit(f).alias("k"), F.col(f).alias(name), F.concat(_needed(_of(f), NAME_SHARE), whole).alias("few"), F.concat(_of(f), whole).alias("all"))
+            rows = own if rows is None else rows.unionByName(own)
+        return rows.groupBy(*by, "k", name).agg(F.first("few").alias("few"), F.first("all").alias("all"))
+
+    near = _near(names(one, "v"), names(two, "w"), by)
+
+    def probes(side: DataFrame, name: str, paired: bool) -> DataFrame:
+        """Entries by a name (the left ones by each name that is near theirs), and the signs of their other parts."""
+        rows = None
+        for f in fields:
+            other = {c: F.filter(c, lambda t, f=f: ~t.startswith(f)).alias(c) for c in ("few", "all")}
+            own = side.where(F.col(f) != "").select(*by, F.col("cls").alias(name), F.lit(f).alias("f"), F.col(f).alias("v"), *other.values())
+            rows = own if rows is None else rows.unionByName(own)
+        if paired:
+            rows = rows.join(near.withColumnRenamed("k", "f"), [*by, "f", "v"]).drop("v").withColumnRenamed("w", "v")
+        rows = rows.select(*by, name, F.concat("f", "v").alias("k"), "few", "all")
+        some = F.array(F.lit("="))
+        if ACCEPT[kind][0] <= 4.0:  # an equal first name is enough
+            rows = rows.unionByName(side.where("a <> ''").select(*by, F.col("cls").alias(name), F.concat(F.lit("="), "a").alias("k"), some.alias("few"), some.alias("all")))
+        if kind == "projects":  # so are a date, the raw texts and the technologies together
+            rows = rows.unionByName(side.select(*by, F.col("cls").alias(name), F.explode(F.filter("all", lambda t: t.startswith("d"))).alias("k"), _needed(_of("r"), RAW_SHARE).alias("few"), _of("r").alias("all")))
+        return rows
+
+    found = _both_ways(probes(one, "l", True), probes(two, "r", False), by, ("l", "r"))
+    found = found.join(one.select(F.col("cls").alias("l"), F.col("entry").alias("x")), "l").join(two.select(F.col("cls").alias("r"), F.col("entry").alias("y")), "r")
+    scored = found.withColumn("m", match(kind, F.col("x"), F.col("y"))).where("m.matched")
+    return staged(scored.select(*by, "l", "r", "m.score"))
+
+
+def _near(one: DataFrame, two: DataFrame, by: list[str]) -> DataFrame:
+    """(by, k, v, w): names of a field k that are equal or share NAME_SHARE of the smaller one's tokens."""
+    found = _both_ways(one.withColumn("v", F.struct("k", "v")), two.withColumn("w", F.struct("k", "w")), by, ("v", "w"))
+    found = found.select(*by, "v.k", "v.v", "w.w")
+    return found.where((F.col("v") == F.col("w")) | (arrays.overlap(text.identity_tokens("v"), text.identity_tokens("w")) >= NAME_SHARE))

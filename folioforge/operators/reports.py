@@ -15,6 +15,7 @@ from folioforge.functions import arrays, text, vocab
 from folioforge.operators import grouped as G
 from folioforge.operators import lists as L
 from folioforge.operators import matching as M
+from folioforge.sources.staging import staged
 
 
 def missing_values(evidence: DataFrame, final: DataFrame) -> DataFrame:
@@ -33,8 +34,9 @@ def missing_values(evidence: DataFrame, final: DataFrame) -> DataFrame:
 
 def missing_entries(evidence: DataFrame, final: DataFrame, kind: str) -> DataFrame:
     """Evidence entries (doc_id, source, ord, entry) of a kind that match no final entry (doc_id, entry); entries are comparable structs."""
-    one, two = F.col("entry"), F.col("other")
-    return evidence.join(final.select(F.col("doc_id").alias("_d"), F.col("entry").alias("other")), (F.col("doc_id") == F.col("_d")) & M.match(kind, two, one)["matched"], "left_anti")
+    mine, known = (M.classed(e, kind, ["doc_id"]) for e in (evidence, final))
+    found = M.matches(mine, known, kind, ["doc_id"]).select(F.col("l").alias("cls")).distinct()
+    return mine.join(found, "cls", "left_anti").select(*evidence.columns)
 
 
 def missing_singletons(docs: DataFrame) -> DataFrame:
@@ -161,35 +163,19 @@ def _leaves(payload: pd.Series) -> pd.Series:
     return payload.map(lambda p: list(walk(json.loads(p))) if p else [])
 
 
-GAPS = "doc_id long, field string, source string, ord int, value string"
-
-
 def missing_groups(rows: DataFrame) -> DataFrame:
-    """Candidates and parser entries that match no final entry, for payloads as JSON.
+    """(doc_id, field, source, ord, value): candidates and parser entries that match no final entry, for payloads as JSON.
 
     rows: doc_id, field, candidates array<string>, parser string, final string; the value is the
-    candidate's text or the entry as JSON."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for doc, field, found, p, f in zip(b["doc_id"], b["field"], b["candidates"], b["parser"], b["final"], strict=True):
-                parser, final = (json.loads(x) if x else {} for x in (p, f))
-                skip = G.titles(parser, final) if field == "trainings_courses" else frozenset()
-                mine, entries = G.as_list(parser.get(field)), G.as_list(final.get(field))
-                keys = G.schema_keys(field, entries, mine)
-                known = [G.comparable(field, e) for e in entries if isinstance(e, dict)]
-                for i, c in enumerate([] if found is None else found):
-                    entry = G.from_candidate(field, c, keys)
-                    title = M.flat(G._value(entry, ("title", "name", "course_name", "training_name", "project_name"))).lower()
-                    if not (title and title in skip) and not any(M.score(field, k, G.comparable(field, entry))[0] for k in known):
-                        out.append((doc, field, "phase2_input", i, c))
-                for i, e in enumerate(mine):
-                    if isinstance(e, dict) and not any(M.score(field, k, G.comparable(field, e))[0] for k in known):
-                        out.append((doc, field, "parser", i, json.dumps(e, ensure_ascii=False)))
-            yield pd.DataFrame(out, columns=["doc_id", "field", "source", "ord", "value"])
-
-    return rows.select("doc_id", "field", "candidates", "parser", "final").mapInPandas(run, GAPS)
+    candidate's text or the entry as JSON. Candidates for trainings that are certifications are left out."""
+    entries, skip = G.entries_of(rows, {"parser": "parser", "final": "optimizer"})
+    formed = staged(G.formed(entries))
+    known = formed.where("source = 'optimizer' and entry like '{%'")
+    mine, _, pairs = G.matched(formed.where("source <> 'optimizer'").select("doc_id", "field", "source", "ord", "title", F.col("entry").alias("value"), F.col("probe").alias("entry")), known.select("doc_id", "field", F.col("known").alias("entry")))
+    lost = mine.join(pairs.select(F.col("l").alias("cls")).distinct(), "cls", "left_anti")
+    titles = skip.select("doc_id", F.lower(text.normalize_flat("title")).alias("title")).distinct().withColumn("certified", F.lit(True))
+    lost = lost.join(titles, ["doc_id", "title"], "left").where("certified is null or source <> 'source' or field <> 'trainings_courses'")
+    return lost.select("doc_id", "field", F.when(F.col("source") == "source", "phase2_input").otherwise(F.col("source")).alias("source"), F.col("ord").cast("int").alias("ord"), "value")
 
 
 def coverage(evidence: DataFrame, final: DataFrame, groups: DataFrame, links: DataFrame) -> DataFrame:

@@ -742,6 +742,37 @@ def merged_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "grp", "primary_name", "secondary_name", "date_range", "description", "source", "grounded", F.array_join("notes", ";").alias("notes"))
 
 
+def grouped_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes as evidence (doc_id, field, source, ord, entry) of a record's four grouped fields: JSON of the optimizer and the parser, and candidates."""
+    size, t = F.col("size"), F.col("t")
+    source = F.when(size % 4 == 0, "optimizer").when(size % 4 == 1, "parser").otherwise("source")
+    dates = F.when(size % 3 == 0, F.concat((2000 + size % 20).cast("string"), F.lit(" - 2022"))).otherwise("")
+    forms = {
+        "experience": F.to_json(F.struct(F.col("kind").alias("company_name"), F.col("name").alias("title"), dates.alias("duration"), t.alias("description"))),
+        "education": F.to_json(F.struct(F.col("kind").alias("university_name"), F.concat(F.lit("Bachelor of "), "name").alias("degree"), dates.alias("graduation_date"), F.array("name").alias("coursework"))),
+        "projects": F.to_json(F.struct(F.col("name").alias("project_name"), F.when(size % 2 == 0, t).otherwise("").alias("description"), F.split("kind", " ").alias("tools"), dates.alias("duration"))),
+        "trainings_courses": F.to_json(F.struct(F.col("kind").alias("institution"), F.col("name").alias("title"), F.when(size % 2 == 0, t).otherwise("").alias("description"))),
+    }
+    field, entry = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, (name, form) in enumerate(forms.items()):
+        field = F.when(F.col("id") % 4 == i, name).otherwise(field)
+        entry = F.when(F.col("id") % 4 == i, form).otherwise(entry)
+    text_ = F.concat_ws(" | ", "name", "kind", dates)
+    return notes(spark, sf_dir).select("doc_id", field.alias("field"), source.alias("source"), F.col("id").alias("ord"), F.when(source == "source", text_).otherwise(entry).alias("entry"))
+
+
+@query(None)
+def grouped_recovery_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every record's four grouped fields become, an entry a row."""
+    return G.recover_entries(grouped_entries(spark, sf_dir))[0]
+
+
+@query(None)
+def grouped_recovery_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was filled or appended, from which evidence."""
+    return G.recover_entries(grouped_entries(spark, sf_dir))[1]
+
+
 @query(f"""SELECT count(*) AS processed_files, count(*) FILTER (weak) AS weak_files, avg(score) AS mean_score, (SELECT count(*) FROM pages) AS failed_files, count(*) + (SELECT count(*) FROM pages) AS total_files FROM ({base.ORACLES['block_quality_audit']})""")
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audited documents, with pages in the place of failures."""

@@ -86,30 +86,33 @@ def reconcile(inputs: DataFrame, payloads: DataFrame) -> DataFrame:
         *(L.recover_singleton(f, text.col(F.try_variant_get("_o", f"$.{f}", "string")), F.col(f"contact_candidates.{f}"), F.try_variant_get("_p", f"$.{f}", "string")).alias(f) for f in ("linkedin", "github")),
         *(F.transform(c, lambda e: e["text"]).alias(f"{f}_texts") for f, c in (("experience", "experience_candidates"), ("projects", "project_candidates"), ("education", "education_candidates"), ("trainings_courses", "training_candidates"))),
     )
+    # grouped fields by joins over all documents, then one struct a field
+    groups = [out.select("doc_id", F.lit(f).alias("field"), F.col(f"{f}_texts").alias("candidates"), "parser", "optimizer") for f in G.FIELDS]
+    found = G.recover(groups[0].unionByName(groups[1]).unionByName(groups[2]).unionByName(groups[3]))
+    found = found.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("entries", "recovered_items", "recovered_fields", "notes")))).alias("_groups"))
+    out = out.join(found, "doc_id").select("*", *(F.col("_groups")[f].alias(f) for f in G.FIELDS)).drop("_groups", *(f"{f}_texts" for f in G.FIELDS))
     return out.mapInPandas(_assemble, "doc_id long, data string, recovered_items array<string>, recovered_fields array<string>, notes array<string>, mode string, error string")
 
 
 def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Field by field in the audit's order; grouped fields depend on the order of their entries."""
+    """One document's record, field by field in the audit's order."""
     for b in batches:
         out = []
         for r in b.to_dict("records"):
             if isinstance(r["error"], str):
                 out.append((r["doc_id"], None, [], [], [], "coverage", r["error"]))
                 continue
-            parser, optimizer = json.loads(r["parser"]), json.loads(r["optimizer"])
+            optimizer = json.loads(r["optimizer"])
             data, items, fields, notes = dict(optimizer), [], [], []
             for f in L.KEYS:
                 data[f] = list(r[f]["values"])
                 items += list(r[f]["items"])
                 notes += list(r[f]["notes"])
             for f in ("experience", "projects", "education", "trainings_courses"):
-                skip = G.titles(parser, optimizer) if f == "trainings_courses" else frozenset()
-                found = r[f"{f}_texts"]
-                data[f], _, audit = G.recover_field(f, [] if found is None else list(found), G.as_list(parser.get(f)), G.as_list(optimizer.get(f)), skip)
-                items += audit["recovered_items"]
-                fields += audit["recovered_fields"]
-                notes += audit["notes"]
+                data[f] = json.loads(r[f]["entries"])
+                items += list(r[f]["recovered_items"])
+                fields += list(r[f]["recovered_fields"])
+                notes += list(r[f]["notes"])
             for f, v in r["supplemental"].items():
                 data[f] = list(v["values"])
                 items += list(v["items"])

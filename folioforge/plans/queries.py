@@ -365,54 +365,71 @@ s AS (SELECT l, r, CASE WHEN lower(an) = lower(bn) THEN 4.0 WHEN {_overlap_sql('
 CASE WHEN {_overlap_sql("an || ' ' || ay", "bn || ' ' || byy")} >= 0.5 THEN 1.5 ELSE 0 END AS k FROM p)"""
 
 
-def _whole(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Entries (id, brand, n, y) of all parts; and (n, y, fn, fy, score, matched) of every two names and types that one brand has and that score.
-
-    What scores shares an identity token or a whole name, so only such pairs are compared, each once."""
-    e = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), *(F.coalesce(c, F.lit("")).alias(a) for c, a in (("p_name", "n"), ("p_type", "y"))))
-    names = F.transform(F.array("n", "y"), lambda x: F.concat(F.lit("="), text.normalize_identity(x)))
-    keys = F.array_distinct(F.concat(text.identity_tokens(F.concat_ws(" ", "n", "y")), text.identity_tokens("n"), text.identity_tokens("y"), F.filter(names, lambda x: x != "=")))
-    values = e.select("brand", "n", "y").distinct().withColumn("key", F.explode(keys))
-    other = values.select("brand", "key", F.col("n").alias("fn"), F.col("y").alias("fy"))
-    none = F.array().cast("array<string>")
+def _entry(n: str, y: str) -> Column:
+    return F.struct(F.concat_ws(" ", n, y).alias("raw_text"), F.coalesce(n, F.lit("")).alias("primary_name"), F.coalesce(y, F.lit("")).alias("secondary_name"), F.lit("").alias("date_range"), F.array().cast("array<string>").alias("technologies"))
 
-    def entry(n: str, y: str) -> Column:
-        return F.struct(F.concat_ws(" ", n, y).alias("raw_text"), F.col(n).alias("primary_name"), F.col(y).alias("secondary_name"), F.lit("").alias("date_range"), none.alias("technologies"))
 
-    near = values.join(other, ["brand", "key"]).select("n", "y", "fn", "fy").distinct()
-    scored = near.withColumn("m", M.match("trainings_courses", entry("n", "y"), entry("fn", "fy"))).where("m.score > 0")
-    return e, scored.select("n", "y", "fn", "fy", "m.score", "m.matched")
+def _whole(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All parts as classed trainings of their brand (id, brand, cls); and the classes that match (brand, l, r, score), in both orders."""
+    e = M.classed(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), _entry("p_name", "p_type").alias("entry")), "trainings_courses", ["brand"])
+    return e.select("id", "brand", "cls"), M.matches(e, e, "trainings_courses", ["brand"])
 
 
-def _later(e: DataFrame) -> DataFrame:
-    """Every two entries of a brand."""
-    other = e.select("brand", F.col("id").alias("r"), F.col("n").alias("fn"), F.col("y").alias("fy"))
-    return e.withColumnRenamed("id", "l").join(other, "brand").where("l < r")
+_CLASSES = f"""WITH e0 AS ({_ENTRY}), e AS (SELECT min(id) AS id, max(id) AS last, brand, any_value(n) AS n, any_value(t) AS t, {_IDENTITY.format(x=_flat('n'))} AS kn, {_IDENTITY.format(x=_flat('t'))} AS kt FROM e0 GROUP BY brand, kn, kt),"""
+_PAIRS_OF_CLASSES = _PAIRS.replace(f"WITH e AS ({_ENTRY}),", _CLASSES)
 
 
-@query(f"{_PAIRS} SELECT l, r, (n + o + k)::DOUBLE AS score, n + o + k >= 4.0 AS matched FROM s")
+@query(f"{_PAIRS_OF_CLASSES} SELECT l, r, (n + o + k)::DOUBLE AS score FROM s WHERE n + o + k >= 4.0")
 def entity_match_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How well every two parts of a brand match as trainings."""
-    e, scored = _whole(spark, sf_dir)
-    rows = _later(e).join(scored, ["n", "y", "fn", "fy"], "left")
-    return rows.select("l", "r", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("matched", F.lit(False)).alias("matched"))
+    """Different entries of a brand that match as trainings, each by its smallest part: entity_classes has the parts of each."""
+    e, found = _whole(spark, sf_dir)
+    least = e.groupBy("cls").agg(F.min("id").alias("id"))
+    rows = found.join(least.select(F.col("cls").alias("l"), F.col("id").alias("a")), "l").join(least.select(F.col("cls").alias("r"), F.col("id").alias("b")), "r")
+    return rows.where("a < b").select(F.col("a").alias("l"), F.col("b").alias("r"), "score")
+
+
+@query(f"{_CLASSES[:-1]} SELECT e0.id, e.id AS class FROM e0 JOIN e ON e.brand = e0.brand AND e.kn = {_IDENTITY.format(x=_flat('e0.n'))} AND e.kt = {_IDENTITY.format(x=_flat('e0.t'))}")
+def entity_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest part of its brand that is the same entry, for every part."""
+    e = M.classed(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), _entry("p_name", "p_type").alias("entry")), "trainings_courses", ["brand"])
+    return e.join(e.groupBy("cls").agg(F.min("id").alias("class")), "cls").select("id", "class")
+
+
+#: Ids of a class are looked up in ranges of so many, so a class of any size spreads over tasks.
+_SPAN = 1 << 16
+
+
+def _next(probes: DataFrame, members: DataFrame) -> DataFrame:
+    """(cls, id, next): the smallest member (cls, id) of a probe's class with a larger id than the probe's, where there is one."""
+    ranged = [d.select("cls", "id", F.floor(F.col("id") / _SPAN).alias("range"), F.lit(m).alias("member")) for d, m in ((probes, False), (members, True))]
+    w = Window.partitionBy("cls", "range").orderBy(F.desc("id"), "member").rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged[0].unionByName(ranged[1]).withColumn("next", F.last(F.when(F.col("member"), F.col("id")), ignorenulls=True).over(w)).where("not member")
+    first = ranged[1].groupBy("cls", F.col("range").alias("later")).agg(F.min("id").alias("first"))
+    beyond = rows.where("next is null").join(first, "cls").where("later > range").groupBy("cls", "id").agg(F.min("first").alias("next"))
+    return rows.where("next is not null").select("cls", "id", "next").unionByName(beyond)
 
 
 @query(f"{_PAIRS} SELECT l, r, (n + o + k)::DOUBLE AS score FROM s WHERE n + o + k >= 4.0 QUALIFY row_number() OVER (PARTITION BY l ORDER BY n + o + k DESC, r) = 1")
 def entity_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the later parts of its brand the one that each part matches best, the first of equals."""
-    e, scored = _whole(spark, sf_dir)
-    rows = _later(e).join(scored.where("matched"), ["n", "y", "fn", "fy"]).select("l", "r", F.struct("score", "matched").alias("m"), F.col("r").alias("idx"))
-    return M.best(rows, ["l"]).select("l", "r", "m.score")
+    """Of the later parts of its brand the one that each part matches best, the first of equals.
+
+    Classes are compared, not parts: of those that match a part's own and have a later part, the best ones' next part."""
+    e, found = _whole(spark, sf_dir)
+    last = e.groupBy(F.col("cls").alias("r")).agg(F.max("id").alias("last"))
+    rows = e.select("id", F.col("cls").alias("l")).join(found.join(last, "r").select("l", "r", "score", "last"), "l").where("last > id")
+    rows = rows.withColumn("n", F.rank().over(Window.partitionBy("id").orderBy(F.desc("score")))).where("n = 1")
+    probes = rows.select(F.col("r").alias("cls"), "id", "score")
+    after = _next(probes, e.select("cls", "id")).groupBy("id").agg(F.min("next").alias("r"))
+    return probes.groupBy("id").agg(F.first("score").alias("score")).join(after, "id").select(F.col("id").alias("l"), "r", "score")
 
 
 @query(f"{_PAIRS} SELECT id FROM ({_ENTRY}) WHERE id NOT IN (SELECT r FROM s WHERE n + o + k >= 4.0)")
 def coverage_gaps_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of a brand that match none of the brand's earlier ones: the earliest match of a name and type decides."""
-    e, scored = _whole(spark, sf_dir)
-    first = e.groupBy("brand", "n", "y").agg(F.min("id").alias("first"))
-    found = first.join(scored.where("matched"), ["n", "y"]).groupBy("brand", F.col("fn").alias("n"), F.col("fy").alias("y")).agg(F.min("first").alias("first"))
-    return e.join(found, ["brand", "n", "y"], "left").where("first IS NULL OR first >= id").select("id")
+    """Parts of a brand that match none of the brand's earlier ones: the earliest match of a class decides."""
+    e, found = _whole(spark, sf_dir)
+    first = e.groupBy(F.col("cls").alias("l")).agg(F.min("id").alias("first"))
+    earliest = found.join(first, "l").groupBy(F.col("r").alias("cls")).agg(F.min("first").alias("first"))
+    return e.join(earliest, "cls", "left").where("first IS NULL OR first >= id").select("id")
 
 
 _SUPPLIED = """SELECT p_partkey AS id, p_partkey // 10 AS doc_id, p_size, p_name AS n, p_type AS t FROM part"""
@@ -424,9 +441,7 @@ CASE WHEN {_overlap_sql("an || ' ' || ay", "bn || ' ' || byy")} >= 0.5 THEN 1.5
 @query(f"{_GAP_PAIRS} SELECT doc_id, CASE WHEN p_size > 30 THEN 'parser' ELSE 'phase2_input' END AS source, id AS ord FROM e WHERE p_size > 15 AND id NOT IN (SELECT l FROM s WHERE n + o + k >= 4.0)")
 def missing_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten parts are a record: small ones its final trainings, the others evidence that may lack there."""
-    none = F.array().cast("array<string>")
-    entry = F.struct(F.concat_ws(" ", "p_name", "p_type").alias("raw_text"), F.col("p_name").alias("primary_name"), F.col("p_type").alias("secondary_name"), F.lit("").alias("date_range"), none.alias("technologies"))
-    rows = table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 10).cast("long").alias("doc_id"), F.when(F.col("p_size") > 30, "parser").otherwise("phase2_input").alias("source"), F.col("p_partkey").alias("ord"), entry.alias("entry"), "p_size")
+    rows = table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 10).cast("long").alias("doc_id"), F.when(F.col("p_size") > 30, "parser").otherwise("phase2_input").alias("source"), F.col("p_partkey").alias("ord"), _entry("p_name", "p_type").alias("entry"), "p_size")
     return R.missing_entries(rows.where("p_size > 15"), rows.where("p_size <= 15"), "trainings_courses").select("doc_id", "source", "ord")
 
 

@@ -1,12 +1,9 @@
 import json
-import random
 
 from pyspark.sql import functions as F
 
 from folioforge.operators import blocks as B
-from folioforge.operators import grouped as G
 from folioforge.operators import lists as L
-from folioforge.operators import matching as M
 from folioforge.operators import reports as R
 from folioforge.plans import extraction as X
 from folioforge.sources import payloads as P
@@ -41,40 +38,6 @@ def test_filters(spark):
     assert kept(L.certifications, ["AWS Certified Architect completed in May", "Best award 2020", "Systems"]) == ["AWS Certified Architect"]
 
 
-def test_plain_and_column_scores_agree(spark):
-    r = random.Random(3)
-    words = "senior backend engineer acme cairo data python 2020 2022 of science".split()
-
-    def entry():
-        def pick(n):
-            return " ".join(r.choice(words) for _ in range(r.randint(0, n)))
-
-        return {"raw_text": pick(8), "primary_name": pick(3), "secondary_name": pick(2), "date_range": r.choice(["", "2020 - 2022", "2020"]), "technologies": [r.choice(words) for _ in range(r.randint(0, 3))]}
-
-    pairs = [(i, entry(), entry()) for i in range(60)]
-    struct = "struct<raw_text:string,primary_name:string,secondary_name:string,date_range:string,technologies:array<string>>"
-    rows = spark.createDataFrame([(i, tuple(a.values()), tuple(b.values())) for i, a, b in pairs], f"i int, a {struct}, b {struct}")
-    for kind in M.ACCEPT:
-        got = {x["i"]: (x["m"]["matched"], x["m"]["score"]) for x in rows.select("i", M.match(kind, F.col("a"), F.col("b")).alias("m")).collect()}
-        assert got == {i: M.score(kind, a, b) for i, a, b in pairs}
-
-
-def test_grouped_recovery_order():
-    optimizer = [{"title": "Data Course", "institution": "Acme", "description": ""}]
-    entries, keys, audit = G.recover_field("trainings_courses", ["New Thing | Elsewhere", "new thing | elsewhere"], [{"title": "Data Course", "institution": "Acme", "description": "long"}], optimizer)
-    assert [e["title"] for e in entries] == ["Data Course", "New Thing"] and entries[0]["description"] == "long" and keys == ["title", "institution", "description"]
-    assert audit["recovered_items"] == ["trainings_courses:appended_from_source"]
-
-
-def test_entries_merge():
-    one = {"title": "", "tools": ["SQL"], "note": None, "kept": "x"}
-    both, gained = G.merged(one, {"tools": ["sql", "Go", " go", ""], "title": "T", "kept": "y", "other": 1, "note": "n"})
-    assert both == {"title": "T", "tools": ["SQL", "Go"], "note": "n", "kept": "x"} and gained == ["tools", "title", "note"]
-    assert one == {"title": "", "tools": ["SQL"], "note": None, "kept": "x"}
-    assert G.to_schema("projects", {"project_name": "P", "x": 1}, ["project_name", "tools"]) == {"project_name": "P", "tools": []}
-    assert G.to_schema("projects", {"x": "Thing | more"}, ["project_name", "description"])["project_name"] == "Thing"
-
-
 def test_missed_content(spark):
     missed = spark.createDataFrame([("1", "alpha beta gamma delta\n\nnever seen these words"), ("2", "no result for this")], "cv_id string, missed_from_raw_text string")
     results = spark.createDataFrame([("1", "f", ["Alpha beta gamma delta & more"], [], 1)], "cv_id string, file_path string, strings array<string>, education array<struct<gpa:string,grade:string>>, ord int")

@@ -3,8 +3,8 @@
 import json
 import random
 
-from folioforge.operators import matching as M
 from folioforge.plans import derived, queries as plan  # noqa: F401  derived registers queries
+from test_grouped import score as plain_score
 
 
 def parts(spark, folder):
@@ -21,9 +21,14 @@ def test_matches_of_all_parts(spark, tmp_path):
     def entry(n, y):
         return {"raw_text": f"{n} {y}", "primary_name": n, "secondary_name": y, "date_range": "", "technologies": []}
 
-    scores = {(a[0], b[0]): M.score("trainings_courses", entry(a[1], a[3]), entry(b[1], b[3])) for a in rows for b in rows if a[2] == b[2] and a[0] < b[0]}
-    got = {(x["l"], x["r"]): (x["matched"], x["score"]) for x in plan.QUERIES["entity_match_scores"](spark, str(tmp_path)).collect()}
-    assert got == scores
+    scores = {(a[0], b[0]): plain_score("trainings_courses", entry(a[1], a[3]), entry(b[1], b[3])) for a in rows for b in rows if a[2] == b[2] and a[0] < b[0]}
+    least = {}
+    for i, n, b, y, _ in rows:  # of equal entries the first stands for all
+        least.setdefault((b, n.lower(), y.lower()), i)
+    own = {i: least[b, n.lower(), y.lower()] for i, n, b, y, _ in rows}
+    assert {x["id"]: x["class"] for x in plan.QUERIES["entity_classes"](spark, str(tmp_path)).collect()} == own
+    got = {(x["l"], x["r"]): x["score"] for x in plan.QUERIES["entity_match_scores"](spark, str(tmp_path)).collect()}
+    assert got == {(a, b): s for (a, b), (ok, s) in scores.items() if ok and own[a] == a and own[b] == b}
     best = {}
     for (left, right), (ok, score) in sorted(scores.items()):
         if ok and score > best.get(left, (0, 0.0))[1]:
