@@ -779,10 +779,11 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.batch_summary(base.block_quality_audit(spark, sf_dir), table(spark, sf_dir, "pages"))
 
 
-@query(f"""SELECT id, array_to_string(list_filter([{_flat('t')}, {_flat('kind')}, {_flat('name')}], lambda x: x <> ''), '¦') AS leaves, array_to_string(list_filter([{_flat('name')}, {_flat('t')}], lambda x: x <> ''), '¦') AS listed, {_flat('kind')} AS single FROM ({NOTES})""")
+@query(f"""SELECT id, array_to_string(list_filter([{_flat('t')}, {_flat('kind')}, {_flat('name')}, {_flat("'\"' || t || ': \\'")}, {_flat('brand')}, {_flat('name')}], lambda x: x <> ''), '¦') AS leaves, array_to_string(list_filter([{_flat('name')}, {_flat('t')}], lambda x: x <> ''), '¦') AS listed, {_flat('kind')} AS single FROM ({NOTES})""")
 def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """String leaves of a JSON record of each note, and its strings under one key."""
-    doc = F.to_json(F.struct(F.col("t").alias("a"), F.struct(F.array("kind").alias("c"), F.col("size").alias("n")).alias("b"), F.array("name").alias("d")))
+    inner = F.struct(F.array(F.array("name"), F.array().cast("array<string>")).alias("y"), F.concat(F.lit('"'), "t", F.lit(": \\")).alias('a "key":'))
+    doc = F.to_json(F.struct(F.col("t").alias("z"), F.struct(F.array("kind").alias("c"), F.col("size").alias("n"), F.array(inner).alias("m")).alias("b"), F.array("brand", "name").alias("a")))
     flat = F.parse_json(F.to_json(F.struct(F.array("name", "t").alias("l"), F.col("kind").alias("s"))))
     rows = notes(spark, sf_dir).select("id", doc.alias("doc"), flat.alias("v"))
     return rows.select("id", F.array_join(R.string_leaves(F.col("doc")), "¦").alias("leaves"), F.array_join(P.string_list(F.col("v"), "l"), "¦").alias("listed"), F.array_join(P.string_list(F.col("v"), "s"), "¦").alias("single"))

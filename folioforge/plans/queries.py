@@ -489,7 +489,7 @@ def positional_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     path = F.when(F.col("turn") % 3 > 0, F.concat_ws("/", "role", F.col("conv_id").cast("string"))).otherwise("")
     line = F.to_json(F.struct(path.alias("pdf_path"), F.col("conv_id").cast("string").alias("cv_id"), "text"))
-    sides = [rows.where(F.col("role") == r).select(F.row_number().over(Window.orderBy("conv_id", "turn", "text")).cast("long").alias("row"), line.alias("line")) for r in ("user", "assistant")]
+    sides = [P.numbered(rows.where(F.col("role") == r), "conv_id", "turn", "text").select("row", line.alias("line")) for r in ("user", "assistant")]
     return P.pair_by_position(*sides).select("row", "cv_id", "pdf_path", "skipped")
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import text
+from folioforge.sources.staging import staged
 
 #: Keys of an extraction snapshot that are read; cv_id and file_path move into its metadata.
 SNAPSHOT = ("full_text", "pages", "sections", "metadata", "raw_blocks", "normalized_blocks", "semantic_blocks", "diagnostics")
@@ -27,12 +31,39 @@ def snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a JSON-lines file as text with their position among the non-blank ones, from 1.
-
-    A file is one row until it is split, which its order demands; ids are the better way to pair rows."""
-    whole = spark.read.text(path, wholetext=True)
-    ranked = whole.select(F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "").alias("x")).select(F.posexplode("x").alias("i", "line"))
-    return ranked.select((F.col("i") + 1).alias("row"), "line")
+    """(row, line): lines of JSON-lines files as text with their position among the file's non-blank ones, from 1.
+
+    A file of any size is read in many tasks. Two passes number it: the first counts the lines of each range of
+    bytes, and running sums over a file's ranges say at which number each begins; the second counts on from there."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"))
+    lines = lines.withColumn("value", F.regexp_replace("value", "\r$", "")).where(F.trim("value") != "")
+    counts = lines.groupBy("file", "range").agg(F.count(F.lit(1)).alias("n"))  # a row for each range of every file
+    before = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The place of every line in its range: a task reads ranges one after another, each in order."""
+        last, n = None, 0
+        for b in batches:
+            places = []
+            for own in zip(b.column("file").to_pylist(), b.column("range").to_pylist(), strict=True):
+                n = n + 1 if own == last else 1
+                last = own
+                places.append(n)
+            yield pa.RecordBatch.from_arrays([b.column("file"), b.column("range"), pa.array(places, pa.int64()), b.column("value")], ["file", "range", "nth", "line"])
+
+    numbered = lines.select("file", "range", "value").mapInArrow(number, "file string, range long, nth long, line string")
+    return numbered.join(starts, ["file", "range"]).select((F.col("before") + F.col("nth")).alias("row"), "line")
+
+
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """rows with row, their position from 1 in the order of some columns, without one task that sees them all: ranges of the order are sorted each, and begin where those before them end."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranges = staged(ranges.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_nth")))
+    counts = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))  # as many rows as partitions
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return ranges.join(F.broadcast(starts), "_range").withColumn("row", F.col("_before") + F.col("_nth") + 1).drop("_range", "_nth", "_before")
 
 
 def results(spark: SparkSession, path: str) -> DataFrame:

@@ -83,3 +83,43 @@ def test_one_malformed_payload_fails_alone(spark):
     got = {r["doc_id"]: r for r in X.reconcile(inputs, payloads).collect()}
     assert got[1]["data"] is None and "parser" in got[1]["error"] and got[2]["data"] is None and "optimizer" in got[2]["error"]
     assert got[3]["error"] is None and json.loads(got[3]["data"])["technical_skills"] == ["Rust", "Go"]
+
+
+def test_lines_are_numbered_across_ranges(spark, tmp_path):
+    """A file that is split over many tasks, with blank lines and both kinds of line ends, has the numbers of one that is read as a whole."""
+    body = "".join(f'{{"n": {i}}}' + ("\r\n" if i % 3 else "\n") + ("\n  \n" if i % 7 == 0 else "") for i in range(4000))
+    (tmp_path / "a.jsonl").write_text(body, newline="")
+    (tmp_path / "b.jsonl").write_text('{"n": 0}\n{"n": 1}')
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = P.jsonl(spark, str(tmp_path / "*.jsonl"))
+        assert spark.read.text(str(tmp_path / "a.jsonl")).rdd.getNumPartitions() > 8
+        got = sorted((r["row"], json.loads(r["line"])["n"]) for r in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == sorted([(i + 1, i) for i in range(4000)] + [(1, 0), (2, 1)])
+
+
+def test_positions_without_one_task(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), F.lit("x").alias("t")).repartition(7)
+    got = P.numbered(rows, "k", "t").orderBy("row").collect()
+    assert [r["row"] for r in got] == list(range(1, 5001)) and [r["k"] for r in got] == sorted(r["k"] for r in got)
+    assert P.numbered(rows.limit(0), "k").collect() == []
+
+
+def test_json_leaves(spark):
+    from folioforge.operators import reports as R
+
+    docs = [{"b": ["x", {"z": " y\t y ", "a": [["deep"], [], 3, None, True]}], "a": "last"}, ["only", ["a\"b: c", "é\\", " z"]], {"k:": {"k\"": "v"}}, {}, "one", 3, {"": ""}]
+
+    def walk(v):
+        if isinstance(v, str):
+            return [" ".join(v.split())] if v.split() else []
+        return [x for y in (v.values() if isinstance(v, dict) else v if isinstance(v, list) else []) for x in walk(y)]
+
+    rows = spark.createDataFrame([(i, json.dumps(d, ensure_ascii=bool(i % 2), indent=i or None)) for i, d in enumerate(docs)] + [(90, None), (91, "")], "i int, p string")
+    got = {r["i"]: r["l"] for r in rows.select("i", R.string_leaves(F.col("p")).alias("l")).collect()}
+    assert got == {i: walk(d) for i, d in enumerate(docs)} | {90: [], 91: []}
+    with pytest.raises(Exception, match="no JSON"):
+        spark.createDataFrame([("{broken",)], "p string").select(R.string_leaves(F.col("p"))).collect()
