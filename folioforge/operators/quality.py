@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioforge.functions import arrays, text, vocab
@@ -96,6 +96,18 @@ def batch_summary(audited: DataFrame, failures: DataFrame | None = None) -> Data
     return out.join(F.broadcast(failed)).withColumn("total_files", F.col("processed_files") + F.col("failed_files"))
 
 
+def written(audited: DataFrame, path: str) -> dict[str, float]:
+    """Writes audited documents (doc_id, score, weak, section_count, general_block_ratio, possible_errors) as Parquet and gives the batch's figures, observed as the rows pass: the documents are read once.
+
+    The figures: those of batch_summary() but failures, the mean number of sections, and of each kind of error how many documents have it."""
+    seen = Observation()
+    errors = ("document_collapsed_into_general", "oversized_general_section", "heading_candidates_found_inside_general")
+    figures = [F.count(F.lit(1)).alias("processed_files"), F.count_if("weak").alias("weak_files"), F.avg("score").alias("mean_score"), F.avg("section_count").alias("mean_sections"), F.avg("general_block_ratio").alias("mean_general_ratio")]
+    figures += [F.count_if(F.array_contains("possible_errors", e)).alias(e) for e in errors]
+    audited.observe(seen, *figures).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 def bleed_markers(sections: DataFrame) -> DataFrame:
     """(doc_id, markers): sections whose last line ends in another section's name and an ampersand."""
     body = text.strip("content")

@@ -7,10 +7,13 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.sources import lines
+
 
 def append_jsonl(rows: DataFrame, path: str) -> None:
-    """Rows as lines of JSON, added to what is there."""
-    rows.write.mode("append").json(path)
+    """Rows as lines of JSON, added to what is there: all of them once, or none."""
+    lines.register(rows.sparkSession)
+    rows.write.format("json_lines").mode("append").save(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
