@@ -35,7 +35,17 @@ def strip_any(x: Column | str, chars: str) -> Column:
 
 def normalize_lines(x: Column | str) -> Column:
     """Line-preserving: one newline form, single blanks, trimmed lines, one blank after a bullet mark, at most one empty line in a row."""
-    x = F.regexp_replace(col(x), r"\r\n?|\u2028|\u2029", "\n")
+    if isinstance(x, str):  # most texts are in this form already, which one look tells
+        return F.when(col(x).rlike(_UNTIDY), _tidied(col(x))).otherwise(col(x))
+    return _tidied(col(x))
+
+
+#: What any step of _tidied() would change: odd white space, blanks in a row or at the ends of a line, empty lines in a row or at the ends, marks without their blank.
+_UNTIDY = rf"(?mdU)[^\S\n ]|  |^ | $|\n\n\n|\A\n|\n\z|^[{_MARKS}](?! \S)"
+
+
+def _tidied(x: Column) -> Column:
+    x = F.regexp_replace(x, r"\r\n?|\u2028|\u2029", "\n")
     x = F.regexp_replace(x, r"(?U)[^\S\n]+", " ")
     x = F.regexp_replace(x, r"(?md)^ | $", "")
     x = F.regexp_replace(x, rf"(?md)^([{_MARKS}]) ?", "$1 ")

@@ -45,12 +45,15 @@ def _candidate(t: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_replace(t, r":+\z", "")), r"(?U)\s+", " ")
 
 
-def _stands_alone(t: Column) -> Column:
-    """A heading by itself: a known one, or up to four words without lower case."""
-    c = _candidate(t)
+def _stands_alone(t: Column, c: Column) -> Column:
+    """A heading by itself: a known one, or up to four words without lower case. c: _candidate(t)."""
     return (t != "") & ~t.contains("\n") & (c.isin(*vocab.MERGE_HEADINGS) | ((text.words(c) <= 4) & text.is_upper(t) & ~c.isin(*vocab.NOT_HEADINGS)))
 
 
+#: Headings have no more words; the colon of one may stand alone.
+_MOST_WORDS = max(4, *(len(h.split()) for h in vocab.MERGE_HEADINGS)) + 1
+
+
 def merge(raw: DataFrame) -> DataFrame:
     """Fragments merged to logical blocks: doc_id, pos, block_id, page_number, box, text, original_text, source_block_ids, source_texts, inferred_kind.
 
@@ -58,17 +61,17 @@ def merge(raw: DataFrame) -> DataFrame:
     its head looks like a header line. A block either leaves that bit or sets it to a value that
     doesn't depend on it, so the bit is the last value set: a window, no fold."""
     rows = in_order(raw).withColumn("t", text.normalize_lines("text"))
+    rows = rows.withColumn("n_words", text.words("t")).withColumn("c", F.when(F.col("n_words") <= _MOST_WORDS, _candidate(F.col("t"))))
     t, w = F.col("t"), Window.partitionBy("doc_id").orderBy("pos")
     rows = rows.select(
         "*",
         _bullet(t).alias("bullet"),
-        _candidate(t).isin(*vocab.MERGE_HEADINGS).alias("heading"),
-        _stands_alone(t).alias("alone"),
+        F.coalesce(F.col("c").isin(*vocab.MERGE_HEADINGS), F.lit(False)).alias("heading"),
+        (F.col("c").isNotNull() & _stands_alone(t, F.col("c"))).alias("alone"),
         t.rlike(r"[.!?;:]\z").alias("stop"),
-        ((t != "") & (text.words(t) <= 5) & ~_bullet(t)).alias("header"),
+        ((t != "") & (F.col("n_words") <= 5) & ~_bullet(t)).alias("header"),
         t.rlike(r"(?U)^\p{Ll}").alias("lower"),
         t.rlike(r"(?U)^[\d(\[/&]").alias("tail"),
-        text.words(t).alias("n_words"),
     )
     before = {c: F.lag(c).over(w).alias(f"p_{c}") for c in ("page_number", "x0", "y0", "x1", "y1", "t", "bullet", "heading", "stop")}
     rows = rows.select("*", *before.values())
