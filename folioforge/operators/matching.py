@@ -75,13 +75,20 @@ NAME_SHARE, RAW_SHARE = 0.6, 0.5
 FORM = ("a", "b", "date", "raw", "tech")
 
 
-def classed(entries: DataFrame, kind: str, by: list[str]) -> DataFrame:
-    """entries (by, id, entry) with what the rule reads of them (a and b, the first and second name; date, raw, tech) and cls, a name of all that."""
-    first, second = ("secondary_name", "primary_name") if kind in ORGANISATION_FIRST else ("primary_name", "secondary_name")
+def _kind(kind: str | None) -> Column:
+    return F.col("field") if kind is None else F.lit(kind)
+
+
+def classed(entries: DataFrame, kind: str | None, by: list[str]) -> DataFrame:
+    """entries (by, id, entry) with what the rule reads of them (a and b, the first and second name; date, raw, tech) and cls, a name of all that.
+
+    Without a kind, a column field of by says it."""
+    turned, project = _kind(kind).isin(*ORGANISATION_FIRST), _kind(kind) == "projects"
+    names = (F.col("entry.primary_name"), F.col("entry.secondary_name"))
     tech = F.filter(F.coalesce(F.col("entry.technologies"), F.array().cast("array<string>")), lambda x: x.isNotNull())
     form = {
-        "a": text.normalize_identity(F.col(f"entry.{first}")), "b": F.lit("") if kind == "projects" else text.normalize_identity(F.col(f"entry.{second}")), "date": text.normalize_date_range(F.col("entry.date_range")),
-        "raw": F.array_sort(F.array_distinct(text.identity_tokens(F.col("entry.raw_text")))), "tech": F.array_sort(F.array_distinct(tech)) if kind == "projects" else F.array().cast("array<string>"),
+        "a": text.normalize_identity(F.when(turned, names[1]).otherwise(names[0])), "b": text.normalize_identity(F.when(project, "").when(turned, names[0]).otherwise(names[1])), "date": text.normalize_date_range(F.col("entry.date_range")),
+        "raw": F.array_sort(F.array_distinct(text.identity_tokens(F.col("entry.raw_text")))), "tech": F.when(project, F.array_sort(F.array_distinct(tech))).otherwise(F.array().cast("array<string>")),
     }
     rows = entries.select("*", *(c.alias(n) for n, c in form.items()))
     whole = F.to_json(F.struct(*(F.col(c).cast("string").alias(f"by{i}") for i, c in enumerate(by)), *FORM))
@@ -137,7 +144,7 @@ def _both_ways(one: DataFrame, two: DataFrame, by: list[str], keep: tuple[str, s
     return listed(one, keep[0], "few", "all").join(listed(two, keep[1], "all", "few"), [*by, "k", "sign"]).select(*by, *keep).distinct()
 
 
-def matches(left: DataFrame, right: DataFrame, kind: str, by: list[str]) -> DataFrame:
+def matches(left: DataFrame, right: DataFrame, kind: str | None, by: list[str]) -> DataFrame:
     """(by, l, r, score): classes of left and right entries of equal `by` that match, each pair once; rows are classed().
 
     A score is a sum over few parts, and none of them alone reaches the least score but, for some kinds, a first
@@ -147,7 +154,7 @@ def matches(left: DataFrame, right: DataFrame, kind: str, by: list[str]) -> Data
     and of a set's tokens only so many, the rarest, are looked for that one of them must be shared."""
     table = _table(left, right, by)
     one, two = table.where("side = 0"), table.where(F.col("side") == (0 if left is right else 1))
-    fields = ("a",) if kind == "projects" else ("a", "b")
+    fields = ("a", "b")  # projects have no b
 
     def names(side: DataFrame, name: str) -> DataFrame:
         """Names of a side, each once, by field, with their tokens and themselves as signs."""
@@ -171,15 +178,20 @@ def matches(left: DataFrame, right: DataFrame, kind: str, by: list[str]) -> Data
             rows = rows.join(near.withColumnRenamed("k", "f"), [*by, "f", "v"]).drop("v").withColumnRenamed("w", "v")
         rows = rows.select(*by, name, F.concat("f", "v").alias("k"), "few", "all")
         some = F.array(F.lit("="))
-        if ACCEPT[kind][0] <= 4.0:  # an equal first name is enough
-            rows = rows.unionByName(side.where("a <> ''").select(*by, F.col("cls").alias(name), F.concat(F.lit("="), "a").alias("k"), some.alias("few"), some.alias("all")))
-        if kind == "projects":  # so are a date, the raw texts and the technologies together
-            rows = rows.unionByName(side.select(*by, F.col("cls").alias(name), F.explode(F.filter("all", lambda t: t.startswith("d"))).alias("k"), _needed(_of("r"), RAW_SHARE).alias("few"), _of("r").alias("all")))
+        enough = [k for k, (least, _) in ACCEPT.items() if least <= 4.0 and kind in (None, k)]
+        if enough:  # an equal first name is enough
+            rows = rows.unionByName(side.where((F.col("a") != "") & _kind(kind).isin(*enough)).select(*by, F.col("cls").alias(name), F.concat(F.lit("="), "a").alias("k"), some.alias("few"), some.alias("all")))
+        if kind in (None, "projects"):  # so are a date, the raw texts and the technologies together
+            rows = rows.unionByName(side.where(_kind(kind) == "projects").select(*by, F.col("cls").alias(name), F.explode(F.filter("all", lambda t: t.startswith("d"))).alias("k"), _needed(_of("r"), RAW_SHARE).alias("few"), _of("r").alias("all")))
         return rows
 
     found = _both_ways(probes(one, "l", True), probes(two, "r", False), by, ("l", "r"))
     found = found.join(one.select(F.col("cls").alias("l"), F.col("entry").alias("x")), "l").join(two.select(F.col("cls").alias("r"), F.col("entry").alias("y")), "r")
-    scored = found.withColumn("m", match(kind, F.col("x"), F.col("y"))).where("m.matched")
+    told = None
+    for k in ACCEPT if kind is None else (kind,):
+        own = match(k, F.col("x"), F.col("y"))
+        told = own if kind is not None else F.when(F.col("field") == k, own) if told is None else told.when(F.col("field") == k, own)
+    scored = found.withColumn("m", told).where("m.matched")
     return staged(scored.select(*by, "l", "r", "m.score"))
 
 
