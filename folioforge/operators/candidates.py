@@ -218,8 +218,14 @@ def chunks(classify, normalize, prefix: str) -> Column:
     return arrays.dedupe(F.filter(found, lambda c: c["cleaned"] != ""), lambda c: F.lower(normalize(c["cleaned"])))
 
 
-def supplemental(kind: str) -> Column:
-    own = F.filter(chunks(adapter_class, text.normalize_lines, vocab.ADAPTER_PREFIX), lambda c: F.coalesce(adapter_class(c["raw"], c["section"]) == kind, F.lit(False)))
+def classed_chunks() -> Column:
+    """Supplemental chunks at extraction (cleaned, kind)."""
+    return F.transform(chunks(adapter_class, text.normalize_lines, vocab.ADAPTER_PREFIX), lambda c: F.struct(c["cleaned"], adapter_class(c["raw"], c["section"]).alias("kind")))
+
+
+def supplemental(kind: str, found: Column | str | None = None) -> Column:
+    """Texts of one kind, of classed chunks that are at hand already if they are given."""
+    own = F.filter(classed_chunks() if found is None else found, lambda c: F.coalesce(c["kind"] == kind, F.lit(False)))
     return arrays.dedupe_lines(F.transform(own, lambda c: c["cleaned"]))
 
 
@@ -340,7 +346,8 @@ def source_metadata(path: Column, page_count: Column, extractor: Column, fallbac
 
 def build(docs: DataFrame) -> DataFrame:
     """The input of reconciliation: every candidate list of every document."""
-    rows = contacts(merge_sections(docs))
+    # chunks are found once for their three kinds
+    rows = contacts(merge_sections(docs)).withColumn("_chunks", classed_chunks())
     filled = F.filter("named", lambda s: s["text"] != "")
     return rows.select(
         "doc_id",
@@ -356,9 +363,9 @@ def build(docs: DataFrame) -> DataFrame:
         entries("Education").alias("education_candidates"),
         certifications().alias("certification_candidates"),
         trainings().alias("training_candidates"),
-        supplemental("achievements").alias("achievement_candidates"),
-        supplemental("activities").alias("activity_candidates"),
-        supplemental("publications").alias("publication_candidates"),
+        supplemental("achievements", "_chunks").alias("achievement_candidates"),
+        supplemental("activities", "_chunks").alias("activity_candidates"),
+        supplemental("publications", "_chunks").alias("publication_candidates"),
         *([flags().alias("diagnostics_flags")] if "merged_block_count" in docs.columns else []),
         "named",
     )

@@ -647,8 +647,8 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, lower({_lines('cleaned')}) ORDER
 @query(f"""SELECT doc_id, kind, row_number() OVER (PARTITION BY doc_id, kind ORDER BY i) - 1 AS pos, cleaned AS value FROM (SELECT *, {_adapter_sql('raw', 'section')} AS kind FROM ({_CHUNKS})) WHERE kind IS NOT NULL""")
 def supplemental_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Achievements, activities and publications of records."""
-    rows = _merged(spark, sf_dir)
-    parts = [_values(rows, C.supplemental(k)).withColumn("kind", F.lit(k)) for k in ("achievements", "activities", "publications")]
+    rows = _merged(spark, sf_dir).withColumn("_chunks", C.classed_chunks())
+    parts = [_values(rows, C.supplemental(k, "_chunks")).withColumn("kind", F.lit(k)) for k in ("achievements", "activities", "publications")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
