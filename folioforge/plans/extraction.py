@@ -18,6 +18,7 @@ from folioforge.operators import lists as L
 from folioforge.operators import quality as Q
 from folioforge.operators import sections as S
 from folioforge.sources import payloads as P
+from folioforge.sources.staging import staged
 
 
 @dataclass
@@ -86,9 +87,10 @@ def reconcile(inputs: DataFrame, payloads: DataFrame) -> DataFrame:
         *(L.recover_singleton(f, text.col(F.try_variant_get("_o", f"$.{f}", "string")), F.col(f"contact_candidates.{f}"), F.try_variant_get("_p", f"$.{f}", "string")).alias(f) for f in ("linkedin", "github")),
         *(F.transform(c, lambda e: e["text"]).alias(f"{f}_texts") for f, c in (("experience", "experience_candidates"), ("projects", "project_candidates"), ("education", "education_candidates"), ("trainings_courses", "training_candidates"))),
     )
-    # grouped fields by joins over all documents, then one struct a field
-    groups = [out.select("doc_id", F.lit(f).alias("field"), F.col(f"{f}_texts").alias("candidates"), "parser", "optimizer") for f in G.FIELDS]
-    found = G.recover(groups[0].unionByName(groups[1]).unionByName(groups[2]).unionByName(groups[3]))
+    # grouped fields by joins over all documents, then one struct a field; both sides read the evidence from one table
+    out = staged(out)
+    groups = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"{f}_texts").alias("candidates")) for f in G.FIELDS)))
+    found = G.recover(out.select("doc_id", "parser", "optimizer", groups.alias("g")).select("doc_id", "g.field", "g.candidates", "parser", "optimizer"))
     found = found.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("entries", "recovered_items", "recovered_fields", "notes")))).alias("_groups"))
     out = out.join(found, "doc_id").select("*", *(F.col("_groups")[f].alias(f) for f in G.FIELDS)).drop("_groups", *(f"{f}_texts" for f in G.FIELDS))
     return out.mapInPandas(_assemble, "doc_id long, data string, recovered_items array<string>, recovered_fields array<string>, notes array<string>, mode string, error string")
