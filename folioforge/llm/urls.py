@@ -3,8 +3,10 @@
 Tokens of a URL (parts of its host, registered name, path steps, query keys) and its label are items;
 frequent combinations that imply the label `block` with enough confidence become rules, of which those
 stay that hold no shorter rule, however many they are. A URL is matched by an inverted index from each
-rule's rarest token: a rule holds when all its tokens are there. Where no labels are given, the verdicts
-of the given rules on the URLs they fit are the labels: the mined rules carry them over to the others.
+rule's rarest token: a rule holds when all its tokens are there. Where no labels are given, the pages that
+the given rules block are the blocked ones among all pages: those that no rule fits count as not blocked,
+so a mined rule needs nearly all pages of its tokens to be known as blocked, and can block at most a quarter
+as many open pages as it has known ones. It must also be twice as sure as a page taken blindly.
 
 A null URL, or one without "://", has an empty host and path, no tokens, and gets the verdict allow.
 Repeated rows and null page_ids are judged each. Rules need the support of LEAST rows however small the
@@ -32,6 +34,8 @@ RULES = [
 ]
 #: Share of the labelled rows, and rows at least, that hold a rule and are blocked; and the share of those it fits.
 SUPPORT, LEAST, CONFIDENCE = 0.005, 20, 0.8
+#: A rule's confidence over the share of blocked rows, at least, where pages without a label count too.
+LIFT = 2.0
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -73,14 +77,18 @@ def _holding(sets: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.withColumn("token", F.explode("items")).join(first, "token").where(F.forall("needed", lambda x: F.array_contains("items", x))).drop("token")
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, least: int = LEAST, confidence: float = CONFIDENCE) -> DataFrame:
+def mine(labelled: DataFrame, support: float = SUPPORT, least: int = LEAST, confidence: float = CONFIDENCE, lift: float = 1.0) -> DataFrame:
     """(items, confidence): all rules that imply a block and hold no shorter such rule, from rows (items, blocked boolean).
 
+    A rule's confidence is `lift` times the share of blocked rows at least, or 1 where that is more.
+
     FP-growth sees only what can be part of a longer rule: blocked rows, and of their tokens those that
     enough of them have and that aren't a rule alone. Of tokens that always stand together one is enough,
     so a long path that many rows share has one itemset, not one for each of its subsets."""
     kept = common.materialise(labelled.select("items", "blocked", F.monotonically_increasing_id().alias("row")), "labelled")
-    floor = max(least, ceil(support * kept.count()))
+    seen = kept.agg(F.count(F.lit(1)).alias("n"), F.count_if("blocked").alias("blocked")).first()
+    floor = max(least, ceil(support * seen["n"]))
+    confidence = max(confidence, min(1.0, lift * seen["blocked"] / max(1, seen["n"])))
     tokens_ = kept.select(F.explode("items").alias("token"), "blocked", F.xxhash64("row").cast("decimal(38,0)").alias("row"))
     often = tokens_.groupBy("token").agg(F.count_if("blocked").alias("hits"), F.count(F.lit(1)).alias("freq"), F.sum("row").alias("rows")).where(F.col("hits") >= floor)
     often = common.materialise(often.withColumn("confidence", F.col("hits") / F.col("freq")), "often")
@@ -114,11 +122,13 @@ def judge(pages: DataFrame, labels: DataFrame | None = None, rules: list[tuple[s
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("fit", fitting(F.col("host"), F.col("path"), RULES if rules is None else rules)).withColumn("items", tokens(rows))
     if labels is None:
-        labelled = rows.where("fit is not null").select("items", (F.col("fit.verdict") == "block").alias("blocked"))
+        lift = LIFT
+        labelled = rows.select("items", F.coalesce(F.col("fit.verdict") == "block", F.lit(False)).alias("blocked"))
     else:
+        lift = 1.0
         own = labels.where("page_id is not null and blocked is not null").groupBy(F.col("page_id").cast("long").alias("page_id")).agg(F.max("blocked").alias("blocked"))
         labelled = rows.join(own, "page_id").select("items", "blocked")
-    found = mine(labelled.where(F.size("items") > 0)).select(F.col("items").alias("needed"))
+    found = mine(labelled.where(F.size("items") > 0), lift=lift).select(F.col("items").alias("needed"))
     # a verdict depends on a URL's tokens alone
     open_ = F.col("fit").isNull() & (F.size("items") > 0)
     hits = common.materialise(_holding(found, rows.where(open_).select("items").distinct()).select("items").distinct().withColumn("mined", F.lit(True)), "hits")

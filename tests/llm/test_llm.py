@@ -574,6 +574,26 @@ def test_urls_learn_from_given_rules(spark):
     assert rules and agree > 0.9
 
 
+def test_open_pages_count(spark):
+    # path:es is blocked on net hosts alone: elsewhere it is no sign; a site whose pages are nearly all blocked is one
+    pages = [f"http://a.bad.net/es/{i}" for i in range(60)] + [f"http://b{i}.net/fr/x" for i in range(60)] + [f"http://s{i}.org/es/{i}" for i in range(80)] + [f"http://s{i}.org/fr/x" for i in range(200)]
+    pages += [f"http://a.bad.net/de/{i}" for i in range(10)] + [f"http://t{i}.info/q" for i in range(60)]
+    got = urls.judge(spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        url = pages[r["page_id"]]
+        assert r["verdict"] == ("block" if r["rule"] or "bad.net" in url else "allow"), url
+
+
+def test_open_pages_of_each_rule(spark):
+    df = common.read(spark, "/root/testdata/sf0.1", "pages")
+    rows = urls.judge(df).collect()
+    known = sum(r["verdict"] == "block" for r in rows if r["rule"])
+    free = [r["verdict"] for r in rows if r["rule"] is None]
+    print(f"{free.count('block')} of {len(free)} open pages blocked, {known} by given rules")
+    assert len(rows) == df.count() and free.count("block") <= known / 4
+
+
 def test_pipeline_stages(spark, docs, texts, tmp_path):
     labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(4)], "doc_id long, quality int, toxic int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
