@@ -44,3 +44,17 @@ def test_dedupe_and_overlap(spark):
 @pytest.mark.parametrize("s, parts", [("Python | SQL, Go", ["Python", "SQL", "Go"]), ("a, b", ["a, b"]), ("", [])])
 def test_split_candidates(spark, s, parts):
     assert spark.range(1).select(text.split_candidates(F.lit(s))).first()[0] == parts
+
+
+def test_shouted_lines_as_in_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from folioforge.plans import derived  # noqa: F401  registers the query
+    from folioforge.plans import queries as plan
+
+    lines = ["МОСКВА", "ÄÖÜÄ", "ÄÖÜA", "ARABIC", "ABCß", "ABCﬁ", "ABCᾼ", "ARAbIC", "日本語日本", "Deutsch", "EN"]
+    spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = sorted(con.sql(plan.ORACLES["recoverable_languages_lines"]).fetchall())
+    got = sorted(map(tuple, plan.QUERIES["recoverable_languages_lines"](spark, str(tmp_path)).collect()))
+    assert got == want and (0, 0, "МОСКВА") in got
