@@ -3,7 +3,7 @@
 Centroids are fitted on a bounded sample. Every vector goes to the posting list of its nearest
 centroid and, as a boundary vector, to further lists whose centroids are almost as near. A query finds near centroids by a best-first walk over an
 in-memory graph and reads the lists whose distance is within a ratio of the nearest one's, more of
-them where these hold too few vectors for an answer. Lists are balanced when read: a list of any size is dealt in blocks of bounded size, and queries meet the
+them where these hold too few vectors for an answer; how many are enough is learnt from some queries that are compared with all rows. Lists are balanced when read: a list of any size is dealt in blocks of bounded size, and queries meet the
 blocks in cells. Candidates are scored exactly, by inner product in double precision.
 
 Nearness is the inner product; vectors are indexed with one more component that brings all to one
@@ -34,6 +34,8 @@ SAMPLE = 32_768
 MOST_LISTS = 16_384
 LIST, COPIES, EDGE, RATIO, CELL = 64, 3, 1.1, 1.11, 2048
 _LINKS, _BEAM = 24, 48
+#: How many queries are compared with all rows to learn how far lists must be read, and the share of their neighbours that must be met.
+ASKED, WANTED = 256, 0.97
 
 
 @dataclass
@@ -52,7 +54,7 @@ class Index:
         return np.concatenate([x, np.sqrt(np.maximum(0.0, self.longest - size))[:, None]], axis=1)
 
     def walk(self, y: np.ndarray, ratio: float, width: int = _BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and squared distances, nearest first, of centroids found for each row of y by a best-first walk over the graph.
+        """Ids and squared distances, nearest first, of centroids found for each row of y by a best-first walk over the graph from the `width` nearest ones.
 
         All rows walk side by side, four nodes a step. A row is done when it has visited the neighbours of
         every node in its beam that lies within `ratio` of the nearest one's distance, or of the typical
@@ -61,9 +63,10 @@ class Index:
         c, n = self.centroids, len(self.centroids)
         width = min(width, n)
         own, norm = (y * y).sum(axis=1), (c * c).sum(axis=1)
-        starts = np.unique(np.linspace(0, n - 1, max(width, min(n, int(4 * np.sqrt(n))))).astype(np.int64))
-        d = np.maximum(own[:, None] - 2 * y @ c[starts].T + norm[starts], 0)
-        ids = np.broadcast_to(starts, d.shape)
+        # from the nearest centroids of all, by one product: clusters that no link joins are met too
+        d = np.maximum(own[:, None] - 2 * y @ c.T + norm, 0)
+        ids = np.argpartition(d, width - 1, axis=1)[:, :width]
+        d = np.take_along_axis(d, ids, 1)
         seen = np.zeros(d.shape, bool)
         limit, base = np.float32(ratio**2), np.float32(max(self.typical, 1e-12))
 
@@ -127,13 +130,52 @@ class Index:
         near = (ids >= 0) & (d <= ratio**2 * np.maximum(d[:, :1], max(self.typical, 1e-12)))
         held = (np.where(near, sizes[ids], 0)).sum(axis=1)
         out = [(np.repeat(np.arange(len(x)), near.sum(axis=1)), ids[near])]
-        for r in np.flatnonzero(held < floor):  # few rows: by all centroids
-            order = np.argsort(((self.centroids - y[r]) ** 2).sum(axis=1), kind="stable")
-            order = order[~np.isin(order, ids[r][near[r]])]
-            n = int(np.searchsorted(np.cumsum(sizes[order]), floor - held[r])) + 1
-            out.append((np.full(len(order[:n]), r), order[:n]))
+        for s in range(0, len(x), 256):
+            few = s + np.flatnonzero(held[s : s + 256] < floor)
+            if not len(few):
+                continue
+            taken = np.zeros((len(few), len(sizes)), bool)
+            row, at = np.nonzero(near[few])
+            taken[row, ids[few][row, at]] = True
+            order, _ = self.nearest(y[few], sizes, floor)
+            before = held[few][:, None] + np.cumsum(np.where(np.take_along_axis(taken, order, 1), 0, sizes[order]), axis=1)
+            fresh = ~np.take_along_axis(taken, order, 1)
+            fresh &= before - sizes[order] < floor
+            row, at = np.nonzero(fresh)
+            out.append((few[row], order[row, at]))
         return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
 
+    def nearest(self, y: np.ndarray, sizes: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lists of all centroids, nearest first, and their squared distances, as many for each row as hold `floor` ids besides any that hold as many."""
+        y, c = y.astype(np.float32), self.centroids
+        d = np.maximum((y * y).sum(axis=1)[:, None] - 2 * y @ c.T + (c * c).sum(axis=1), 0)
+        n = d.shape[1]
+        m = min(n, 16 + int(4 * floor / max(1.0, sizes.mean())))
+        while True:
+            ids = np.argpartition(d, m - 1, axis=1)[:, :m] if m < n else np.broadcast_to(np.arange(n), d.shape)
+            if m == n or sizes[ids].sum(axis=1).min() >= 2 * floor:
+                break
+            m = min(n, 2 * m)
+        own = np.take_along_axis(d, ids, 1)
+        order = np.argsort(own, axis=1, kind="stable")
+        return np.take_along_axis(ids, order, 1), np.take_along_axis(own, order, 1)
+
+
+    def enough(self, x: np.ndarray, near: list[np.ndarray], ratio: float, sizes: np.ndarray, floor: int) -> int:
+        """The least floor, `floor` or more, with which probes() meets the share WANTED of the vectors near[i], over all rows x[i]."""
+        y, c = self.lifted(x, query=True).astype(np.float32), self.centroids
+        d = np.maximum((y * y).sum(axis=1)[:, None] - 2 * y @ c.T + (c * c).sum(axis=1), 0)
+        order = np.argsort(d, axis=1, kind="stable")
+        before = np.zeros(d.shape, np.int64)
+        np.put_along_axis(before, order, np.cumsum(sizes[order], axis=1) - sizes[order], 1)
+        before[d <= ratio**2 * np.maximum(d.min(axis=1, keepdims=True), max(self.typical, 1e-12))] = 0
+        needs = [np.zeros(1, np.int64)]
+        for i, v in enumerate(near):
+            if len(v):
+                row, own = self.lists(v)
+                needs.append(np.minimum.reduceat(before[i][own], np.flatnonzero(np.concatenate([[True], np.diff(row) != 0]))))
+        return max(floor, int(np.quantile(np.concatenate(needs[1:] or needs), WANTED, method="higher")) + 1)
+
 
 def fit(vecs: DataFrame, n: int, seed: int = 17) -> Index | None:
     """Centroids by k-means on a sample of at most SAMPLE rows, chosen by a hash of their id over all rows."""
@@ -144,7 +186,13 @@ def fit(vecs: DataFrame, n: int, seed: int = 17) -> Index | None:
     dim = int(size.mode().iloc[0])
     x = vectors.stack(rows[size == dim])
     longest = vecs.where(F.size("v") == dim).agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, b: a + b.cast("double") * b))).first()[0]
-    index = Index(np.zeros((0, dim + 1)), np.zeros((0, 0), np.int64), float(longest), dim)
+    return trained(x, float(longest), n, seed)
+
+
+def trained(x: np.ndarray, longest: float, n: int, seed: int = 17) -> Index:
+    """The index of n vectors, of which x is a sample, of at most the squared length `longest`."""
+    dim = x.shape[1]
+    index = Index(np.zeros((0, dim + 1)), np.zeros((0, 0), np.int64), longest, dim)
     y = index.lifted(x).astype(np.float32)
     rng = np.random.default_rng(seed)
     k = int(max(1, min(MOST_LISTS, n // LIST, len(y) // 2)))
@@ -192,6 +240,37 @@ def _placed(vecs: DataFrame, index: Index, probe: tuple[float, np.ndarray, int]
     return vecs.select("vec_id", "v").mapInPandas(run, f"list long, vec_id long, v {vecs.schema['v'].dataType.simpleString()}")
 
 
+def _floor(own: DataFrame, asking: DataFrame, index: Index, ratio: float, sizes: np.ndarray, k: int) -> int:
+    """How many ids a query's lists must hold: enough for at most ASKED of the queries, chosen by a hash, whose nearest of all rows are found one by one."""
+    least = COPIES * (k + 1)
+    some = asking.where(F.size("v") == index.dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(ASKED).toPandas()
+    if not len(some):
+        return least
+    ids, q = some["vec_id"].to_numpy(), vectors.stack(some["v"])
+    shared = own.sparkSession.sparkContext.broadcast((ids, q))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, q = shared.value
+        held = pd.DataFrame({"query": np.zeros(0, np.int64), "score": np.zeros(0), "vec_id": np.zeros(0, np.int64), "v": np.zeros(0, object)})
+        for b in batches:
+            x, c = vectors.stack(b["v"]), b["vec_id"].to_numpy()
+            score = q @ x.T
+            score[ids[:, None] == c[None, :]] = -np.inf
+            at = np.argpartition(-score, min(k, len(c)) - 1, axis=1)[:, :k]
+            row = np.repeat(np.arange(len(ids)), at.shape[1])
+            new = pd.DataFrame({"query": row, "score": score[row, at.ravel()], "vec_id": c[at.ravel()], "v": b["v"].to_numpy()[at.ravel()]})
+            held = pd.concat([held, new[new["score"] > -np.inf]]).sort_values(["query", "score", "vec_id"], ascending=[True, False, True], kind="stable")
+            held = held[held.groupby("query").cumcount() < k]
+        yield held
+
+    like = own.where(F.size("v") == index.dim).select("vec_id", "v")
+    found = like.mapInPandas(run, f"query long, score double, vec_id long, v {own.schema['v'].dataType.simpleString()}")
+    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    near = found.withColumn("nth", nth).where(F.col("nth") <= k).select("query", "v").toPandas()
+    by = {i: vectors.stack(g) for i, g in near.groupby("query")["v"]}
+    return index.enough(q, [by.get(i, np.zeros((0, index.dim))) for i in range(len(q))], ratio, sizes, least)
+
+
 def best(query: np.ndarray, found: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k largest scores of every query, each candidate once, ties to the smaller id."""
     order = np.lexsort((-score, found, query))
@@ -260,7 +339,6 @@ def search(vecs: DataFrame, queries: DataFrame, k: int = 20, ratio: float = RATI
     if index is None:
         return vecs.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lists = common.materialise(_placed(own, index, None), "lists")
-    common.discard(own)
     # one row per list: bounded by MOST_LISTS; ids once each, as repeated ones are one candidate
     held = np.zeros(len(index.centroids), np.int64)
     for r in lists.where("list >= 0").groupBy("list").agg(F.countDistinct("vec_id").alias("n")).collect():
@@ -268,7 +346,9 @@ def search(vecs: DataFrame, queries: DataFrame, k: int = 20, ratio: float = RATI
     # of repeated query ids the smallest vector asks; a candidate may stand in COPIES lists, the query itself in as many
     # little data and much work: dealt to all cores, by a key other than the grouping's, whose exchange would else serve for both and be coalesced
     asking = vectors.valid(queries).groupBy("vec_id").agg(F.min("v").alias("v")).repartition(2 * vecs.sparkSession.sparkContext.defaultParallelism, F.xxhash64("vec_id"))
-    asked = common.materialise(_placed(asking, index, (ratio, held, COPIES * (k + 1))), "asked")
+    floor = _floor(own, asking, index, ratio, held, k)
+    common.discard(own)
+    asked = common.materialise(_placed(asking, index, (ratio, held, floor)), "asked")
     # one row per list and per length of odd vectors: bounded by MOST_LISTS and those lengths
     sizes = lists.groupBy("list").agg(F.count(F.lit(1)).alias("c")).join(asked.groupBy("list").agg(F.count(F.lit(1)).alias("q")), "list")
     sizes = sizes.select("list", vectors.blocks(F.col("c"), cell).alias("cs"), vectors.blocks(F.col("q"), cell // 4).alias("qs"))

@@ -465,6 +465,25 @@ def test_ann_many_lists(spark):
     assert len(index.centroids) >= 200 and hit / 8000 >= 0.9 and share < 0.5
 
 
+def test_ann_other_rows(spark):
+    # directions in few components, and small clusters far apart: nearness ratios alone met 0.7 and 0.85 of the nearest
+    r = np.random.default_rng(21)
+    round_ = r.normal(size=(8000, 10))
+    knots = r.normal(size=(160, 64))[r.integers(0, 160, 8000)] + 0.05 * r.normal(size=(8000, 64))
+    for x in (round_, knots):
+        x = x / np.linalg.norm(x, axis=1)[:, None]
+        df = spark.createDataFrame([(i, e.tolist()) for i, e in enumerate(x)], "vec_id long, embedding array<double>").repartition(8).cache()
+        by = defaultdict(set)
+        for g in ann.search(df, df.where("vec_id % 40 = 0"), k=20).collect():
+            by[g["query_id"]].add(g["vec_id"])
+        hit = 0
+        for q in range(0, 8000, 40):
+            s = x @ x[q]
+            s[q] = -np.inf
+            hit += len(set(np.argsort(-s)[:20].tolist()) & by[q])
+        assert hit / 4000 >= 0.95
+
+
 def test_ann_few_candidates(spark):
     # tiny lists around the query: further ones are read until there are enough
     r = np.random.default_rng(2)
