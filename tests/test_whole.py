@@ -28,7 +28,8 @@ def test_matches_of_all_parts(spark, tmp_path):
     own = {i: least[b, n.lower(), y.lower()] for i, n, b, y, _ in rows}
     assert {x["id"]: x["class"] for x in plan.QUERIES["entity_classes"](spark, str(tmp_path)).collect()} == own
     got = {(x["l"], x["r"]): x["score"] for x in plan.QUERIES["entity_match_scores"](spark, str(tmp_path)).collect()}
-    assert got == {(a, b): s for (a, b), (ok, s) in scores.items() if ok and own[a] == a and own[b] == b}
+    assert got == {(a, b): s for (a, b), (ok, s) in scores.items() if ok and own[a] == a and own[b] in (a, b)}
+    assert any(own[b] == a for a, b in got)
     best = {}
     for (left, right), (ok, score) in sorted(scores.items()):
         if ok and score > best.get(left, (0, 0.0))[1]:
