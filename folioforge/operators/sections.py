@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
@@ -160,8 +161,8 @@ def _errors() -> Column:
     return F.array_compact(errors)
 
 
-def split(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sections, diagnostics) of labelled blocks.
+def split(blocks: DataFrame, between: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(sections, diagnostics) of labelled blocks. between: what writes a table that both read; without it each computes it anew.
 
     sections: doc_id, section_seq, heading, content, source_pages, block_ids. diagnostics, a row per
     document: section_count, general_block_ratio, possible_errors, recovered_section_splits.
@@ -186,6 +187,9 @@ def split(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     once = F.row_number().over(section.orderBy("part")) == 1
     found = found.withColumn("splits", F.when(once, F.col("parts")).otherwise(0)).withColumn("splits", F.sum("splits").over(whole))
     final = _without_empty(found, ["seq", "part"], F.col("content") == "")
+    if between is not None:
+        members = F.transform("m", lambda m: F.struct(m["page_number"].alias("page_number"), m["block_id"].alias("block_id"), m["looks"].alias("looks")))
+        final = between(final.select("doc_id", "seq", "part", "heading", "blocks", "content", "splits", members.alias("m")))
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq", "part"))
     sections = final.select("doc_id", nth.alias("section_seq"), "heading", "content", F.array_distinct("m.page_number").alias("source_pages"), F.col("m.block_id").alias("block_ids"))
     per = final.groupBy("doc_id").agg(*(f.alias(n) for n, f in _figures().items()), F.max("splits").cast("int").alias("recovered_section_splits"))

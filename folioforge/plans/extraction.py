@@ -32,9 +32,11 @@ class Extraction:
 
 
 def extract(raw: DataFrame, fallback: DataFrame | None = None) -> Extraction:
-    """Raw blocks to labelled blocks, sections, diagnostics, page and document texts."""
-    semantic = B.classify(B.merge(raw))
-    sections, split = S.split(semantic)
+    """Raw blocks to labelled blocks, sections, diagnostics, page and document texts.
+
+    Labelled blocks and sections are read by many steps, so both are written once."""
+    semantic = staged(B.classify(B.merge(raw)))
+    sections, split = S.split(semantic, staged)
     diagnostics = Q.diagnostics(semantic, sections, split, fallback)
     parts = F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"])
     whole = semantic.groupBy("doc_id").agg(parts.alias("t")).select("doc_id", text.normalize_lines(F.array_join(F.filter("t", lambda t: t != ""), "\n\n")).alias("full_text"))
