@@ -72,3 +72,16 @@ def test_words_to_lines(spark):
     rows = [(1, 1, "a", 10.0, 100.0, 15.0, 110.0), (1, 1, "b", 20.0, 102.0, 25.0, 112.0), (1, 1, "c", 10.0, 104.0, 15.0, 114.0)]
     got = B.words_to_lines(spark.createDataFrame(rows, "doc_id long, page_number int, text string, x0 double, top double, x1 double, bottom double"))
     assert sorted(r["text"] for r in got.collect()) == ["a b", "c"]
+
+
+def test_blocks_are_merged_once(spark, tmp_path):
+    # no merging (a window of lags) in the plan of the result: its steps read blocks, and the audit's sections too, from tables
+    from folioforge.plans import queries as plan
+
+    text = "Summary\nAn engineer of many years.\nSkills\nPython | SQL | Go\nEducation\nBSc at Cairo University 2019"
+    spark.createDataFrame([(1, text), (2, "one line"), (3, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("unassigned_blocks", "section_quality"):
+        shown = plan.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert "lag(" not in shown and (name != "section_quality" or "_found(" not in shown)
+    assert plan.QUERIES["unassigned_blocks"](spark, str(tmp_path)).count() == 0
+    assert sorted(r["doc_id"] for r in plan.QUERIES["section_quality"](spark, str(tmp_path)).collect()) == [1, 2]
