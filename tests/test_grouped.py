@@ -170,3 +170,24 @@ def test_gaps_are_those_of_the_loop(spark):
                 want.append((d, f, "phase2_input", i))
         want += [(d, f, "parser", i) for i, e in enumerate(p[f]) if isinstance(e, dict) and not any(score(f, k, G.comparable(f, e))[0] for k in known)]
     assert sorted((x["doc_id"], x["field"], x["source"], x["ord"]) for x in R.missing_groups(df).collect()) == sorted(want)
+
+
+def test_keys_of_the_join_are_narrow(spark):
+    """What travels for a sign is a digest and a number, however long names and the signs themselves are."""
+    r = random.Random(5)
+    words = [f"{w}{'x' * 30}{i}" for w in WORDS for i in range(20)]
+    rows = [(i, i // 5, {f: " ".join(r.choice(words) for _ in range(n)) for f, n in (("raw_text", 12), ("primary_name", 4), ("secondary_name", 3))} | {"date_range": "", "technologies": []}) for i in range(600)]
+    own = M.classed(spark.createDataFrame([(i, d, "experience", tuple(e.values())) for i, d, e in rows], f"id int, doc_id int, field string, entry {STRUCT}"), None, ["doc_id", "field"])
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled() -> int:
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = shuffled()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large for it
+    try:
+        assert M.matches(own, own, None, ["doc_id", "field"]).where("l = r").count() == len(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffled() - before < 8000 * len(rows)
