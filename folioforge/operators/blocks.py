@@ -52,6 +52,8 @@ def _stands_alone(t: Column, c: Column) -> Column:
 
 #: Headings have no more words; the colon of one may stand alone.
 _MOST_WORDS = max(4, *(len(h.split()) for h in vocab.MERGE_HEADINGS)) + 1
+#: Blocks of so many words may go on the line before; more aren't told apart.
+_TOLD_WORDS = 14
 
 
 def merge(raw: DataFrame) -> DataFrame:
@@ -61,14 +63,14 @@ def merge(raw: DataFrame) -> DataFrame:
     its head looks like a header line. A block either leaves that bit or sets it to a value that
     doesn't depend on it, so the bit is the last value set: a window, no fold."""
     rows = in_order(raw).withColumn("t", text.normalize_lines("text"))
-    rows = rows.withColumn("n_words", text.words("t")).withColumn("c", F.when(F.col("n_words") <= _MOST_WORDS, _candidate(F.col("t"))))
+    rows = rows.withColumn("n_words", text.words_to(F.col("t"), _TOLD_WORDS)).withColumn("c", F.when(F.col("n_words") <= _MOST_WORDS, _candidate(F.col("t"))))
     t, w = F.col("t"), Window.partitionBy("doc_id").orderBy("pos")
     rows = rows.select(
         "*",
         _bullet(t).alias("bullet"),
         F.coalesce(F.col("c").isin(*vocab.MERGE_HEADINGS), F.lit(False)).alias("heading"),
         (F.col("c").isNotNull() & _stands_alone(t, F.col("c"))).alias("alone"),
-        t.rlike(r"[.!?;:]\z").alias("stop"),
+        (t.endswith(".") | t.endswith("!") | t.endswith("?") | t.endswith(";") | t.endswith(":")).alias("stop"),
         ((t != "") & (F.col("n_words") <= 5) & ~_bullet(t)).alias("header"),
         t.rlike(r"(?U)^\p{Ll}").alias("lower"),
         t.rlike(r"(?U)^[\d(\[/&]").alias("tail"),
@@ -80,7 +82,7 @@ def merge(raw: DataFrame) -> DataFrame:
     indent = (F.col("x0") >= F.col("p_x0")) & (F.col("x0") - F.col("p_x0") <= 48)
     runs_on = (F.col("p_t") != "") & (t != "") & (F.col("p_bullet") | (~F.col("p_stop") & F.col("lower")))
     wraps = (F.col("p_t") != "") & (t != "") & ~F.col("bullet") & (gap <= 28) & (same | indent) & ~F.col("alone")
-    wraps &= F.col("lower") | F.col("tail") | ~F.col("p_stop") | (F.col("n_words") <= 14)
+    wraps &= F.col("lower") | F.col("tail") | ~F.col("p_stop") | (F.col("n_words") <= _TOLD_WORDS)
     can = F.col("p_page_number").isNotNull() & (F.col("p_page_number") == F.col("page_number")) & ~F.col("alone")
     bare = F.col("x0").isNull() | F.col("p_x0").isNull()
 
@@ -102,8 +104,7 @@ def merge(raw: DataFrame) -> DataFrame:
     )
     head = F.col("m")[0]
     between = F.when(~head["bullet"] & head["header"], F.lit(" | ")).otherwise(F.lit(" "))
-    body = text.normalize_lines(F.call_function("array_join", F.col("m.t"), between))
-    groups = groups.withColumn("body", body)
+    groups = groups.withColumn("body", F.call_function("array_join", F.col("m.t"), between)).withColumn("body", text.normalize_lines("body"))
     return groups.select(
         "doc_id",
         F.col("grp").cast("int").alias("pos"),
@@ -119,7 +120,7 @@ def merge(raw: DataFrame) -> DataFrame:
 
 def kind(t: Column) -> Column:
     """Kind of a merged block by its text."""
-    many = text.words(t) >= 4
+    many = t.rlike(r"(?U)\S\s+\S+\s+\S+\s+\S")
     return F.when(_bullet(t), "bullet").when(t.contains("|"), "table").when(many, "paragraph").when(text.has_upper_only(t), "heading").otherwise("other")
 
 
@@ -131,8 +132,7 @@ def label(t: Column, index: Column, x0: Column, y0: Column) -> Column:
     """Semantic label of a block; index counts the document's blocks from 0. The first rule that holds wins.
 
     t is normalised: blanks and newlines are its only white space."""
-    size = F.regexp_count(t, F.lit("[^ \n]+"))
-    marks = F.length(t) - F.length(F.translate(t, "|•,", ""))
+    marked = t.rlike("[|•,][^|•,]*[|•,]")
     top = F.coalesce(y0 < 160, F.lit(False)) | (index <= 2)
     left = F.coalesce(x0 < 120, F.lit(False))
 
@@ -142,7 +142,7 @@ def label(t: Column, index: Column, x0: Column, y0: Column) -> Column:
         return (
             F.when(t == "", "other")
             .when(F.regexp_replace(low, "[ \n]+", " ").isin(*vocab.LABEL_HEADINGS), "section_heading")
-            .when((marks >= 2) & (n <= 20) & ~contact, "skills_line")
+            .when(s["marked"] & ~contact, "skills_line")
             .when(top & contact, "contact_line")
             .when(F.substring(t, 1, 1).isin(*vocab.BULLETS), "bullet")
             .when((n <= 8) & t.rlike("(?iU)" + vocab.DATE_WORD), "date")
@@ -153,8 +153,15 @@ def label(t: Column, index: Column, x0: Column, y0: Column) -> Column:
         )
 
     # contacts decide where the marks or the place let them alone
-    asked = top | ((marks >= 2) & (size <= 20))
-    return text.let(F.struct(size.alias("n"), F.lower(F.regexp_replace(t, r":+\z", "")).alias("low"), F.when(asked, has_contact(t)).otherwise(False).alias("contact")), told)
+    def read(n: Column) -> Column:
+        return text.let(F.struct(n.alias("n"), ((n <= 20) & marked).alias("marked")), looked)
+
+    def looked(s: Column) -> Column:
+        # no heading has more than eight words
+        low = F.when(s["n"] <= 8, F.lower(F.regexp_replace(t, r":+\z", ""))).otherwise("")
+        return text.let(F.struct(s["n"].alias("n"), s["marked"].alias("marked"), low.alias("low"), F.when(top | s["marked"], has_contact(t)).otherwise(False).alias("contact")), told)
+
+    return text.let(text.words_to(t, 20), read)
 
 
 HINTS = {"section_heading": "known_section_heading", "skills_line": "skills_delimiter_pattern", "contact_line": "contact_pattern", "bullet": "bullet_marker", "date": "date_pattern", "location": "location_pattern", "heading": "visual_heading", "paragraph": "paragraph_length"}

@@ -1,9 +1,10 @@
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.functions import arrays, text
+from folioforge.functions import arrays, text, vocab
 
 SAMPLES = ["", "  a  b\r\n\n\n\nc\t d ", "•a\n-  b\n* ", "x y z", "ÉCOLE des Été", "+20 (100) 200-3000", "HTTPS://www.Example.com/a/ ", None]
 
@@ -58,3 +59,14 @@ def test_shouted_lines_as_in_sql(spark, tmp_path):
     want = sorted(con.sql(plan.ORACLES["recoverable_languages_lines"]).fetchall())
     got = sorted(map(tuple, plan.QUERIES["recoverable_languages_lines"](spark, str(tmp_path)).collect()))
     assert got == want and (0, 0, "МОСКВА") in got
+
+
+def test_cheap_looks_tell_what_the_patterns_tell(spark):
+    spaces = [chr(c) for c in range(0x10000) if chr(c).isspace()] + ["\u180e", "\u200b"]
+    pieces = ["a", "bc", " ", "  ", "\n", "\n\n\n", "-", "•", "·", "- x", "é", "–", ".", ":", *spaces]
+    r = random.Random(3)
+    texts = [*pieces, "", *(f"a{s}b" for s in spaces), *(m + t for m in vocab.BULLETS for t in ("", " ", "x", " x", "  x", " \n x")), *("".join(r.choice(pieces) for _ in range(r.randint(1, 6))) for _ in range(3000))]
+    rows = spark.createDataFrame([(t,) for t in texts], "x string").withColumn("n", text.normalize_lines("x"))
+    rows = rows.select("x", "n", text._tidied(F.col("x")).alias("slow"), text._untidy(F.col("x")).alias("look"), F.col("x").rlike(text._UNTIDY).alias("whole"), text.words("n").alias("words"), text.words_to(F.col("n"), 3).alias("upto"))
+    wrong = [tuple(x) for x in rows.collect() if (x["n"], x["look"], min(x["words"], 4)) != (x["slow"], x["whole"], x["upto"])]
+    assert not wrong, wrong[:5]
