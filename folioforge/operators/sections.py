@@ -52,7 +52,7 @@ def is_heading(t: Column, x0: Column, label: Column | None = None) -> Column:
     return text.let(text.normalize_lines(t), test)
 
 
-def strip_bleed(x: Column) -> Column:
+def strip_bleed(x: Column | str) -> Column:
     """Without a section's name and an ampersand at the end."""
 
     def cut(t: Column) -> Column:
@@ -130,7 +130,7 @@ def _initial(blocks: DataFrame) -> DataFrame:
     rows = _events(blocks).withColumn("seq", F.sum(F.col("start").isNotNull().cast("int")).over(w))
     rows = rows.withColumn("heading", F.coalesce(F.last("start", ignorenulls=True).over(w), F.lit("General"))).where("start is null")
     # once for every text, not again for each use
-    rows = rows.withColumn("clean", strip_bleed(F.col("body"))).withColumn("looks", _looks(F.col("body"), F.col("x0")))
+    rows = rows.withColumn("clean", strip_bleed("body")).withColumn("looks", _looks(F.col("body"), F.col("x0")))
     empty = F.forall(_shown(F.col("m"), F.lit(False)), lambda x: x == "")
     found = _grouped(rows, ["seq"]).withColumn("empty", empty)
     return _without_empty(found.where("not empty or heading <> 'General'"), ["seq"], F.col("empty"))
