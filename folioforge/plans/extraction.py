@@ -18,7 +18,7 @@ from folioforge.operators import lists as L
 from folioforge.operators import quality as Q
 from folioforge.operators import sections as S
 from folioforge.sources import payloads as P
-from folioforge.sources.staging import staged
+from folioforge.sources.staging import bound_batches, staged
 
 
 @dataclass
@@ -63,6 +63,7 @@ def reconcile(inputs: DataFrame, payloads: DataFrame) -> DataFrame:
 
     payloads: doc_id, parser, optimizer, both as JSON; a document without any has empty ones. A payload
     that is no JSON object fails its document alone: data is null then and error says which it was."""
+    bound_batches(inputs.sparkSession)
     rows = inputs.join(payloads.select("doc_id", "parser", "optimizer"), "doc_id", "left")
     rows = rows.withColumn("parser", F.coalesce("parser", F.lit("{}"))).withColumn("optimizer", F.coalesce("optimizer", F.lit("{}")))
 

@@ -123,3 +123,20 @@ def test_json_leaves(spark):
     assert got == {i: walk(d) for i, d in enumerate(docs)} | {90: [], 91: []}
     with pytest.raises(Exception, match="no JSON"):
         spark.createDataFrame([("{broken",)], "p string").select(R.string_leaves(F.col("p"))).collect()
+
+
+def test_batches_are_bounded_unless_the_caller_says_so(spark):
+    from folioforge.sources.staging import bound_batches
+
+    rows, size = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    kept = {k: spark.conf.get(k) for k in (rows, size)}
+    try:
+        spark.conf.unset(rows), bound_batches(spark)
+        assert (spark.conf.get(rows), spark.conf.get(size)) == ("2000", str(4 << 20))
+        seen = spark.range(0, 9000, 1, 1).mapInPandas(lambda batches: (b.assign(id=len(b)) for b in batches), "id long")
+        assert seen.agg({"id": "max"}).first()[0] <= 2000
+        spark.conf.set(rows, "77"), bound_batches(spark)
+        assert spark.conf.get(rows) == "77"
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
