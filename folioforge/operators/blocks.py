@@ -42,7 +42,7 @@ def _bullet(t: Column) -> Column:
 
 
 def _candidate(t: Column) -> Column:
-    return F.regexp_replace(F.lower(F.regexp_replace(t, r":+\z", "")), r"(?U)\s+", " ")
+    return F.regexp_replace(text.lower(F.regexp_replace(t, r":+\z", "")), r"(?U)\s+", " ")
 
 
 def _stands_alone(t: Column, c: Column) -> Column:
@@ -118,10 +118,10 @@ def merge(raw: DataFrame) -> DataFrame:
     )
 
 
-def kind(t: Column) -> Column:
-    """Kind of a merged block by its text."""
+def kind(t: Column, capital: str = r"\p{Lu}") -> Column:
+    """Kind of a merged block by its text; a heading has a capital letter."""
     many = t.rlike(r"(?U)\S\s+\S+\s+\S+\s+\S")
-    return F.when(_bullet(t), "bullet").when(t.contains("|"), "table").when(many, "paragraph").when(text.has_upper_only(t), "heading").otherwise("other")
+    return F.when(_bullet(t), "bullet").when(t.contains("|"), "table").when(many, "paragraph").when(text.has_upper_only(t, capital), "heading").otherwise("other")
 
 
 def has_contact(t: Column) -> Column:

@@ -198,7 +198,7 @@ WHEN regexp_matches(t, '[A-Z]') AND t = upper(t) THEN 'heading' ELSE 'other' END
 def note_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a note is a skill, a dense list of skills or a training, and its kind as a block."""
     t = F.col("t")
-    return notes(spark, sf_dir).select("id", C.is_skill(t).alias("skill"), C.is_dense(t).alias("dense"), C.is_training(t).alias("training"), B.kind(t).alias("kind"))
+    return notes(spark, sf_dir).select("id", C.is_skill(t).alias("skill"), C.is_dense(t).alias("dense"), C.is_training(t).alias("training"), B.kind(t, "[A-Z]").alias("kind"))
 
 
 def _clean_skill_sql(x: str) -> str:

@@ -1,3 +1,7 @@
+import random
+
+import pytest
+
 from folioforge.operators import blocks as B
 from folioforge.operators import quality as Q
 from folioforge.operators import sections as S
@@ -23,6 +27,23 @@ def test_heading_is_not_absorbed(spark):
     assert len(merged(spark, [("School of Things", (72, 100, 260, 114)), ("Work Experience", (72, 116, 260, 130))])) == 2
 
 
+def test_html_blocks_merge_as_in_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from folioforge.plans import derived  # noqa: F401  registers the query
+    from folioforge.plans import queries as plan
+
+    r = random.Random(5)
+    words = ["È.", "É", "ÉCOLE", "école", "МОСКВА", "A", "a", "1", "•", "-", "|", "GPA", "Skills", "Skİlls", "SUMMARY:", "ß", "ﬁ", "ŉ", "ᾼ", "Σ", "ς", "日本"]
+    pages = [(0, "u", "<p>È.</p><p>ÉÉ</p><p>É1</p><p>1</p><p>Éa</p>")]
+    pages += [(i, "u", "".join(r.choice(["<p>%s</p>", "<li>%s</li>"]) % " ".join(r.choice(words) for _ in range(r.randint(1, 4))) for _ in range(r.randint(1, 8)))) for i in range(1, 400)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = sorted(con.sql(plan.ORACLES["html_merge"]).fetchall())
+    got = sorted(map(tuple, plan.QUERIES["html_merge"](spark, str(tmp_path)).collect()))
+    assert got == want and [x[5] for x in got if x[0] == 0] == ["heading", "heading", "heading", "other", "other"]
+
+
 def test_every_raw_block_in_one_group(spark):
     docs = spark.createDataFrame([(1, "A line\nand more.\nHEADING\n• x\ny z\n\nend"), (2, "")], "doc_id long, text string")
     raw = B.from_lines(docs)
